@@ -18,7 +18,7 @@ def weekday_name(c) -> Column:
 
 def weekday_number(c) -> Column:
     """1 = Sunday … 7 = Saturday."""
-    return F.dayofweek(c)
+    return F.dayofweek(c).cast("bigint")
 
 
 def year_of(c) -> Column:

@@ -47,6 +47,13 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+def spark_type(t) -> str:
+    n = t.simpleString()
+    return {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+            "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "smallint": "SMALLINT",
+            "float": "FLOAT"}.get(n, n.upper())
+
+
 def compare(spark, con, name, query, sf_dir, verbose=True):
     t0 = time.time()
     df = query.build(spark, sf_dir)
@@ -59,11 +66,16 @@ def compare(spark, con, name, query, sf_dir, verbose=True):
     d_cols = rel.columns
     d_rows = rel.fetchall()
     ok_cols = sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    type_diff = {c: (s_types.get(c), d_types.get(c)) for c in s_types if s_types.get(c) != d_types.get(c)}
     hs, ls = digest(s_cols, s_rows)
     hd, ld = digest(d_cols, d_rows)
     ok = ok_cols and len(s_rows) == len(d_rows) and hs == hd
     res = {"name": name, "rows": len(s_rows), "oracle_rows": len(d_rows), "cols_ok": ok_cols,
            "ok": ok, "sec": round(t1 - t0, 2)}
+    if type_diff:
+        res["types"] = type_diff
     if not ok and verbose:
         print("  spark cols", s_cols, "\n  duck cols ", d_cols)
         a, b = set(ls), set(ld)
