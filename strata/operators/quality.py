@@ -57,7 +57,7 @@ def outside(df: DataFrame, col: str, low, high) -> DataFrame:
     return df.filter((c < low) | (c > high))
 
 
-def out_of_order(df: DataFrame, first: str, *later: str) -> Column:
+def out_of_order(first: str, *later: str) -> Column:
     """Condition: ``first`` after any of ``later``."""
     return C.any_of([F.col(first) > F.col(x) for x in later])
 
