@@ -30,5 +30,5 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all() -> dict[str, Query]:
-    from .plans import queries, queries_ops, queries_quality  # noqa: F401  (registers on import)
+    from .plans import queries, queries_io, queries_ops, queries_quality  # noqa: F401  (registers on import)
     return REGISTRY
