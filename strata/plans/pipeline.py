@@ -8,16 +8,15 @@ dimensions of one batch always agree on the keys.
 
 from __future__ import annotations
 
-import datetime as dt
 import time
-from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import FEED_FILES, FEEDS
+from ..schemas import BRONZE, FEED_FILES, FEEDS
 from ..sources import delimited, feeds
 from . import gold, silver
-from .publish import publish_layer, read_layer, write_observed
+from .publish import new_batch_id, publish_layer, read_layer, write_many
 
 GOLD_TABLES = ("dim_customer", "dim_products", "fact_sales")
 
@@ -34,15 +33,26 @@ def land_feeds(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
 
 
 def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str | None = None,
-                header: bool = True) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Scan the six feeds, publish the good rows as bronze and keep rejects in quarantine."""
-    parsed = {name: delimited.ingest_feed(spark, landing_root, name, header) for name in FEEDS}
-    audit = publish_layer(spark, root, "bronze", {n: g for n, (g, _) in parsed.items()}, batch_id)
-    return audit, {n: r for n, (_, r) in parsed.items()}
-
-
-def write_quarantine(rejects: Mapping[str, DataFrame], root: str, batch_id: str) -> dict[str, int]:
-    return {n: write_observed(r, f"{root.rstrip('/')}/quarantine/{batch_id}/{n}") for n, r in rejects.items()}
+                header: bool = True) -> tuple[DataFrame, dict[str, int]]:
+    """Scan the six feeds once each: good rows are published as bronze, rejected
+    rows go to ``<root>/quarantine/<batch>/<feed>``.
+
+    The checked rows are persisted (disk) between the two writes so each file
+    is parsed once; a lost block is rebuilt from the files by lineage.
+    """
+    batch = batch_id or new_batch_id()
+    checked = {name: delimited.with_rejects(
+        delimited.read_text_fields(spark, delimited.feed_path(landing_root, name), BRONZE[name], header),
+        BRONZE[name]).persist(StorageLevel.DISK_ONLY) for name in FEEDS}
+    try:
+        parts = {name: delimited.split(df, BRONZE[name]) for name, df in checked.items()}
+        audit = publish_layer(spark, root, "bronze", {n: g for n, (g, _) in parts.items()}, batch)
+        rejected = write_many({n: (r, f"{root.rstrip('/')}/quarantine/{batch}/{n}")
+                               for n, (_, r) in parts.items()})
+    finally:
+        for df in checked.values():
+            df.unpersist()
+    return audit, rejected
 
 
 def load_silver(spark: SparkSession, root: str, as_of=None, batch_id: str | None = None) -> DataFrame:
@@ -52,32 +62,19 @@ def load_silver(spark: SparkSession, root: str, as_of=None, batch_id: str | None
 
 
 def build_gold(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame:
+    """Dimensions are numbered (checkpointed) while the plan is built, so the
+    fact's lookups and the written dimensions share one numbering and all three
+    tables can be written concurrently."""
     s = read_layer(spark, root, "silver", FEEDS)
     s = {n: df.drop("dwh_create_date") for n, df in s.items()}
-    dims = {}
-
-    def dim(name, build):
-        def make():
-            dims[name] = build(s)
-            return dims[name]
-        return make
-
-    def fact():
-        return gold.fact_sales(s, dims["dim_products"], dims["dim_customer"])
-
-    return publish_layer(spark, root, "gold", {
-        "dim_customer": dim("dim_customer", gold.dim_customer),
-        "dim_products": dim("dim_products", gold.dim_products),
-        "fact_sales": fact,
-    }, batch_id)
+    return publish_layer(spark, root, "gold", gold.build_gold(s), batch_id)
 
 
 def run(spark: SparkSession, landing_root: str, root: str, as_of=None) -> dict[str, float]:
     """bronze → silver → gold; returns seconds per layer."""
     timings = {}
     t = time.time()
-    _, rejects = load_bronze(spark, landing_root, root)
-    write_quarantine(rejects, root, dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S"))
+    load_bronze(spark, landing_root, root)
     timings["bronze"] = time.time() - t
     t = time.time()
     load_silver(spark, root, as_of)

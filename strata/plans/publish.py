@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,13 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite", fmt: str =
     return int(obs.get["rows"])
 
 
+def write_many(targets: Mapping[str, tuple[DataFrame, str]]) -> dict[str, int]:
+    """Independent writes as concurrent Spark jobs; returns rows per target."""
+    with ThreadPoolExecutor(max_workers=max(1, len(targets))) as pool:
+        futures = {n: pool.submit(write_observed, df, path) for n, (df, path) in targets.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
 def new_batch_id() -> str:
     now = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     return f"{now}-{uuid.uuid4().hex[:8]}"
@@ -38,22 +46,32 @@ def new_batch_id() -> str:
 
 def publish_layer(spark: SparkSession, root: str, layer: str,
                   tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
-                  batch_id: str | None = None, loaded_at: dt.datetime | None = None) -> DataFrame:
+                  batch_id: str | None = None, loaded_at: dt.datetime | None = None,
+                  parallel: bool = True) -> DataFrame:
     """Write every table of a layer, then commit the batch; returns the audit.
 
-    A value may be a callable so a table can be built after earlier ones of the
-    same batch are written.  Any failure propagates before the commit record is
+    The tables of a layer are independent, so their writes are submitted as
+    concurrent Spark jobs (``parallel``); the scheduler interleaves their tasks
+    on the executors.  Any failure propagates before the commit record is
     written: the previous batch stays current.  Each table gains the load
-    timestamp column ``dwh_create_date``.
+    timestamp column ``dwh_create_date``.  A value may be a callable that
+    builds the table.
     """
     batch = batch_id or new_batch_id()
     stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    audit = []
-    for name, table in tables.items():
+
+    def write_one(name, table):
         df = table() if callable(table) else table
         df = df.withColumn("dwh_create_date", F.lit(stamp).cast("timestamp_ntz"))
-        rows = write_observed(df, f"{layer_path(root, layer)}/{batch}/{name}")
-        audit.append((batch, name, rows, stamp))
+        return batch, name, write_observed(df, f"{layer_path(root, layer)}/{batch}/{name}"), stamp
+
+    items = list(tables.items())
+    if parallel and len(items) > 1:
+        with ThreadPoolExecutor(max_workers=len(items)) as pool:
+            futures = [pool.submit(write_one, n, t) for n, t in items]
+            audit = [f.result() for f in futures]  # re-raises the first failure
+    else:
+        audit = [write_one(n, t) for n, t in items]
     record = spark.createDataFrame(audit, "batch_id string, table_name string, rows_written long, "
                                           "loaded_at timestamp_ntz")
     record.coalesce(1).write.mode("append").json(f"{layer_path(root, layer)}/{COMMITS}")
