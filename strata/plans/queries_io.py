@@ -218,3 +218,18 @@ def pipeline_sales_by_country(spark, sf):
     P.run(spark, landing(spark, sf), root, as_of=AS_OF)
     g = {n: df.drop("dwh_create_date") for n, df in read_layer(spark, root, "gold", P.GOLD_TABLES).items()}
     return A.sales_by_country(g)
+
+
+# ---------------------------------------------------------------- incremental load
+
+@register("stream_ingest_good", f"SELECT cid, CAST(bdate AS DATE) AS bdate, gen FROM ({_PLANTED_RAW}) raw"
+                                " WHERE reject_reason = ''")
+def stream_ingest_good(spark, sf):
+    """The planted feed picked up by the incremental (streaming) bronze load."""
+    from ..streaming import landing as L
+    src = planted_feed(spark, sf)
+    work = _scratch(spark, "stream")
+    q = L.load_arrivals(spark, src, _PLANTED_SCHEMA, f"{work}/bronze", f"{work}/quarantine",
+                        f"{work}/_checkpoint", header=False)
+    q.awaitTermination()
+    return L.read_loaded(spark, f"{work}/bronze", _PLANTED_SCHEMA).drop(L.EPOCH)
