@@ -37,3 +37,43 @@ def not_exists(left: DataFrame, left_col: str, right: DataFrame, right_col: str)
 def unmatched(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
     """``LEFT JOIN … WHERE right.key IS NULL`` — same rows as NOT EXISTS."""
     return not_exists(left, left_col, right, right_col)
+
+
+# Bytes per value of each type, as Spark's own size estimates count them.
+_TYPE_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8,
+               "date": 4, "timestamp": 8, "timestamp_ntz": 8, "string": 20, "binary": 100}
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated in-memory width of one row (decimals: 8 or 16 bytes)."""
+    total = 8  # row header
+    for f in df.schema.fields:
+        name = f.dataType.typeName()
+        if name == "decimal":
+            total += 8 if f.dataType.precision <= 18 else 16
+        else:
+            total += _TYPE_BYTES.get(name, 64)
+    return total
+
+
+def _threshold(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m").strip().lower()
+    units = {"k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if text.endswith(suffix):
+            return int(float(text[: -len(suffix)]) * units[suffix])
+    return int(text)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only behind a proven bound: exact row count × row width must
+    fit the broadcast threshold.  Meant for lookup sides that are cheap to count
+    (checkpointed or stored dimensions); a larger side is left to the
+    sort-merge join, where AQE splits skewed keys."""
+    limit = _threshold(df) if max_bytes is None else max_bytes
+    if limit <= 0:
+        return df
+    width = row_bytes(df)
+    if df.limit(limit // width + 1).count() * width <= limit:
+        return F.broadcast(df)
+    return df

@@ -14,25 +14,32 @@ from pyspark.sql import functions as F
 from ..functions import calendar as K
 from ..functions import cleanse as C
 from ..functions import metrics as M
+from ..operators.joins import broadcast_if_small
 
 Gold = dict[str, DataFrame]
 
 
-def _fact_customer(g: Gold) -> DataFrame:
-    return g["fact_sales"].join(g["dim_customer"], "customer_key", "inner")
+def _dim(g: Gold, name: str, *cols: str) -> DataFrame:
+    """The dimension columns a report needs, broadcast when provably small."""
+    d = g[name].select(*cols) if cols else g[name]
+    return broadcast_if_small(d)
 
 
-def _fact_product(g: Gold) -> DataFrame:
-    return g["fact_sales"].join(g["dim_products"], "product_key", "inner")
+def _fact_customer(g: Gold, *cols: str) -> DataFrame:
+    return g["fact_sales"].join(_dim(g, "dim_customer", *cols), "customer_key", "inner")
 
 
-def _fact_both(g: Gold) -> DataFrame:
-    return (g["fact_sales"].join(g["dim_customer"], "customer_key", "inner")
-            .join(g["dim_products"], "product_key", "inner"))
+def _fact_product(g: Gold, *cols: str) -> DataFrame:
+    return g["fact_sales"].join(_dim(g, "dim_products", *cols), "product_key", "inner")
+
+
+def _fact_both(g: Gold, cust_cols=(), prod_cols=()) -> DataFrame:
+    return (g["fact_sales"].join(_dim(g, "dim_customer", *cust_cols), "customer_key", "inner")
+            .join(_dim(g, "dim_products", *prod_cols), "product_key", "inner"))
 
 
 def sales_by_customer(g: Gold) -> DataFrame:
-    return (_fact_customer(g)
+    return (_fact_customer(g, "customer_key", "first_name", "last_name", "country")
             .groupBy("customer_key", "first_name", "last_name", "country")
             .agg(F.count("order_number").alias("total_orders"),
                  M.total("sales_amount").alias("total_sales"),
@@ -41,7 +48,7 @@ def sales_by_customer(g: Gold) -> DataFrame:
 
 
 def sales_by_country(g: Gold) -> DataFrame:
-    return (_fact_customer(g)
+    return (_fact_customer(g, "customer_key", "country")
             .groupBy("country")
             .agg(F.countDistinct("customer_key").alias("customer_count"),
                  F.count("order_number").alias("order_count"),
@@ -65,7 +72,7 @@ def demographics(g: Gold, as_of=None) -> DataFrame:
 def top_products(g: Gold) -> DataFrame:
     units = F.sum("quantity")
     revenue = F.sum("sales_amount")
-    return (_fact_product(g)
+    return (_fact_product(g, "product_key", "product_name", "category", "subcategory", "cost")
             .groupBy("product_key", "product_name", "category", "subcategory", "cost")
             .agg(units.alias("units_sold"),
                  revenue.cast("double").alias("total_revenue"),
@@ -78,7 +85,7 @@ def top_products(g: Gold) -> DataFrame:
 
 
 def sales_by_category(g: Gold) -> DataFrame:
-    return (_fact_product(g)
+    return (_fact_product(g, "product_key", "category", "subcategory")
             .groupBy("category", "subcategory")
             .agg(F.countDistinct("product_key").alias("product_count"),
                  F.sum("quantity").alias("total_quantity"),
@@ -90,7 +97,7 @@ def sales_by_category(g: Gold) -> DataFrame:
 def by_product_line(g: Gold) -> DataFrame:
     units = F.sum("quantity")
     revenue = F.sum("sales_amount")
-    return (_fact_product(g)
+    return (_fact_product(g, "product_key", "product_line")
             .groupBy("product_line")
             .agg(F.countDistinct("product_key").alias("product_count"),
                  revenue.cast("double").alias("total_sales"),
@@ -133,7 +140,7 @@ def weekday(g: Gold) -> DataFrame:
 
 
 def customer_category(g: Gold) -> DataFrame:
-    return (_fact_both(g)
+    return (_fact_both(g, ("customer_key", "customer_id", "first_name", "last_name"), ("product_key", "category"))
             .groupBy("customer_id", "first_name", "last_name", "category")
             .agg(F.count("order_number").alias("order_count"),
                  M.total("sales_amount").alias("total_spent"),
@@ -144,7 +151,7 @@ def customer_category(g: Gold) -> DataFrame:
 
 
 def geo_product(g: Gold) -> DataFrame:
-    return (_fact_both(g)
+    return (_fact_both(g, ("customer_key", "country"), ("product_key", "category", "product_line"))
             .groupBy("country", "category", "product_line")
             .agg(M.total("sales_amount").alias("total_sales"),
                  F.sum("quantity").alias("units_sold"))
@@ -154,9 +161,11 @@ def geo_product(g: Gold) -> DataFrame:
 def template_filtered(g: Gold, country: str, since: str, by_customer: str = "gender",
                       by_product: str = "category") -> DataFrame:
     """The analyst template: dimension filters applied before the join."""
-    c = g["dim_customer"].filter(F.col("country") == country)
+    c = broadcast_if_small(g["dim_customer"].filter(F.col("country") == country)
+                           .select("customer_key", by_customer))
     f = g["fact_sales"].filter(F.col("order_date") >= F.lit(since).cast("date"))
-    return (f.join(c, "customer_key", "inner").join(g["dim_products"], "product_key", "inner")
+    return (f.join(c, "customer_key", "inner").join(_dim(g, "dim_products", "product_key", by_product),
+                                                    "product_key", "inner")
             .groupBy(by_customer, by_product)
             .agg(F.countDistinct("order_number").alias("order_count"),
                  M.total("sales_amount").alias("total_sales"),
@@ -172,6 +181,8 @@ def star_filter(g: Gold, category: str, hint_broadcast: bool = False) -> DataFra
     p = g["dim_products"].filter(F.col("category") == category).select("product_key", "category")
     if hint_broadcast:
         p = p.hint("broadcast")
+    else:
+        p = broadcast_if_small(p)
     return (p.join(g["fact_sales"].select("product_key", "sales_amount"), "product_key", "inner")
             .groupBy("category").agg(M.total("sales_amount").alias("total_sales")))
 
@@ -197,10 +208,10 @@ def order_metrics(g: Gold) -> DataFrame:
 def headline_shares(g: Gold) -> DataFrame:
     """Revenue and share of revenue per country and per category."""
     f = g["fact_sales"].select("customer_key", "product_key", "sales_amount")
-    by_country = (f.join(g["dim_customer"].select("customer_key", "country"), "customer_key")
+    by_country = (f.join(_dim(g, "dim_customer", "customer_key", "country"), "customer_key")
                   .groupBy(F.lit("country").alias("dimension"), F.col("country").alias("member"))
                   .agg(F.sum("sales_amount").alias("_sales")))
-    by_category = (f.join(g["dim_products"].select("product_key", "category"), "product_key")
+    by_category = (f.join(_dim(g, "dim_products", "product_key", "category"), "product_key")
                    .groupBy(F.lit("category").alias("dimension"), F.col("category").alias("member"))
                    .agg(F.sum("sales_amount").alias("_sales")))
     # the window runs over aggregated rows: one per country or category

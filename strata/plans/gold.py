@@ -2,11 +2,12 @@
 
 ``dim_customer`` and ``dim_products`` get dense surrogate keys from the
 distributed numbering (no single-partition window); ``fact_sales`` looks the
-keys up with two left joins on natural keys.  Which join strategy runs is left
-to Spark: the static broadcast threshold only sees Catalyst's upper-bound size
-estimates and AQE re-plans from measured shuffle sizes, so a dimension is
-broadcast only when its size is known to be small and a large one is
-sort-merge joined (with skewed fact keys split by AQE).
+keys up with two left joins on natural keys.  A numbered dimension is read
+from its checkpoint, for which Catalyst has no size estimate, so the lookup is
+broadcast only after a bounded count proves it fits the broadcast threshold;
+a larger dimension is sort-merge joined and AQE splits skewed fact keys.  The
+ERP enrichment joins of the customer dimension are left to Spark's estimates
+and AQE (both sides are customer-sized).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleanse as C
+from ..operators.joins import broadcast_if_small
 from ..operators.ordering import surrogate_key
 from ..schemas import DIM_CUSTOMER_COLUMNS, DIM_PRODUCTS_COLUMNS, FACT_SALES_COLUMNS
 
@@ -74,8 +76,11 @@ def dim_products(silver: dict[str, DataFrame]) -> DataFrame:
 
 def fact_sales(silver: dict[str, DataFrame], dim_prod: DataFrame, dim_cust: DataFrame) -> DataFrame:
     sd = silver["crm_sales_details"].alias("sd")
-    pr = dim_prod.select("product_key", "product_number").alias("pr")
-    cu = dim_cust.select("customer_key", "customer_id").alias("cu")
+    # the lookups are two-column projections of counted dimensions: broadcast
+    # when their exact size fits, else sort-merge (the fact is never shuffled
+    # just to find out that a dimension was small)
+    pr = broadcast_if_small(dim_prod.select("product_key", "product_number")).alias("pr")
+    cu = broadcast_if_small(dim_cust.select("customer_key", "customer_id")).alias("cu")
     joined = (sd.join(pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"), "left")
                 .join(cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"), "left"))
     return joined.select(
