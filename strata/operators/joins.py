@@ -77,3 +77,42 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     if df.limit(limit // width + 1).count() * width <= limit:
         return F.broadcast(df)
     return df
+
+
+HOT_KEY_ROWS = 1_000_000  # right-side rows of one key that one task should join
+
+
+def left_join_spread(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                     hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` that survives a right key
+    holding a large share of all rows.
+
+    AQE splits a skewed partition only on the preserved side of an outer join.
+    Here right keys with more than ``hot_rows`` rows ("hot") are spread: their
+    right rows, with exact copies folded into one row and a count, go to
+    ``ceil(n / hot_rows)`` salt buckets by row hash, the matching left rows are
+    replicated once per bucket, and the pairs are joined on (key, salt); copies
+    are expanded again in bounded chunks.  Every hot key has right rows, so the
+    hot part is an inner join.  All other keys take the ordinary join.  The hot
+    key table has at most ``|right| / hot_rows`` rows and is broadcast only
+    behind the size check.  Column names of the two sides must not overlap.
+    """
+    from .ordering import _N, expand_copies, fold_copies
+
+    rcols, lcols = right.columns, left.columns
+    per_key = right.groupBy(F.col(right_key).alias("_hk")).agg(F.count(F.lit(1)).alias("_hn"))
+    hot = broadcast_if_small(per_key.filter(F.col("_hn") > hot_rows)
+                             .select("_hk", F.ceil(F.col("_hn") / hot_rows).cast("int").alias("_hs")))
+    rt = right.join(hot, F.col(right_key) == F.col("_hk"), "left")
+    lt = left.join(hot, F.col(left_key) == F.col("_hk"), "left")
+
+    cold = (lt.filter(F.col("_hs").isNull()).select(*lcols)
+            .join(rt.filter(F.col("_hs").isNull()).select(*rcols), F.col(left_key) == F.col(right_key), "left"))
+
+    r_hot = (fold_copies(rt.filter(F.col("_hs").isNotNull()).select(*rcols, "_hs"))
+             .withColumn("_rsalt", F.pmod(F.xxhash64(*rcols), F.col("_hs"))).drop("_hs"))
+    l_hot = (lt.filter(F.col("_hs").isNotNull())
+             .withColumn("_lsalt", F.explode(F.sequence(F.lit(0), F.col("_hs") - 1))).select(*lcols, "_lsalt"))
+    pairs = l_hot.join(r_hot, (F.col(left_key) == F.col(right_key)) & (F.col("_lsalt") == F.col("_rsalt")), "inner")
+    hot_part = expand_copies(pairs.select(*lcols, *rcols, _N)).select(*lcols, *rcols)
+    return cold.unionByName(hot_part)

@@ -6,8 +6,8 @@ keys up with two left joins on natural keys.  A numbered dimension is read
 from its checkpoint, for which Catalyst has no size estimate, so the lookup is
 broadcast only after a bounded count proves it fits the broadcast threshold;
 a larger dimension is sort-merge joined and AQE splits skewed fact keys.  The
-ERP enrichment joins of the customer dimension are left to Spark's estimates
-and AQE (both sides are customer-sized).
+ERP enrichment joins of the customer dimension spread hot ERP keys over salt
+buckets, because AQE cannot split the non-preserved side of an outer join.
 """
 
 from __future__ import annotations
@@ -16,29 +16,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleanse as C
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import HOT_KEY_ROWS, broadcast_if_small, left_join_spread
 from ..operators.ordering import surrogate_key
 from ..schemas import DIM_CUSTOMER_COLUMNS, DIM_PRODUCTS_COLUMNS, FACT_SALES_COLUMNS
 
 
-def customer_rows(silver: dict[str, DataFrame]) -> DataFrame:
-    """CRM customers enriched from the two ERP tables (both joined on the CRM key,
-    so the second join reuses the first one's partitioning)."""
-    ci = silver["crm_cust_info"].alias("ci")
-    ca = silver["erp_cust_a1z12"].alias("ca")
-    la = silver["erp_loc_a101"].alias("la")
-    joined = (ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-                .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left"))
+def customer_rows(silver: dict[str, DataFrame], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """CRM customers enriched from the two ERP tables, both on the CRM key.  The
+    ERP sides are the non-preserved sides, where AQE cannot split a hot key, so
+    both joins spread hot ERP keys (see ``left_join_spread``)."""
+    ci = silver["crm_cust_info"]
+    ca = silver["erp_cust_a1z12"].select(F.col("cid").alias("_ca_cid"), F.col("bdate").alias("_ca_bdate"),
+                                         F.col("gen").alias("_ca_gen"))
+    la = silver["erp_loc_a101"].select(F.col("cid").alias("_la_cid"), F.col("cntry").alias("_la_cntry"))
+    joined = left_join_spread(left_join_spread(ci, ca, "cst_key", "_ca_cid", hot_rows),
+                              la, "cst_key", "_la_cid", hot_rows)
     return joined.select(
-        F.col("ci.cst_id").alias("customer_id"),
-        F.col("ci.cst_key").alias("customer_number"),
-        F.col("ci.cst_firstname").alias("first_name"),
-        F.col("ci.cst_lastname").alias("last_name"),
-        F.col("la.cntry").alias("country"),
-        F.col("ci.cst_material_status").alias("marital_status"),
-        C.coalesce_sources(F.col("ci.cst_gndr"), F.col("ca.gen")).alias("gender"),
-        F.col("ca.bdate").alias("birthdate"),
-        F.col("ci.cst_create_date").alias("create_date"),
+        F.col("cst_id").alias("customer_id"),
+        F.col("cst_key").alias("customer_number"),
+        F.col("cst_firstname").alias("first_name"),
+        F.col("cst_lastname").alias("last_name"),
+        F.col("_la_cntry").alias("country"),
+        F.col("cst_material_status").alias("marital_status"),
+        C.coalesce_sources(F.col("cst_gndr"), F.col("_ca_gen")).alias("gender"),
+        F.col("_ca_bdate").alias("birthdate"),
+        F.col("cst_create_date").alias("create_date"),
     )
 
 

@@ -38,3 +38,14 @@ def test_not_in_matches_spark_sql(spark):
     right.createOrReplaceTempView("r")
     want = spark.sql("SELECT k FROM l WHERE k NOT IN (SELECT r FROM r)")
     assert _ids(joins.not_in(left, "k", right, "r")) == _ids(want)
+
+
+def test_left_join_spread_matches_left_join(spark):
+    from pyspark.sql import functions as F
+    left = spark.createDataFrame([(i % 7, f"l{i}") for i in range(40)] + [(None, "ln")], "k int, lv string")
+    right_rows = [(1, f"r{i}") for i in range(25)] + [(1, "dup")] * 9 + [(2, "a"), (2, "b"), (None, "rn")] \
+        + [(3, f"x{i}") for i in range(6)]
+    right = spark.createDataFrame(right_rows, "rk int, rv string")
+    got = joins.left_join_spread(left, right, "k", "rk", hot_rows=4)
+    want = left.join(right, F.col("k") == F.col("rk"), "left")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
