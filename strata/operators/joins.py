@@ -67,9 +67,10 @@ def _threshold(df: DataFrame) -> int:
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Broadcast hint only behind a proven bound: exact row count × row width must
-    fit the broadcast threshold.  Meant for lookup sides that are cheap to count
-    (checkpointed or stored dimensions); a larger side is left to the
-    sort-merge join, where AQE splits skewed keys."""
+    fit the broadcast threshold (the count stops one row past the bound).  Meant
+    for lookup sides that are cheap to count (stored dimensions, narrow maps of
+    a scan); a larger side is returned unchanged for the sort-merge join, where
+    AQE splits skewed keys."""
     limit = _threshold(df) if max_bytes is None else max_bytes
     if limit <= 0:
         return df
@@ -96,13 +97,24 @@ def left_join_spread(left: DataFrame, right: DataFrame, left_key: str, right_key
     hot part is an inner join.  All other keys take the ordinary join.  The hot
     key table has at most ``|right| / hot_rows`` rows and is broadcast only
     behind the size check.  Column names of the two sides must not overlap.
+
+    Fast paths: a right side that provably fits the broadcast threshold is
+    broadcast (a hot key costs nothing there), and without hot keys the plain
+    join runs.
     """
     from .ordering import _N, expand_copies, fold_copies
 
+    on = F.col(left_key) == F.col(right_key)
+    small = broadcast_if_small(right)
+    if small is not right:
+        return left.join(small, on, "left")
     rcols, lcols = right.columns, left.columns
     per_key = right.groupBy(F.col(right_key).alias("_hk")).agg(F.count(F.lit(1)).alias("_hn"))
-    hot = broadcast_if_small(per_key.filter(F.col("_hn") > hot_rows)
-                             .select("_hk", F.ceil(F.col("_hn") / hot_rows).cast("int").alias("_hs")))
+    hot = (per_key.filter(F.col("_hn") > hot_rows)
+           .select("_hk", F.ceil(F.col("_hn") / hot_rows).cast("int").alias("_hs")))
+    if hot.limit(1).count() == 0:
+        return left.join(right, on, "left")
+    hot = broadcast_if_small(hot)
     rt = right.join(hot, F.col(right_key) == F.col("_hk"), "left")
     lt = left.join(hot, F.col(left_key) == F.col("_hk"), "left")
 

@@ -10,9 +10,11 @@ from distributed pieces:
 2. the distinct rows are range-sorted on the order plus every column as tie
    break (Spark samples the range bounds; distinct sort keys always split);
 3. copies are expanded again in bounded chunks spread over tasks;
-4. the sorted result is checkpointed to the shared checkpoint folder, which
-   fixes its partitions, so every later read numbers the same rows the same
-   way, also after an executor is lost;
+4. each sorted row is tagged with its range partition and its position in
+   it, and the tagged rows are written once as a table in the shared
+   checkpoint folder: that cuts the lineage (a later read never re-samples
+   the range bounds, also not after an executor is lost) and, unlike an eager
+   ``checkpoint()``, does not compute the sort twice;
 5. a row's number = rows in earlier partitions (a table with one row per
    partition, broadcast) + its position inside its partition.
 
@@ -22,12 +24,13 @@ an equi-join on a unique integer, i.e. perfectly balanced.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_dir
 
 COPY_CHUNK = 1_000_000  # rows one task expands from one group of copies
 
@@ -69,11 +72,13 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_number"
     spark = df.sparkSession
     cols = df.columns
     expanded = expand_copies(fold_copies(df))
+    # every column is a tie break, so the order (and each row's position) is total
     ordered = expanded.orderBy(*order, *[F.col(c).asc_nulls_last() for c in cols], F.col(_COPY))
-    ensure_checkpoint_dir(spark)
-    fixed = ordered.checkpoint(eager=True)
-    placed = fixed.select("*", F.spark_partition_id().alias(_PID),
-                          F.monotonically_increasing_id().alias(_MID))
+    tagged = ordered.select(*cols, F.spark_partition_id().alias(_PID),
+                            F.monotonically_increasing_id().alias(_MID))
+    path = shared_dir(spark, f"strata-numbering-{uuid.uuid4().hex}")
+    tagged.write.parquet(path)
+    placed = spark.read.parquet(path)
     per_part = placed.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     # one row per partition: bounded by the partition count, safe to broadcast
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

@@ -46,6 +46,12 @@ def test_left_join_spread_matches_left_join(spark):
     right_rows = [(1, f"r{i}") for i in range(25)] + [(1, "dup")] * 9 + [(2, "a"), (2, "b"), (None, "rn")] \
         + [(3, f"x{i}") for i in range(6)]
     right = spark.createDataFrame(right_rows, "rk int, rv string")
-    got = joins.left_join_spread(left, right, "k", "rk", hot_rows=4)
+    # a zero broadcast threshold forces the spread path
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = joins.left_join_spread(left, right, "k", "rk", hot_rows=4)
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
     want = left.join(right, F.col("k") == F.col("rk"), "left")
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert sorted(map(str, rows)) == sorted(map(str, want.collect()))
