@@ -92,9 +92,13 @@ def with_rejects(raw: DataFrame, schema: T.StructType, max_text: int | None = No
         if max_text is not None and isinstance(f.dataType, T.StringType):
             reasons.append(F.when(F.length(text) > max_text, F.lit(f"long_{f.name}")))
     reason = F.concat_ws(";", *reasons)
-    return raw.select(*[F.col(f.name).alias(f"_raw_{f.name}") for f in schema.fields], F.col(OVERFLOW),
-                      F.col(SOURCE_FILE), *[v.alias(n) for n, v in typed.items()],
-                      F.when(reason != "", reason).alias(REASON))
+    rejected = F.when(reason != "", reason)
+    # raw text and file path are kept for quarantined rows only (NULL costs
+    # nothing), so persisting the checked rows stores each good value once
+    keep = rejected.isNotNull()
+    return raw.select(*[F.when(keep, F.col(f.name)).alias(f"_raw_{f.name}") for f in schema.fields],
+                      F.col(OVERFLOW), F.when(keep, F.col(SOURCE_FILE)).alias(SOURCE_FILE),
+                      *[v.alias(n) for n, v in typed.items()], rejected.alias(REASON))
 
 
 def split(checked: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
