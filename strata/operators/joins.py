@@ -9,6 +9,8 @@ of the right side decide between "no rows", "all rows" and a plain shuffled
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,17 +67,30 @@ def _threshold(df: DataFrame) -> int:
     return int(text)
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+_ROW_BOUNDS: "weakref.WeakKeyDictionary[DataFrame, dict[int, int]]" = weakref.WeakKeyDictionary()
+
+
+def _bounded_count(df: DataFrame, cap: int) -> int:
+    """min(rows, cap + 1), remembered per DataFrame object."""
+    seen = _ROW_BOUNDS.setdefault(df, {})
+    if cap not in seen:
+        seen[cap] = df.limit(cap + 1).count()
+    return seen[cap]
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only behind a proven bound: exact row count × row width must
     fit the broadcast threshold (the count stops one row past the bound).  Meant
     for lookup sides that are cheap to count (stored dimensions, narrow maps of
     a scan); a larger side is returned unchanged for the sort-merge join, where
-    AQE splits skewed keys."""
+    AQE splits skewed keys.  ``rows_of`` names the table the rows come from when
+    ``df`` is a projection of it, so one count serves every projection."""
     limit = _threshold(df) if max_bytes is None else max_bytes
     if limit <= 0:
         return df
     width = row_bytes(df)
-    if df.limit(limit // width + 1).count() * width <= limit:
+    cap = limit // width
+    if _bounded_count(rows_of if rows_of is not None else df, cap) <= cap:
         return F.broadcast(df)
     return df
 

@@ -22,7 +22,7 @@ Gold = dict[str, DataFrame]
 def _dim(g: Gold, name: str, *cols: str) -> DataFrame:
     """The dimension columns a report needs, broadcast when provably small."""
     d = g[name].select(*cols) if cols else g[name]
-    return broadcast_if_small(d)
+    return broadcast_if_small(d, rows_of=g[name])
 
 
 def _fact_customer(g: Gold, *cols: str) -> DataFrame:

@@ -81,8 +81,8 @@ def fact_sales(silver: dict[str, DataFrame], dim_prod: DataFrame, dim_cust: Data
     # the lookups are two-column projections of counted dimensions: broadcast
     # when their exact size fits, else sort-merge (the fact is never shuffled
     # just to find out that a dimension was small)
-    pr = broadcast_if_small(dim_prod.select("product_key", "product_number")).alias("pr")
-    cu = broadcast_if_small(dim_cust.select("customer_key", "customer_id")).alias("cu")
+    pr = broadcast_if_small(dim_prod.select("product_key", "product_number"), rows_of=dim_prod).alias("pr")
+    cu = broadcast_if_small(dim_cust.select("customer_key", "customer_id"), rows_of=dim_cust).alias("cu")
     joined = (sd.join(pr, F.col("sd.sls_prd_key") == F.col("pr.product_number"), "left")
                 .join(cu, F.col("sd.sls_cust_id") == F.col("cu.customer_id"), "left"))
     return joined.select(
