@@ -83,3 +83,27 @@ def run(spark: SparkSession, landing_root: str, root: str, as_of=None) -> dict[s
     build_gold(spark, root)
     timings["gold"] = time.time() - t
     return timings
+
+
+# Business keys of the silver tables, for the layer monitor.
+SILVER_KEYS = {"crm_cust_info": ["cst_id"], "crm_prod_info": ["prd_id"],
+               "crm_sales_details": ["sls_ord_num", "sls_prd_key"], "erp_cust_a1z12": ["cid"],
+               "erp_loc_a101": ["cid"], "erp_px_cat_g1v2": ["id"]}
+
+
+def layer_monitor(spark: SparkSession, root: str, layer: str = "silver", keys=None) -> DataFrame:
+    """Monitoring metrics of the current batch of a layer: row count, duplicate
+    and NULL business keys, and freshness (latest ``dwh_create_date``)."""
+    from pyspark.sql import functions as F
+
+    from ..operators import quality
+
+    keys = keys or SILVER_KEYS
+    tables = read_layer(spark, root, layer, list(keys))
+    base = quality.monitor({n: (df, keys[n]) for n, df in tables.items()})
+    fresh = None
+    for n, df in tables.items():
+        part = df.agg(F.max("dwh_create_date").alias("loaded_at")).select(F.lit(n).alias("table_name"), "loaded_at")
+        fresh = part if fresh is None else fresh.unionByName(part)
+    # both sides hold one row per table
+    return base.join(fresh, "table_name")

@@ -20,7 +20,7 @@ from ..sources.tables import read_table
 from . import analytics as A
 from . import pipeline as P
 from .layers import AS_OF, silver_of, star
-from .publish import publish_layer, read_layer, write_observed, write_partitioned_fact
+from .publish import read_layer, write_observed, write_partitioned_fact
 
 _LANDING: dict[tuple[str, str], str] = {}
 B_CTE = {"crm_cust_info": "b_cust", "crm_prod_info": "b_prod", "crm_sales_details": "b_sales",

@@ -11,7 +11,6 @@ from ..functions import calendar as K
 from ..functions import cleanse as C
 from ..functions import metrics as M
 from ..operators import dedup, joins
-from ..operators.ordering import lead_within
 from . import gold as G
 from . import silver as S
 from .layers import AS_OF, bronze, silver_of, star

@@ -34,6 +34,10 @@ def test_layer_invariants_and_idempotency(spark):
                 .filter("prd_end_dt >= next_start").count())
     assert overlaps == 0                                               # intervals do not overlap
 
+    mon = {r.table_name: r for r in P.layer_monitor(spark, base + "/wh").collect()}
+    assert mon["crm_cust_info"].duplicate_keys == 0 and mon["crm_cust_info"].null_keys == 0
+    assert all(r.row_count > 0 and r.loaded_at is not None for r in mon.values())
+
     P.run(spark, base + "/landing", base + "/wh", as_of="2025-06-30")  # second refresh
     again = _gold(spark, base + "/wh")
     for n in P.GOLD_TABLES:
