@@ -53,19 +53,19 @@ def dim_customer(silver: dict[str, DataFrame]) -> DataFrame:
 def product_rows(silver: dict[str, DataFrame], current: bool = True) -> DataFrame:
     """Current (open-ended) product versions with their category attributes."""
     pn = silver["crm_prod_info"]
-    pn = pn.filter(F.col("prd_end_dt").isNull() if current else F.col("prd_end_dt").isNotNull()).alias("pn")
-    pc = silver["erp_px_cat_g1v2"].alias("pc")
-    return pn.join(pc, F.col("pn.cat_id") == F.col("pc.id"), "left").select(
-        F.col("pn.prd_id").alias("product_id"),
-        F.col("pn.prd_key").alias("product_number"),
-        F.col("pn.prd_nm").alias("product_name"),
-        F.col("pn.cat_id").alias("category_id"),
-        F.col("pc.cat").alias("category"),
-        F.col("pc.subcat").alias("subcategory"),
-        F.col("pc.maintenance").alias("maintenance"),
-        F.col("pn.prd_cost").alias("cost"),
-        F.col("pn.prd_line").alias("product_line"),
-        F.col("pn.prd_start_dt").alias("start_date"),
+    pn = pn.filter(F.col("prd_end_dt").isNull() if current else F.col("prd_end_dt").isNotNull())
+    pc = silver["erp_px_cat_g1v2"]
+    return left_join_spread(pn, pc, "cat_id", "id").select(
+        F.col("prd_id").alias("product_id"),
+        F.col("prd_key").alias("product_number"),
+        F.col("prd_nm").alias("product_name"),
+        F.col("cat_id").alias("category_id"),
+        F.col("cat").alias("category"),
+        F.col("subcat").alias("subcategory"),
+        F.col("maintenance"),
+        F.col("prd_cost").alias("cost"),
+        F.col("prd_line").alias("product_line"),
+        F.col("prd_start_dt").alias("start_date"),
     )
 
 
