@@ -9,6 +9,7 @@ dimensions of one batch always agree on the keys.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -56,18 +57,34 @@ def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str
 
 
 def load_silver(spark: SparkSession, root: str, as_of=None, batch_id: str | None = None) -> DataFrame:
+    """Six silver tables from the current bronze batch.  Each table is a
+    callable, so the product table's numbering (its own jobs) runs in the
+    publisher's pool alongside the other tables' writes."""
     b = read_layer(spark, root, "bronze", FEEDS)
     b = {n: df.drop("dwh_create_date") for n, df in b.items()}
-    return publish_layer(spark, root, "silver", silver.build_silver(b, as_of), batch_id)
+    builders = {
+        "crm_cust_info": lambda: silver.crm_cust_info(b["crm_cust_info"]),
+        "crm_prod_info": lambda: silver.crm_prod_info(b["crm_prod_info"]),
+        "crm_sales_details": lambda: silver.crm_sales_details(b["crm_sales_details"]),
+        "erp_cust_a1z12": lambda: silver.erp_cust_a1z12(b["erp_cust_a1z12"], as_of),
+        "erp_loc_a101": lambda: silver.erp_loc_a101(b["erp_loc_a101"]),
+        "erp_px_cat_g1v2": lambda: silver.erp_px_cat_g1v2(b["erp_px_cat_g1v2"]),
+    }
+    return publish_layer(spark, root, "silver", builders, batch_id)
 
 
 def build_gold(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame:
-    """Dimensions are numbered (checkpointed) while the plan is built, so the
-    fact's lookups and the written dimensions share one numbering and all three
-    tables can be written concurrently."""
+    """Both dimensions are numbered concurrently (each numbering writes its
+    sorted rows once), then the three tables are written concurrently; the
+    fact looks up the same numbered dimensions it is published with."""
     s = read_layer(spark, root, "silver", FEEDS)
     s = {n: df.drop("dwh_create_date") for n, df in s.items()}
-    return publish_layer(spark, root, "gold", gold.build_gold(s), batch_id)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        dc = pool.submit(gold.dim_customer, s)
+        dp = pool.submit(gold.dim_products, s)
+        dims = {"dim_customer": dc.result(), "dim_products": dp.result()}
+    fact = gold.fact_sales(s, dims["dim_products"], dims["dim_customer"])
+    return publish_layer(spark, root, "gold", {**dims, "fact_sales": fact}, batch_id)
 
 
 def run(spark: SparkSession, landing_root: str, root: str, as_of=None) -> dict[str, float]:
