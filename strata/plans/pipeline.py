@@ -38,13 +38,14 @@ def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str
     """Scan the six feeds once each: good rows are published as bronze, rejected
     rows go to ``<root>/quarantine/<batch>/<feed>``.
 
-    The checked rows are persisted (disk) between the two writes so each file
-    is parsed once; a lost block is rebuilt from the files by lineage.
+    The checked rows are persisted (memory, spilling to disk) between the two
+    writes so each file is parsed once; a lost block is rebuilt from the files
+    by lineage.
     """
     batch = batch_id or new_batch_id()
     checked = {name: delimited.with_rejects(
         delimited.read_text_fields(spark, delimited.feed_path(landing_root, name), BRONZE[name], header),
-        BRONZE[name]).persist(StorageLevel.DISK_ONLY) for name in FEEDS}
+        BRONZE[name]).persist(StorageLevel.MEMORY_AND_DISK) for name in FEEDS}
     try:
         parts = {name: delimited.split(df, BRONZE[name]) for name, df in checked.items()}
         audit = publish_layer(spark, root, "bronze", {n: g for n, (g, _) in parts.items()}, batch)
