@@ -9,6 +9,7 @@ of the right side decide between "no rows", "all rows" and a plain shuffled
 
 from __future__ import annotations
 
+import re
 import weakref
 
 from pyspark.sql import DataFrame
@@ -58,13 +59,17 @@ def row_bytes(df: DataFrame) -> int:
     return total
 
 
+def parse_bytes(text: str) -> int:
+    """Spark size strings: ``10485760b``, ``32m``, ``1.5g``, ``-1``."""
+    m = re.fullmatch(r"(-?\d+(?:\.\d+)?)\s*([kmgtp]?)(?:i?b)?", text.strip().lower())
+    if not m:
+        raise ValueError(f"not a size: {text!r}")
+    scale = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}[m.group(2)]
+    return int(float(m.group(1)) * scale)
+
+
 def _threshold(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m").strip().lower()
-    units = {"k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if text.endswith(suffix):
-            return int(float(text[: -len(suffix)]) * units[suffix])
-    return int(text)
+    return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
 
 
 _ROW_BOUNDS: "weakref.WeakKeyDictionary[DataFrame, dict[int, int]]" = weakref.WeakKeyDictionary()

@@ -55,3 +55,8 @@ def test_left_join_spread_matches_left_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
     want = left.join(right, F.col("k") == F.col("rk"), "left")
     assert sorted(map(str, rows)) == sorted(map(str, want.collect()))
+
+
+def test_parse_bytes():
+    assert [joins.parse_bytes(x) for x in ["10485760b", "32m", "1.5g", "-1", "10MB", "100", "64kb"]] == \
+        [10485760, 32 << 20, int(1.5 * (1 << 30)), -1, 10 << 20, 100, 64 << 10]
