@@ -122,3 +122,19 @@ def write_partitioned_fact(fact: DataFrame, path: str, ranges=ORDER_DATE_RANGES,
     # no shuffle by label: a label can hold a third of all rows, so every task
     # writes its own rows into the label directories
     return write_observed(labelled, path, partition_by=["order_range"])
+
+
+def register_layer(spark: SparkSession, root: str, layer: str, names, batch: str | None = None) -> list[str]:
+    """Expose the current batch of a layer as catalog tables ``<layer>.<table>``
+    (``DROP TABLE IF EXISTS`` + ``CREATE TABLE … USING parquet LOCATION``), so
+    reports can be written as SQL against ``gold.fact_sales`` and friends.
+    The tables are external: dropping one never deletes a batch."""
+    b = batch or current_batch(spark, root, layer)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    created = []
+    for n in names:
+        location = f"{layer_path(root, layer)}/{b}/{n}".replace("'", "\\'")
+        spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{n}`")
+        spark.sql(f"CREATE TABLE `{layer}`.`{n}` USING parquet LOCATION '{location}'")
+        created.append(f"{layer}.{n}")
+    return created

@@ -38,6 +38,12 @@ def test_layer_invariants_and_idempotency(spark):
     assert mon["crm_cust_info"].duplicate_keys == 0 and mon["crm_cust_info"].null_keys == 0
     assert all(r.row_count > 0 and r.loaded_at is not None for r in mon.values())
 
+    from strata.plans.publish import register_layer
+    register_layer(spark, base + "/wh", "gold", P.GOLD_TABLES)
+    by_sql = spark.sql("SELECT count(*) AS n FROM gold.fact_sales f JOIN gold.dim_customer c"
+                       " ON f.customer_key = c.customer_key").first().n
+    assert by_sql == g["fact_sales"].join(g["dim_customer"], "customer_key").count()
+
     P.run(spark, base + "/landing", base + "/wh", as_of="2025-06-30")  # second refresh
     again = _gold(spark, base + "/wh")
     for n in P.GOLD_TABLES:
