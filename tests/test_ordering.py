@@ -67,3 +67,11 @@ def test_superseded_is_multiset_complement(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, [
         *[spark.createDataFrame([r], "id int, d date, x string").first() for r in
           [(1, dt.date(2020, 1, 1), "a")] * 3 + [(None, None, "n")]]]))
+
+
+def test_expand_copies_in_chunks(spark):
+    from strata.operators.ordering import expand_copies, fold_copies
+    df = spark.createDataFrame([("a",)] * 10 + [("b",)] * 3 + [("c",)], "v string")
+    out = expand_copies(fold_copies(df), chunk=3).collect()
+    got = sorted((r.v, r._copy) for r in out)
+    assert got == sorted([("a", i) for i in range(1, 11)] + [("b", i) for i in range(1, 4)] + [("c", 1)])
