@@ -15,8 +15,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -54,7 +54,7 @@ def main() -> None:
                           extra={"spark.eventLog.enabled": "false"})
     timings: dict[str, float] = {}
 
-    run_root = shared_dir(spark, os.path.basename(tempfile.mkdtemp(prefix="bench-", dir="/tmp")))
+    run_root = shared_dir(spark, f"strata-bench-{uuid.uuid4().hex[:12]}")
     landing, root = f"{run_root}/landing", f"{run_root}/warehouse"
 
     t = time.time()
