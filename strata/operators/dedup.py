@@ -42,9 +42,24 @@ def superseded(df: DataFrame, keys: Sequence[str], order: Sequence[Column], *,
                tie_break: Sequence[str] | None = None) -> DataFrame:
     """Rows that lose to a newer row of the same key (rank ≠ 1), as a multiset.
 
-    Computed as ``rows EXCEPT ALL winners``: the winners come from the skew-safe
-    group limit and EXCEPT ALL aggregates by full row (map-side combined), so
-    neither step gathers one key's rows in one task.
+    Built so that no key and no group of identical rows lands in one task:
+    copies are folded into one row with a count, the winner of each key comes
+    from the map-side-limited dedup over the folded rows, one copy of each
+    winner is subtracted in a join on the whole row (hash-partitioned by the
+    whole row, not by the key), and the remaining copies are expanded again in
+    bounded chunks spread over tasks.
     """
-    winners = dedup_latest(df, keys, order, tie_break=tie_break, drop_null_keys=False)
-    return df.exceptAll(winners)
+    from .ordering import _COPY, _N, expand_copies, fold_copies
+
+    cols = df.columns
+    folded = fold_copies(df)
+    winners = dedup_latest(folded.drop(_N), keys, order, tie_break=tie_break, drop_null_keys=False)
+    marked = winners.select(*[F.col(c).alias(f"_w_{c}") for c in cols], F.lit(1).alias("_won"))
+    same_row = None
+    for c in cols:
+        eq = F.col(c).eqNullSafe(F.col(f"_w_{c}"))
+        same_row = eq if same_row is None else (same_row & eq)
+    left = folded.join(marked, same_row, "left")
+    remaining = F.col(_N) - F.coalesce(F.col("_won"), F.lit(0))
+    rest = left.filter(remaining > 0).select(*cols, remaining.alias(_N))
+    return expand_copies(rest).drop(_COPY)
