@@ -2,8 +2,8 @@
 
 ``run`` is the job a scheduler calls.  Each layer is read from the previous
 layer's committed batch and published all-or-nothing; the gold dimensions are
-numbered once and the fact is built from the written dimensions, so fact and
-dimensions of one batch always agree on the keys.
+numbered once and the fact looks up exactly the numbered dimensions that are
+published with it, so fact and dimensions of one batch agree on the keys.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import BRONZE, FEED_FILES, FEEDS
 from ..sources import delimited, feeds
 from . import gold, silver
-from .publish import new_batch_id, publish_layer, read_layer, write_many
+from .publish import commit_batch, new_batch_id, publish_layer, read_layer, write_batch, write_many
 
 GOLD_TABLES = ("dim_customer", "dim_products", "fact_sales")
 
@@ -36,7 +36,8 @@ def land_feeds(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
 def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str | None = None,
                 header: bool = True) -> tuple[DataFrame, dict[str, int]]:
     """Scan the six feeds once each: good rows are published as bronze, rejected
-    rows go to ``<root>/quarantine/<batch>/<feed>``.
+    rows go to ``<root>/quarantine/<batch>/<feed>``; the bronze batch is
+    committed only after both are written.
 
     The checked rows are persisted (memory, spilling to disk) between the two
     writes so each file is parsed once; a lost block is rebuilt from the files
@@ -48,9 +49,10 @@ def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str
         BRONZE[name]).persist(StorageLevel.MEMORY_AND_DISK) for name in FEEDS}
     try:
         parts = {name: delimited.split(df, BRONZE[name]) for name, df in checked.items()}
-        audit = publish_layer(spark, root, "bronze", {n: g for n, (g, _) in parts.items()}, batch)
+        written = write_batch(spark, root, "bronze", {n: g for n, (g, _) in parts.items()}, batch)
         rejected = write_many({n: (r, f"{root.rstrip('/')}/quarantine/{batch}/{n}")
                                for n, (_, r) in parts.items()})
+        audit = commit_batch(spark, root, "bronze", written)
     finally:
         for df in checked.values():
             df.unpersist()

@@ -44,18 +44,16 @@ def new_batch_id() -> str:
     return f"{now}-{uuid.uuid4().hex[:8]}"
 
 
-def publish_layer(spark: SparkSession, root: str, layer: str,
-                  tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
-                  batch_id: str | None = None, loaded_at: dt.datetime | None = None,
-                  parallel: bool = True) -> DataFrame:
-    """Write every table of a layer, then commit the batch; returns the audit.
-
-    The tables of a layer are independent, so their writes are submitted as
-    concurrent Spark jobs (``parallel``); the scheduler interleaves their tasks
-    on the executors.  Any failure propagates before the commit record is
-    written: the previous batch stays current.  Each table gains the load
-    timestamp column ``dwh_create_date``.  A value may be a callable that
-    builds the table.
+def write_batch(spark: SparkSession, root: str, layer: str,
+                tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                batch_id: str | None = None, loaded_at: dt.datetime | None = None,
+                parallel: bool = True) -> list[tuple]:
+    """Write every table of a batch (not yet visible to readers); returns the
+    audit records for :func:`commit_batch`.
+
+    The tables are independent, so their writes are submitted as concurrent
+    Spark jobs (``parallel``).  Each table gains the load timestamp column
+    ``dwh_create_date``.  A value may be a callable that builds the table.
     """
     batch = batch_id or new_batch_id()
     stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -69,15 +67,29 @@ def publish_layer(spark: SparkSession, root: str, layer: str,
     if parallel and len(items) > 1:
         with ThreadPoolExecutor(max_workers=len(items)) as pool:
             futures = [pool.submit(write_one, n, t) for n, t in items]
-            audit = [f.result() for f in futures]  # re-raises the first failure
-    else:
-        audit = [write_one(n, t) for n, t in items]
+            return [f.result() for f in futures]  # re-raises the first failure
+    return [write_one(n, t) for n, t in items]
+
+
+def commit_batch(spark: SparkSession, root: str, layer: str, audit: list[tuple]) -> DataFrame:
+    """Make a written batch current: append its commit record (one small file)."""
     record = spark.createDataFrame(audit, "batch_id string, table_name string, rows_written long, "
                                           "loaded_at timestamp_ntz")
     record.coalesce(1).write.mode("append").json(f"{layer_path(root, layer)}/{COMMITS}")
     return record
 
 
+def publish_layer(spark: SparkSession, root: str, layer: str,
+                  tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                  batch_id: str | None = None, loaded_at: dt.datetime | None = None,
+                  parallel: bool = True) -> DataFrame:
+    """Write every table of a layer, then commit the batch; returns the audit.
+    Any failure propagates before the commit record is written: the previous
+    batch stays current."""
+    audit = write_batch(spark, root, layer, tables, batch_id, loaded_at, parallel)
+    return commit_batch(spark, root, layer, audit)
+
+
 def layer_path(root: str, layer: str) -> str:
     return f"{root.rstrip('/')}/{layer}"
 
