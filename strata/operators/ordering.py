@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
+from .joins import broadcast_if_small
 
 COPY_CHUNK = 1_000_000  # rows one task expands from one group of copies
 
@@ -105,7 +106,8 @@ def lead_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], val
     numbered = number_rows(base, [*[F.col(k).asc_nulls_last() for k in keys], *order], rn)
     nxt = numbered.select((F.col(rn) - 1).alias(rn), F.col("_lead_val").alias("_next_val"),
                           *[F.col(k).alias(f"_next_{i}") for i, k in enumerate(keys)])
-    joined = numbered.join(nxt, rn, "left")
+    # a provably small side is broadcast; otherwise a sort-merge join on a unique integer
+    joined = numbered.join(broadcast_if_small(nxt, rows_of=numbered), rn, "left")
     same_key = None
     for i, k in enumerate(keys):
         eq = F.col(k).eqNullSafe(F.col(f"_next_{i}"))
