@@ -8,16 +8,18 @@ published with it, so fact and dimensions of one batch agree on the keys.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import BRONZE, FEED_FILES, FEEDS
 from ..sources import delimited, feeds
 from . import gold, silver
-from .publish import commit_batch, new_batch_id, publish_layer, read_layer, write_batch, write_many
+from .publish import commit_batch, current_batch, layer_path, new_batch_id, publish_layer, read_layer
 
 GOLD_TABLES = ("dim_customer", "dim_products", "fact_sales")
 
@@ -35,36 +37,65 @@ def land_feeds(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
 
 def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str | None = None,
                 header: bool = True) -> tuple[DataFrame, dict[str, int]]:
-    """Scan the six feeds once each: good rows are published as bronze, rejected
-    rows go to ``<root>/quarantine/<batch>/<feed>``; the bronze batch is
-    committed only after both are written.
-
-    The checked rows are persisted (memory, spilling to disk) between the two
-    writes so each file is parsed once; a lost block is rebuilt from the files
-    by lineage.
+    """Scan the six feeds and write each one once, split by status:
+    ``<root>/bronze/<batch>/<feed>/_status=good`` holds the typed rows,
+    ``…/_status=rejected`` the quarantine (raw text, reason, source file).
+
+    One parse and one write per file, no cache: the raw text columns are NULL
+    for good rows, which costs nothing in parquet, and readers prune to the
+    partition and columns they need.  The six writes run as concurrent jobs;
+    the batch is committed only after all of them succeeded.
     """
     batch = batch_id or new_batch_id()
-    checked = {name: delimited.with_rejects(
-        delimited.read_text_fields(spark, delimited.feed_path(landing_root, name), BRONZE[name], header),
-        BRONZE[name]).persist(StorageLevel.MEMORY_AND_DISK) for name in FEEDS}
-    try:
-        parts = {name: delimited.split(df, BRONZE[name]) for name, df in checked.items()}
-        written = write_batch(spark, root, "bronze", {n: g for n, (g, _) in parts.items()}, batch)
-        rejected = write_many({n: (r, f"{root.rstrip('/')}/quarantine/{batch}/{n}")
-                               for n, (_, r) in parts.items()})
-        audit = commit_batch(spark, root, "bronze", written)
-    finally:
-        for df in checked.values():
-            df.unpersist()
-    return audit, rejected
+    stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+    def write_one(name):
+        checked = delimited.with_rejects(
+            delimited.read_text_fields(spark, delimited.feed_path(landing_root, name), BRONZE[name], header),
+            BRONZE[name])
+        good = F.col(delimited.REASON).isNull()
+        out = (checked.withColumn(delimited.STATUS, F.when(good, F.lit("good")).otherwise(F.lit("rejected")))
+               .withColumn("dwh_create_date", F.lit(stamp).cast("timestamp_ntz")))
+        obs = Observation()
+        (out.observe(obs, F.sum(F.when(good, 1).otherwise(0)).alias("good"),
+                     F.sum(F.when(good, 0).otherwise(1)).alias("rejected"))
+            .write.mode("overwrite").partitionBy(delimited.STATUS)
+            .parquet(f"{layer_path(root, 'bronze')}/{batch}/{name}"))
+        m = obs.get
+        return (batch, name, int(m["good"] or 0), stamp), int(m["rejected"] or 0)
+
+    with ThreadPoolExecutor(max_workers=len(FEEDS)) as pool:
+        results = dict(zip(FEEDS, pool.map(write_one, FEEDS)))
+    audit = commit_batch(spark, root, "bronze", [r[0] for r in results.values()])
+    return audit, {n: r[1] for n, r in results.items()}
+
+
+def _bronze_part(spark: SparkSession, root: str, name: str, status: str, batch: str | None) -> DataFrame:
+    b = batch or current_batch(spark, root, "bronze")
+    layout = T.StructType([*delimited.checked_schema(BRONZE[name]).fields,
+                           T.StructField("dwh_create_date", T.TimestampNTZType(), True),
+                           T.StructField(delimited.STATUS, T.StringType(), True)])
+    table = spark.read.schema(layout).parquet(f"{layer_path(root, 'bronze')}/{b}/{name}")
+    return table.filter(F.col(delimited.STATUS) == status)
+
+
+def read_bronze(spark: SparkSession, root: str, names=FEEDS, batch: str | None = None) -> dict[str, DataFrame]:
+    """The typed good rows of the current bronze batch."""
+    return {n: _bronze_part(spark, root, n, "good", batch).select(*BRONZE[n].names, "dwh_create_date")
+            for n in names}
+
+
+def read_quarantine(spark: SparkSession, root: str, names=FEEDS, batch: str | None = None) -> dict[str, DataFrame]:
+    """The rejected rows of the current bronze batch, as delivered, with reason and file."""
+    return {n: delimited.rejected_rows(_bronze_part(spark, root, n, "rejected", batch), BRONZE[n])
+            for n in names}
 
 
 def load_silver(spark: SparkSession, root: str, as_of=None, batch_id: str | None = None) -> DataFrame:
     """Six silver tables from the current bronze batch.  Each table is a
     callable, so the product table's numbering (its own jobs) runs in the
     publisher's pool alongside the other tables' writes."""
-    b = read_layer(spark, root, "bronze", FEEDS)
-    b = {n: df.drop("dwh_create_date") for n, df in b.items()}
+    b = {n: df.drop("dwh_create_date") for n, df in read_bronze(spark, root).items()}
     builders = {
         "crm_cust_info": lambda: silver.crm_cust_info(b["crm_cust_info"]),
         "crm_prod_info": lambda: silver.crm_prod_info(b["crm_prod_info"]),
@@ -119,7 +150,7 @@ def layer_monitor(spark: SparkSession, root: str, layer: str = "silver", keys=No
     from ..operators import quality
 
     keys = keys or SILVER_KEYS
-    tables = read_layer(spark, root, layer, list(keys))
+    tables = read_bronze(spark, root, list(keys)) if layer == "bronze" else read_layer(spark, root, layer, list(keys))
     base = quality.monitor({n: (df, keys[n]) for n, df in tables.items()})
     fresh = None
     for n, df in tables.items():

@@ -101,12 +101,27 @@ def with_rejects(raw: DataFrame, schema: T.StructType, max_text: int | None = No
                       *[v.alias(n) for n, v in typed.items()], rejected.alias(REASON))
 
 
+STATUS = "_status"
+
+
+def checked_schema(schema: T.StructType) -> T.StructType:
+    """Layout of :func:`with_rejects` output (raw text, overflow, file, typed, reason)."""
+    text = [T.StructField(f"_raw_{f.name}", T.StringType(), True) for f in schema.fields]
+    return T.StructType([*text, T.StructField(OVERFLOW, T.StringType(), True),
+                         T.StructField(SOURCE_FILE, T.StringType(), True),
+                         *[T.StructField(f.name, f.dataType, True) for f in schema.fields],
+                         T.StructField(REASON, T.StringType(), True)])
+
+
+def rejected_rows(checked: DataFrame, schema: T.StructType) -> DataFrame:
+    return checked.filter(F.col(REASON).isNotNull()).select(
+        *[F.col(f"_raw_{n}").alias(n) for n in schema.names], F.col(OVERFLOW), F.col(REASON), F.col(SOURCE_FILE))
+
+
 def split(checked: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(good typed rows, quarantined raw rows with reason and source file)."""
     good = checked.filter(F.col(REASON).isNull()).select(*schema.names)
-    rejects = checked.filter(F.col(REASON).isNotNull()).select(
-        *[F.col(f"_raw_{n}").alias(n) for n in schema.names], F.col(OVERFLOW), F.col(REASON), F.col(SOURCE_FILE))
-    return good, rejects
+    return good, rejected_rows(checked, schema)
 
 
 def ingest(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
