@@ -229,7 +229,6 @@ def stream_ingest_good(spark, sf):
     from ..streaming import landing as L
     src = planted_feed(spark, sf)
     work = _scratch(spark, "stream")
-    q = L.load_arrivals(spark, src, _PLANTED_SCHEMA, f"{work}/bronze", f"{work}/quarantine",
-                        f"{work}/_checkpoint", header=False)
+    q = L.load_arrivals(spark, src, _PLANTED_SCHEMA, f"{work}/bronze", f"{work}/_checkpoint", header=False)
     q.awaitTermination()
     return L.read_loaded(spark, f"{work}/bronze", _PLANTED_SCHEMA).drop(L.EPOCH)

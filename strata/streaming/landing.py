@@ -2,18 +2,18 @@
 
 The batch bronze load rereads whole feeds; this job picks up only files that
 landed since its last run (Structured Streaming file source, progress kept in
-the checkpoint), applies the same tolerant parse, and splits every
-micro-batch into good rows and quarantined rows.
+the checkpoint), applies the same tolerant parse, and writes every
+micro-batch once, split by status like the batch load:
+``<table>/_epoch=<id>/_status=good|rejected``.
 
-Each micro-batch is written to its own ``_epoch=<id>`` folder in overwrite
-mode: when a batch is replayed after a failure it replaces its own output, so
-the tables never hold a batch twice.  ``available_now`` processes everything
+Each micro-batch goes to its own ``_epoch=<id>`` folder in overwrite mode:
+when a batch is replayed after a failure it replaces its own output, so the
+table never holds a batch twice.  ``available_now`` processes everything
 present and stops (scheduled runs); without it the query keeps running.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,25 +36,32 @@ def arriving_rows(spark: SparkSession, folder: str, schema: T.StructType, header
     return delimited.with_rejects(raw, schema)
 
 
-def load_arrivals(spark: SparkSession, folder: str, schema: T.StructType, bronze_path: str,
-                  quarantine_path: str, checkpoint: str, header: bool = True,
-                  available_now: bool = True) -> StreamingQuery:
+def load_arrivals(spark: SparkSession, folder: str, schema: T.StructType, table_path: str,
+                  checkpoint: str, header: bool = True, available_now: bool = True) -> StreamingQuery:
     checked = arriving_rows(spark, folder, schema, header)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist(StorageLevel.DISK_ONLY)  # one parse feeds both outputs
-        try:
-            good, rejects = delimited.split(batch, schema)
-            good.write.mode("overwrite").parquet(f"{bronze_path}/{EPOCH}={epoch_id}")
-            rejects.write.mode("overwrite").parquet(f"{quarantine_path}/{EPOCH}={epoch_id}")
-        finally:
-            batch.unpersist()
+        good = F.col(delimited.REASON).isNull()
+        (batch.withColumn(delimited.STATUS, F.when(good, F.lit("good")).otherwise(F.lit("rejected")))
+              .write.mode("overwrite").partitionBy(delimited.STATUS)
+              .parquet(f"{table_path}/{EPOCH}={epoch_id}"))
 
     writer = checked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
+def _part(spark: SparkSession, path: str, schema: T.StructType, status: str) -> DataFrame:
+    layout = T.StructType([*delimited.checked_schema(schema).fields, T.StructField(EPOCH, T.LongType()),
+                           T.StructField(delimited.STATUS, T.StringType())])
+    return spark.read.schema(layout).parquet(path).filter(F.col(delimited.STATUS) == status)
+
+
 def read_loaded(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All micro-batches written so far, as one table."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(EPOCH, T.LongType())])).parquet(path)
+    """All good rows written so far, typed, with their micro-batch id."""
+    return _part(spark, path, schema, "good").select(*schema.names, EPOCH)
+
+
+def read_rejected(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All quarantined rows written so far, as delivered, with reason and file."""
+    return delimited.rejected_rows(_part(spark, path, schema, "rejected"), schema)

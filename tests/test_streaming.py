@@ -20,13 +20,13 @@ def test_two_runs_pick_up_only_new_files(spark):
     base = tempfile.mkdtemp(prefix="strata-stream-")
     src = os.path.join(base, "in")
     os.makedirs(src)
-    args = (spark, src, SCHEMA, base + "/bronze", base + "/quarantine", base + "/ckpt")
+    args = (spark, src, SCHEMA, base + "/bronze", base + "/ckpt")
     _drop(src, "a.csv", ["AW1,1980-01-01,M", "AW2,not-a-date,F", "AW3,1990-02-03"])
     L.load_arrivals(*args).awaitTermination()
     _drop(src, "b.csv", ["AW4,1970-05-06,F", "AW5,1971-05-06,F,extra"])
     L.load_arrivals(*args).awaitTermination()
     good = L.read_loaded(spark, base + "/bronze", SCHEMA)
     assert sorted(r.cid for r in good.collect()) == ["AW1", "AW3", "AW4"]
-    bad = spark.read.parquet(base + "/quarantine")
+    bad = L.read_rejected(spark, base + "/bronze", SCHEMA)
     assert sorted((r.cid, r.reject_reason) for r in bad.collect()) == [("AW2", "bad_bdate"), ("AW5", "too_many_fields")]
     assert good.select(L.EPOCH).distinct().count() == 2
