@@ -3,9 +3,10 @@
 ``dim_customer`` and ``dim_products`` get dense surrogate keys from the
 distributed numbering (no single-partition window); ``fact_sales`` looks the
 keys up with two left joins on natural keys.  A numbered dimension is read
-from its checkpoint, for which Catalyst has no size estimate, so the lookup is
-broadcast only after a bounded count proves it fits the broadcast threshold;
-a larger dimension is sort-merge joined and AQE splits skewed fact keys.  The
+back from the table its numbering wrote; the lookup is broadcast only after a
+bounded count proves it fits the broadcast threshold (so the fact is never
+shuffled just to find that out), and a larger dimension is sort-merge joined
+with AQE splitting skewed fact keys.  The
 ERP enrichment joins of the customer dimension spread hot ERP keys over salt
 buckets, because AQE cannot split the non-preserved side of an outer join.
 """

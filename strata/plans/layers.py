@@ -1,7 +1,8 @@
 """Lazy bronze → silver → gold chains over the driver tables.
 
 The dimensions are numbered once per session and input folder (numbering
-checkpoints the sorted rows), so every report of a session sees the same keys.
+writes the sorted rows once to the shared folder), so every report of a
+session sees the same keys.
 """
 
 from __future__ import annotations
