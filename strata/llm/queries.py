@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import sharding, toxicity
+from . import decontaminate, sharding, toxicity
 
 SHARDS = 40
 
@@ -19,11 +19,16 @@ def op2_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(read_table(spark, sf_dir, "documents", "doc_id", "text"), SHARDS)
 
 
+def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                              read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                     read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jump_sharding, op7_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_jump_sharding, op5_positional_index, op7_toxicity)}
 
 ORACLES: dict[str, str] = {}
