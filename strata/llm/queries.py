@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import decontaminate, sharding, toxicity
+from . import decontaminate, langid, sharding, toxicity
 
 SHARDS = 40
 
@@ -29,6 +29,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jump_sharding, op5_positional_index, op7_toxicity)}
+def op10_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+QUERIES = {f.__name__: f for f in (op2_jump_sharding, op5_positional_index, op7_toxicity, op10_segmentation_langid)}
 
 ORACLES: dict[str, str] = {}
