@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import decontaminate, langid, sharding, toxicity
+from . import decontaminate, encode, langid, sharding, toxicity
 
 SHARDS = 40
 
@@ -19,6 +19,10 @@ def op2_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(read_table(spark, sf_dir, "documents", "doc_id", "text"), SHARDS)
 
 
+def op4_suffix_array_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
+
+
 def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                               read_table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -33,6 +37,6 @@ def op10_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jump_sharding, op5_positional_index, op7_toxicity, op10_segmentation_langid)}
+QUERIES = {f.__name__: f for f in (op2_jump_sharding, op4_suffix_array_encoding, op5_positional_index, op7_toxicity, op10_segmentation_langid)}
 
 ORACLES: dict[str, str] = {}
