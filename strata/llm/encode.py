@@ -300,12 +300,9 @@ def encode(docs: DataFrame, path: str = PIECE_MODEL, text: str = "text", keep: l
     Null and empty texts have no ids; a null text keeps null ids and a null round_trip.
     A space mark (U+2581) in a text reads as a blank, so such a text does not round-trip.
     """
-    pieces = Pieces.load(path)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(pieces)  # one vocabulary, a few MB
+    vocabulary = Pieces.load(path)  # a few MB, sent with the task
 
     def compute(raw, off, rows):
-        vocabulary = shared.value
         ids, ptr = encode_chunk(raw, off, vocabulary, _kept(vocabulary))
         back, boff = decode_chunk(ids, ptr, vocabulary)
         null = rows.column(rows.schema.get_field_index(text)).is_null().to_numpy(zero_copy_only=False)
@@ -325,13 +322,12 @@ def encode(docs: DataFrame, path: str = PIECE_MODEL, text: str = "text", keep: l
 
 def decode(rows: DataFrame, path: str = PIECE_MODEL, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Appends the text that an ``array<int>`` column stands for (null for null; ids outside the vocabulary are unknown)."""
-    shared = rows.sparkSession.sparkContext.broadcast(Pieces.load(path))
+    pieces = Pieces.load(path)
     kept = [c for c in rows.columns if c != out]
     source = rows.select(*dict.fromkeys([*kept, ids]))
     shape = source.select(*kept).schema.add(out, "string")
 
     def run(batches):
-        pieces = shared.value
         for batch in batches:
             texts = []
             for one in batch.column(batch.schema.get_field_index(ids)).to_pylist():
