@@ -144,7 +144,7 @@ def suffix_array(data: np.ndarray, left: np.ndarray, levels: int) -> tuple[np.nd
             same &= w[1:] == w[:-1]
         tie[1:] |= same
         tie[:-1] |= same
-        tie &= left[order] > 8 * v
+        tie &= left[order] >= 8 * v  # the separator may be the next byte
         slots = np.flatnonzero(tie)
         if not len(slots):
             break
