@@ -7,6 +7,7 @@ one text, where a single text is longer) and not by the partition.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -138,7 +139,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    del df
+    # Spark deletes the shuffle files of a finished job once the driver's JVM drops its plan
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return table
 
 
 def add_text_columns(df: DataFrame, compute, fields: list[tuple[str, str]], text: str = "text",
