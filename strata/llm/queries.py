@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import decontaminate, encode, langid, repeats, sharding, toxicity
+from . import decontaminate, encode, jaccard, langid, repeats, sharding, toxicity
 
 SHARDS = 40
 
@@ -33,6 +33,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op8_jaccard_multi_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_suffix_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -41,6 +45,6 @@ def op10_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jump_sharding, op4_suffix_array_encoding, op5_positional_index, op7_toxicity, op9_suffix_radix_dedup, op10_segmentation_langid)}
+QUERIES = {f.__name__: f for f in (op2_jump_sharding, op4_suffix_array_encoding, op5_positional_index, op7_toxicity, op8_jaccard_multi_order, op9_suffix_radix_dedup, op10_segmentation_langid)}
 
 ORACLES: dict[str, str] = {}
