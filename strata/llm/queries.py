@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import decontaminate, encode, jaccard, langid, repeats, sharding, toxicity
+from . import decontaminate, encode, fingerprint, jaccard, langid, repeats, sharding, toxicity
 
 SHARDS = 40
 
@@ -28,6 +28,10 @@ def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               read_table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op6_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                     read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -45,6 +49,6 @@ def op10_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (op2_jump_sharding, op4_suffix_array_encoding, op5_positional_index, op7_toxicity, op8_jaccard_multi_order, op9_suffix_radix_dedup, op10_segmentation_langid)}
+QUERIES = {f.__name__: f for f in (op2_jump_sharding, op4_suffix_array_encoding, op5_positional_index, op6_chunk_fingerprints, op7_toxicity, op8_jaccard_multi_order, op9_suffix_radix_dedup, op10_segmentation_langid)}
 
 ORACLES: dict[str, str] = {}
