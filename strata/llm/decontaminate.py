@@ -282,3 +282,11 @@ def contamination_report(docs: DataFrame, items: DataFrame, window: int = WINDOW
         F.coalesce(F.size("names"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("names", ","), F.lit("")), 256).alias("items_sha256"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated")))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows whose text holds a window of a test item (a null text is clean)."""
+    name = F.xxhash64("text")
+    report = contamination_report(docs.where("text is not null").select(name.alias("doc_id"), "text"), items, window)
+    dirty = report.where("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
+    return docs.join(dirty, name == F.col("_dirty"), "left_anti")

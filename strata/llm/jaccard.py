@@ -32,7 +32,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BLANK_WORD, Words, mix64, text_chunks, written
@@ -100,7 +100,8 @@ def _token_rows(docs: DataFrame, k: int, buckets: int) -> DataFrame:
             names, sizes = set_names(tokens, ptr), np.diff(ptr)
             ids = rows.column(rows.schema.get_field_index("doc_id"))
             null = ids.is_null().to_numpy(zero_copy_only=False)
-            listed = np.stack([ids.fill_null(0).to_numpy(zero_copy_only=False), null.astype(np.int64), names, sizes], axis=1)
+            tx = rows.column(rows.schema.get_field_index("tx")).to_numpy(zero_copy_only=False)
+            listed = np.stack([ids.fill_null(0).to_numpy(zero_copy_only=False), null.astype(np.int64), names, sizes, tx], axis=1)
             # equal sets of a chunk go on once
             _, one = np.unique(names, return_index=True)
             one = one[sizes[one] > 0]
@@ -124,7 +125,7 @@ def _token_rows(docs: DataFrame, k: int, buckets: int) -> DataFrame:
                     out[c].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int32()), *[pa.array(out[c], pa.binary()) for c in list(out)[1:]]], names=list(out))
 
-    return docs.select("doc_id", "text").mapInArrow(run, _ROW)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("tx")).mapInArrow(run, _ROW)
 
 
 def _joined(table: pa.Table, name: str, dtype) -> np.ndarray:
@@ -175,7 +176,7 @@ def _candidates(rows: DataFrame, t: Fraction) -> DataFrame:
         docs = b"".join(table.column("docs").to_pylist())
         node, tokens, rarity = _joined(table, "nodes", np.int64), _joined(table, "tokens", np.uint64), _joined(table, "rarity", np.uint8)
         out = [(docs, None, None, None, None, None)] if docs else []
-        listed = np.frombuffer(docs, np.int64).reshape(-1, 4)
+        listed = np.frombuffer(docs, np.int64).reshape(-1, 5)
         known, first = np.unique(listed[:, 2], return_index=True)
         size = listed[first, 3]
         order = np.lexsort((tokens, node))
@@ -289,11 +290,23 @@ def similar_links(table: DataFrame, t: Fraction = SIMILARITY) -> tuple[DataFrame
 def _documents(table: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[:, 0], mask=flat[:, 1] == 1), pa.array(flat[:, 2]), pa.array(flat[:, 3])],
-                                             names=["doc_id", "node", "n_shingles"])
+            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64).reshape(-1, 5)
+            yield pa.RecordBatch.from_arrays([pa.array(flat[:, 0], mask=flat[:, 1] == 1), *[pa.array(flat[:, k]) for k in (2, 3, 4)]],
+                                             names=["doc_id", "node", "n_shingles", "tx"])
 
-    return table.where("docs is not null").select("docs").mapInArrow(run, "doc_id long, node long, n_shingles long")
+    return table.where("docs is not null").select("docs").mapInArrow(run, "doc_id long, node long, n_shingles long, tx long")
+
+
+def _groups(docs: DataFrame, k: int, t: Fraction) -> DataFrame:
+    """(doc_id, tx, node, n_shingles, comp, component_id) of every row; comp is null for empty sets."""
+    table = join_table(docs, k, t)
+    _, labels = similar_links(table, t)
+    rows = _documents(table)
+    least = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    named = least.join(labels, "node", "left").select("node", "least", F.coalesce("comp", "node").alias("comp"))
+    group = named.groupBy("comp").agg(F.min("least").alias("component_id"))
+    of_node = named.join(group, "comp").select("node", "comp", "component_id")
+    return rows.withColumn("node", F.when(F.col("n_shingles") > 0, F.col("node"))).join(of_node, "node", "left")
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -> DataFrame:
@@ -304,12 +317,20 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -
     empty and the row is linked with nothing.  A null doc_id has the component_id of its
     group, null if no member has an id.
     """
-    table = join_table(docs, k, t)
-    _, labels = similar_links(table, t)
-    rows = _documents(table)
-    least = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = least.join(labels, "node", "left").select("node", "least", F.coalesce("comp", "node").alias("comp"))
-    group = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    of_node = named.join(group, "comp").select("node", "component_id")
-    full = rows.join(of_node, "node", "left")
-    return full.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return _groups(docs, k, t).select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the smallest doc_id (an id before
+    none; of equal ids the smallest text hash, of equal texts one row by a hash of all
+    columns).  Rows without words are all kept."""
+    rank = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "tx")
+    chosen = (_groups(docs, k, t).where("n_shingles > 0").groupBy("comp").agg(F.min(rank).alias("m"))
+              .select(F.col("m.doc_id").alias("_kept_id"), F.col("m.tx").alias("_kept_tx")))
+    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+    cols = docs.columns
+    worded = docs.where(~wordless).withColumn("_tx", F.xxhash64("text"))
+    first = Window.partitionBy("doc_id", "_tx").orderBy(F.xxhash64(*cols))
+    worded = worded.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    kept = worded.join(chosen, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_tx") == F.col("_kept_tx")), "left_semi")
+    return kept.select(*cols).unionByName(docs.where(wordless))

@@ -224,3 +224,15 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text")
     return (score(rows, model, keep=["doc_id"])
             .select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted", "n_sentences", "n_offending"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows predicted toxic; the model learns as in :func:`toxicity_report`."""
+    model = train(docs.where(~held_out("doc_id", 5, 0)), labels)
+    verdict = "_toxic"
+
+    def compute(raw, off, rows):
+        bags = Bags(raw, off)
+        return [_noisy_or(bags.scores(model), bags.ptr) >= 0.5]
+
+    return add_text_columns(docs, compute, [(verdict, "boolean")]).where(f"not {verdict}").drop(verdict)
