@@ -137,14 +137,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage and keeps
     one version of the rows for every later read, also after an executor is lost."""
     spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    del df
-    # Spark deletes the shuffle files of a finished job once the driver's JVM drops its plan
+    # Spark deletes the shuffle files of earlier jobs once the driver's JVM has dropped their plans
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return table
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def add_text_columns(df: DataFrame, compute, fields: list[tuple[str, str]], text: str = "text",

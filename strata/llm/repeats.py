@@ -8,7 +8,7 @@ others:
 1. first digit: an anchor gram of ``GRAM`` bytes.  Instead of at the window's start it
    is read where the window's grams have their smallest hash, leftmost of ties.  Equal
    windows read the same digit at the same place, and neighbouring windows share
-   theirs, so one anchor row stands for a run of about 35 windows.  A plain first pass
+   theirs, so one anchor row stands for a run of about 27 windows.  A plain first pass
    would shuffle a row for every byte of the corpus.
 2. second digit: the whole stretch of text that the anchor's run of windows covers.
    Runs with equal stretches are equal window by window; all but the earliest go.
@@ -37,7 +37,7 @@ from ..operators.ordering import expand_copies
 from .common import BYTE_MIX, mix64, powers, ranges, text_chunks, written
 
 THRESHOLD = 100
-GRAM = 32
+GRAM = 48
 SEGMENT_BYTES = 4 << 20  # windows of a longer text are taken in pieces of this size
 _INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
@@ -286,14 +286,12 @@ def covered_units(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
     if not 0 < gram <= threshold <= 255:
         raise ValueError("0 < gram <= threshold <= 255")
     runs = written(_sort_runs(_anchor_rows(docs, threshold, gram)), "runs")
-    folded = units(docs)
     unsure = (runs.where("lead >= 0").groupBy("id", "tx")
               .agg(F.collect_list(F.struct("g", "lo", "n", "lead")).alias("runs")))
-    texts = folded.select("id", "tx", F.col("row.text").alias("text")).join(unsure, ["id", "tx"])
-    windows = _sort_windows(_window_rows(texts, threshold))
+    windows = written(_sort_windows(_window_rows(_names(docs).join(unsure, ["id", "tx"]), threshold)), "windows")
     cover = (runs.where("lead < 0").select("id", "tx", "lo", "n").unionByName(windows)
              .groupBy("id", "tx").agg(F.collect_list(F.struct("lo", "n")).alias("cover")))
-    return folded.join(cover, ["id", "tx"], "left")
+    return units(docs).join(cover, ["id", "tx"], "left")
 
 
 def _covered(rows: pa.RecordBatch, off: np.ndarray, size: int, threshold: int) -> np.ndarray:
