@@ -244,7 +244,7 @@ def parse(transcripts: DataFrame, model: Model) -> DataFrame:
                     if begins:
                         m, cut = marker(text[0])
                         text[0] = text[0][cut:] if m == states[a] // 2 else text[0]
-                        if cut and not text[0] and (b > a + 1 or b == len(lines)):
+                        if cut and not text[0]:
                             del text[0]  # the marker has a line of its own
                     body = "".join(f"\n{x}" for x in text).replace("<|", "<\\|")
                     head = f"<|{role}|>" if begins else ""
