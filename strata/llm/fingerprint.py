@@ -18,11 +18,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BYTE_MIX, add_text_columns, mix64, powers, ranges, text_chunks, written
+from .common import BYTE_MIX, add_text_columns, mix64, powers, ranges, text_chunks
 
 LEAST, NORMAL, MOST = 16, 32, 128   # chunk sizes in bytes; the gear hash looks back 16 bytes
 STRICT_BITS, LOOSE_BITS = 6, 4
@@ -125,39 +124,28 @@ def _compare(ids: pa.Array, raw: np.ndarray, off: np.ndarray) -> pa.RecordBatch:
         names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 
-_MOST_ROWS = 1 << 14
+_MOST_ROWS = 1 << 14        # texts compared at once
+PARTITION_BYTES = 64 << 20  # text bytes of a range partition, at most on average
 
 
 def _next_rows(ordered: DataFrame) -> DataFrame:
-    """Compare each row of a partition with its next; the partition's first and last row come out as its edge."""
-    fields = _FIELDS + ", part int, first binary, last binary"
-
+    """Compare each row of a partition with its next; the partition's last row is left out."""
     def run(batches):
-        part = TaskContext.get().partitionId()
-        first = held = held_id = None
+        held = held_id = None
         for rows, raw, off in text_chunks(batches):
             ids = rows.column(rows.schema.get_field_index("doc_id"))
             for lo in range(0, rows.num_rows, _MOST_ROWS):
                 hi = min(rows.num_rows, lo + _MOST_ROWS)
                 r, o, i = raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], ids.slice(lo, hi - lo)
-                if held is None:
-                    first = r[:o[1]].tobytes()
-                else:
+                if held is not None:
                     r = np.concatenate([held, r])
                     o = np.concatenate([[0], o + len(held)])
                     i = pa.concat_arrays([held_id, i])
                 if len(o) > 2:
-                    done = _compare(i, r, o)
-                    n = done.num_rows
-                    yield pa.RecordBatch.from_arrays([*done.columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
-                                                     names=[*done.schema.names, "part", "first", "last"])
+                    yield _compare(i, r, o)
                 held, held_id = r[o[-2]:].copy(), pa.array(i.slice(len(i) - 1, 1).to_pylist(), i.type)
-        if held is not None:
-            nothing = [pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())]
-            yield pa.RecordBatch.from_arrays([held_id, *nothing, pa.array([part], pa.int32()), pa.array([first], pa.binary()), pa.array([held.tobytes()], pa.binary())],
-                                             names=[*[f.split()[0] for f in _FIELDS.split(", ")], "part", "first", "last"])
 
-    return ordered.mapInArrow(run, fields)
+    return ordered.mapInArrow(run, _FIELDS)
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
@@ -165,24 +153,29 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
 
     The next document is the next row by doc_id (nulls first; equal ids by a hash of the
     text), after the last the first; a single row is its own next.  Null is the empty text.
+
+    The number of range partitions is fixed, so that both readers of the range shuffle see
+    the same partitions: the one that compares neighbours and the one that takes each partition's first and last row.
     """
-    rows = docs.select("doc_id", "text").withColumn("tx", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
-    order = [F.col("doc_id").asc_nulls_first(), F.col("tx"), F.col("row")]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    table = written(_next_rows(ordered), "fingerprints")
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PARTITION_BYTES + 1)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("place", F.struct("doc_id", F.xxhash64("text").alias("tx"), F.monotonically_increasing_id().alias("row")))
+    ranged = rows.repartitionByRange(parts, "place")
+    inner = _next_rows(ranged.sortWithinPartitions("place").select("doc_id", "text"))
     # one row for each partition of the range shuffle
-    edges = table.where("part is not null")
-    ranks = edges.select("part", (F.row_number().over(Window.orderBy("part")) - 1).alias("rank"))
-    count = ranks.count()
-    ranked = edges.join(ranks, "part")
-    after = ranked.select(F.pmod(F.col("rank") - 1, F.lit(max(1, count))).alias("rank"), F.col("first").alias("next"))
-    pairs = ranked.select("doc_id", "rank", "last").join(after, "rank")
+    edges = ranged.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.min_by("text", "place").alias("first"), F.max_by("text", "place").alias("last"), F.max("place").alias("place"))
+    edges = edges.select(F.col("place.doc_id").alias("doc_id"), "first", "last", F.row_number().over(Window.orderBy("part")).alias("rank"),
+                         F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
+    after = edges.select(F.when(F.col("rank") == 1, F.col("n")).otherwise(F.col("rank") - 1).alias("rank"), F.col("first").alias("next"))
 
     def close(batches):
         for batch in batches:
-            for i, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                raw = np.frombuffer(a + b, np.uint8)
-                yield _compare(pa.array([i, None], pa.int64()), raw, np.array([0, len(a), len(a) + len(b)]))
+            for i, a, b in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                a, b = a.encode(), b.encode()
+                yield _compare(pa.array([i, None], pa.int64()), np.frombuffer(a + b, np.uint8), np.array([0, len(a), len(a) + len(b)]))
 
-    closed = pairs.select("doc_id", "last", "next").mapInArrow(close, _FIELDS)
-    return table.where("part is null").drop("part", "first", "last").unionByName(closed)
+    last = edges.join(after, "rank").select("doc_id", "last", "next").mapInArrow(close, _FIELDS)
+    return inner.unionByName(last)
