@@ -3,8 +3,8 @@
 A text's set holds the hashes of its distinct word shingles.  Two sets with a Jaccard
 similarity of ``t`` or more share a token among the first ``n - ceil(t * n) + 1`` of
 either, in any global order of the tokens.  Several orders are used at once, all rarest
-first (by the power of two of the document frequency) but with different hashes inside
-a frequency class: a candidate pair must share prefix tokens under every one of them.
+first (by classes of the document frequency) but with different hashes inside a
+class: a candidate pair must share prefix tokens under every one of them.
 Only what is left after intersecting these filters is verified.
 
 Steps:
@@ -20,7 +20,8 @@ Steps:
    node is verified against one leader.
 5. All other pairs that pass the filters are verified too, unless both nodes are already
    in one component: a large group of near copies costs a link each, not all its pairs.
-   Groups are cut into blocks, so that no task holds all pairs of a hot token.
+   Groups are cut into blocks, so that no task holds all pairs of a hot token.  A pair meets
+   only where enough tokens are left, from that token on, in both.
 6. Components over the links of both steps.
 
 No pair is skipped that could join two components.
@@ -42,6 +43,7 @@ WORDS = 5
 SIMILARITY = Fraction(3, 4)
 ORDERS = 3
 BUCKET_BYTES = 4 << 20   # text bytes whose tokens make up one bucket, on average
+RARITY_STEPS = 4         # frequency classes per doubling of a token's document frequency
 BLOCK = 256              # members of a token group that meet in one task
 
 _ROW = "bucket int, nodes binary, sizes binary, tokens binary, owner binary, docs binary"
@@ -152,7 +154,7 @@ def _frequencies(rows: DataFrame, buckets: int) -> DataFrame:
         df = np.bincount(group)[group] if len(group) else group
         shared = df > 1
         tokens, node, df = tokens[shared], node[shared], df[shared]
-        rarity = np.frexp(df.astype(float))[1].astype(np.uint8)
+        rarity = np.minimum(255, np.rint(RARITY_STEPS * np.log2(df))).astype(np.uint8)
         order, have, bound = _cut(node.astype(np.int64) % buckets & 0x7FFFFFFF, buckets)
         out = [(b, node[order[x:y]].tobytes(), tokens[order[x:y]].tobytes(), rarity[order[x:y]].tobytes(), b"")
                for b, x, y in zip(have.tolist(), bound[:-1], bound[1:], strict=True)]
@@ -202,7 +204,10 @@ def _candidates(rows: DataFrame, t: Fraction) -> DataFrame:
 
 
 def _prefix_rows(nodes: DataFrame) -> DataFrame:
-    """(key, ord, node, n, centre): a row per prefix token and order; the key holds both."""
+    """(key, ord, node, n, centre, m, at): a row per prefix token and order; the key holds both.
+
+    ``m``: the node's shared tokens; ``at``: how many of them come before this one in the order.
+    """
     def run(batches):
         for batch in batches:
             prefixes = batch.column(batch.schema.get_field_index("prefixes")).to_pylist()
@@ -210,17 +215,25 @@ def _prefix_rows(nodes: DataFrame) -> DataFrame:
             tokens = np.frombuffer(b"".join(prefixes), np.uint64)
             which = np.repeat(np.arange(len(count)), count * ORDERS)
             ord_ = np.concatenate([np.repeat(np.arange(ORDERS), c) for c in count.tolist()]) if len(count) else np.zeros(0, np.int64)
+            at = np.concatenate([np.tile(np.arange(c), ORDERS) for c in count.tolist()]) if len(count) else np.zeros(0, np.int64)
+            m = np.array([len(x) // 8 for x in batch.column(batch.schema.get_field_index("tokens")).to_pylist()], dtype=np.int32)
             key = mix64(tokens + (ord_.astype(np.uint64) << np.uint64(58))).view(np.int64)
             pick = pa.array(which)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ord_.astype(np.int32)), *[
-                batch.column(batch.schema.get_field_index(c)).take(pick) for c in ("node", "n", "centre")]],
-                names=["key", "ord", "node", "n", "centre"])
+                batch.column(batch.schema.get_field_index(c)).take(pick) for c in ("node", "n", "centre")], pa.array(m[which]), pa.array(at.astype(np.int32))],
+                names=["key", "ord", "node", "n", "centre", "m", "at"])
 
-    return nodes.select("node", "n", "centre", "prefixes").mapInArrow(run, "key long, ord int, node long, n int, centre double")
+    return nodes.select("node", "n", "centre", "tokens", "prefixes").mapInArrow(run, "key long, ord int, node long, n int, centre double, m int, at int")
 
 
-def _sizes_fit(a: str, b: str, t: Fraction):
-    return F.expr(f"least({a}, {b}) * {t.denominator} >= greatest({a}, {b}) * {t.numerator}")
+def _can_reach(t: Fraction):
+    """Can this be the first common token, in its order, of two similar enough sets?
+
+    From their first common token on, the sets share at most as many tokens as the shorter
+    rest of shared tokens holds.  A similar pair meets at that token under every order; its
+    later common tokens need not bring it up again.
+    """
+    return F.expr(f"least(ma - ata, mb - atb) * {t.numerator + t.denominator} >= {t.numerator} * (na + nb)")
 
 
 _ALL_ORDERS = (1 << ORDERS) - 1
@@ -245,9 +258,10 @@ def _verify(pairs: DataFrame, nodes: DataFrame, t: Fraction) -> DataFrame:
 
 def _leader_pairs(rows: DataFrame, t: Fraction) -> DataFrame:
     """One pair for each node: the leader it shares the most prefix tokens with, under all orders."""
-    lead = rows.groupBy("key").agg(F.max(F.struct("centre", "node", "n")).alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    met = (rows.join(lead, "key").select(F.col("lead.node").alias("a"), F.col("lead.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"), "ord")
-           .where((F.col("a") != F.col("b")) & _sizes_fit("na", "nb", t)))
+    lead = rows.groupBy("key").agg(F.max(F.struct("centre", "node", "n", "m", "at")).alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    met = (rows.join(lead, "key").select(F.col("lead.node").alias("a"), F.col("lead.n").alias("na"), F.col("lead.m").alias("ma"), F.col("lead.at").alias("ata"),
+                                          F.col("node").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("at").alias("atb"), "ord")
+           .where((F.col("a") != F.col("b")) & _can_reach(t)))
     met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.bit_or(F.expr("shiftleft(1, ord)")).alias("seen")).where(F.col("seen") == _ALL_ORDERS)
     return met.groupBy("b").agg(F.max(F.struct("c", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
 
@@ -260,11 +274,11 @@ def _other_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
     open_ = named.join(groups, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # a group's blocks meet pairwise: (i, j) with i <= j
     left = open_.withColumn("j", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))).select(
-        "key", F.col("block").alias("i"), "j", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), "ord")
+        "key", F.col("block").alias("i"), "j", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("m").alias("ma"), F.col("at").alias("ata"), "ord")
     right = open_.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("block")))).select(
-        "key", "i", F.col("block").alias("j"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+        "key", "i", F.col("block").alias("j"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("m").alias("mb"), F.col("at").alias("atb"))
     met = left.join(right, ["key", "i", "j"]).where((F.col("ca") != F.col("cb")) & ((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
-                                                    & _sizes_fit("na", "nb", t))
+                                                    & _can_reach(t))
     return (met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .agg(F.bit_or(F.expr("shiftleft(1, ord)")).alias("seen")).where(F.col("seen") == _ALL_ORDERS).select("a", "b"))
 
