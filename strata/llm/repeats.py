@@ -294,9 +294,9 @@ def covered_units(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
     return units(docs).join(cover, ["id", "tx"], "left")
 
 
-def _covered(rows: pa.RecordBatch, off: np.ndarray, size: int, threshold: int) -> np.ndarray:
+def _covered(rows: pa.RecordBatch, off: np.ndarray, size: int, threshold: int, column: str = "cover") -> np.ndarray:
     """Boolean per byte of the chunk: does a covered window hold it?"""
-    lists = rows.column(rows.schema.get_field_index("cover"))
+    lists = rows.column(rows.schema.get_field_index(column))
     lists = lists.fill_null([]) if lists.null_count else lists
     flat = lists.flatten()
     text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
@@ -347,15 +347,16 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``; every row stays.
 
     A character goes when all its bytes are covered.  ``n_chars``, where there is such a
-    column, is counted anew for changed texts; a null text stays null.
+    column, is counted anew; a null text stays null.  Column names ``_copies``, ``_cover``,
+    ``_copy`` and ``_chunk`` are reserved.
     """
     found = covered_units(docs, threshold)
     cols = docs.columns
-    source = found.select(*[F.col("row")[c].alias(c) for c in cols], "copies", "cover")
+    source = found.select(*[F.col("row")[c].alias(c) for c in cols], F.col("copies").alias("_copies"), F.col("cover").alias("_cover"))
 
     def run(batches):
         for rows, raw, off in text_chunks(batches, limit=SEGMENT_BYTES):
-            gone = _covered(rows, off, len(raw), threshold)
+            gone = _covered(rows, off, len(raw), threshold, "_cover")
             head = (raw & 0xC0) != 0x80
             chars = np.flatnonzero(head)
             if len(chars):
@@ -363,13 +364,13 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 gone = ~np.repeat(keep_char, np.diff(np.append(chars, len(raw))))
             null = rows.column(rows.schema.get_field_index("text")).is_null().to_pylist()
             left = [None if z else raw[a:b][~gone[a:b]].tobytes().decode() for a, b, z in zip(off[:-1], off[1:], null, strict=True)]
-            out = [pa.array(left, pa.string()) if c == "text" else rows.column(rows.schema.get_field_index(c)) for c in [*cols, "copies"]]
-            yield pa.RecordBatch.from_arrays(out, names=[*cols, "copies"])
+            out = [pa.array(left, pa.string()) if c == "text" else rows.column(rows.schema.get_field_index(c)) for c in [*cols, "_copies"]]
+            yield pa.RecordBatch.from_arrays(out, names=[*cols, "_copies"])
 
-    shape = source.drop("cover").schema
+    shape = source.drop("_cover").schema
     one = written(source.mapInArrow(run, shape), "kept")
     again = (F.col("_copy") > 1) & (F.octet_length("text") >= threshold)
-    every = expand_copies(one, "copies", "_copy").withColumn("text", F.when(again, F.lit("")).otherwise(F.col("text")))
+    every = expand_copies(one, "_copies", "_copy").withColumn("text", F.when(again, F.lit("")).otherwise(F.col("text")))
     if "n_chars" in cols:
         kind = docs.schema["n_chars"].dataType
         every = every.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
