@@ -18,7 +18,7 @@ from pyspark.sql.types import DataType
 
 from ..session import shared_dir
 
-CHUNK_BYTES = 3 << 20  # text bytes handled at once inside a task
+CHUNK_BYTES = 1 << 20  # text bytes handled at once inside a task
 
 # Upper-case ASCII to lower case, every other byte unchanged.
 LOWER = np.arange(256, dtype=np.uint8)

@@ -32,7 +32,7 @@ from .common import ALNUM_WORD, Words, ranges, text_chunks, written
 
 WINDOW = 10
 WINDOW_GAP = 1 << 10  # positions between two documents; windows and slop are shorter
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 BLOCK_WORDS = 100_000  # words of test items in one broadcast block
 
 SEGMENT_SCHEMA = "segment long, doc_id array<long>, n_words array<long>, terms array<binary>, counts array<int>, postings binary"

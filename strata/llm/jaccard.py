@@ -42,7 +42,7 @@ from .components import components
 WORDS = 5
 SIMILARITY = Fraction(3, 4)
 ORDERS = 3
-BUCKET_BYTES = 4 << 20   # text bytes whose tokens make up one bucket, on average
+BUCKET_BYTES = 8 << 20   # text bytes whose tokens make up one bucket, on average
 RARITY_STEPS = 4         # frequency classes per doubling of a token's document frequency
 BLOCK = 256              # members of a token group that meet in one task
 

@@ -38,7 +38,7 @@ from .common import BYTE_MIX, mix64, powers, ranges, text_chunks, written
 
 THRESHOLD = 100
 GRAM = 48
-SEGMENT_BYTES = 4 << 20  # windows of a longer text are taken in pieces of this size
+SEGMENT_BYTES = 1 << 20  # windows of a longer text are taken in pieces of this size
 _INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 _inverse_powers = np.ones(1, dtype=np.uint64)
