@@ -8,6 +8,7 @@ one text, where a single text is longer) and not by the partition.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -137,14 +138,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage and keeps
     one version of the rows for every later read, also after an executor is lost."""
     spark = df.sparkSession
-    # Spark deletes the shuffle files of earlier jobs once the driver's JVM has dropped their plans
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now: its cleaner does so once the
+    driver has collected their plans, which takes two rounds and else waits for a full heap."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def add_text_columns(df: DataFrame, compute, fields: list[tuple[str, str]], text: str = "text",
                      keep: list[str] | None = None, chunk: int = CHUNK_BYTES) -> DataFrame:
     """Append columns computed from the text, chunk by chunk, in one ``mapInArrow`` pass.

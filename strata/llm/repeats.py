@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordering import expand_copies
-from .common import BYTE_MIX, mix64, powers, ranges, text_chunks, written
+from .common import BYTE_MIX, mix64, powers, ranges, release, text_chunks, written
 
 THRESHOLD = 100
 GRAM = 48
@@ -286,9 +286,11 @@ def covered_units(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
     if not 0 < gram <= threshold <= 255:
         raise ValueError("0 < gram <= threshold <= 255")
     runs = written(_sort_runs(_anchor_rows(docs, threshold, gram)), "runs")
+    release(docs.sparkSession)
     unsure = (runs.where("lead >= 0").groupBy("id", "tx")
               .agg(F.collect_list(F.struct("g", "lo", "n", "lead")).alias("runs")))
     windows = written(_sort_windows(_window_rows(_names(docs).join(unsure, ["id", "tx"]), threshold)), "windows")
+    release(docs.sparkSession)
     cover = (runs.where("lead < 0").select("id", "tx", "lo", "n").unionByName(windows)
              .groupBy("id", "tx").agg(F.collect_list(F.struct("lo", "n")).alias("cover")))
     return units(docs).join(cover, ["id", "tx"], "left")
