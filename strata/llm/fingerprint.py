@@ -7,9 +7,9 @@ alone, an insertion moves boundaries only nearby.  A fingerprint is the set of t
 chunks' digests, each with the chunk's length; likeness is containment: the length of
 the common chunks over that of the smaller set.
 
-Next documents are met by one range shuffle of the texts on (doc_id, row hash): inside
-a partition the next row is at hand, and the last row of each partition meets the first
-of the following one in a small second pass.
+Next documents are met by one range shuffle of the texts by doc_id: inside a range the
+next row is at hand, and the last row of each range meets the first of the following
+one in a small second pass.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,48 +126,73 @@ def _compare(ids: pa.Array, raw: np.ndarray, off: np.ndarray) -> pa.RecordBatch:
 
 
 _MOST_ROWS = 1 << 14        # texts compared at once
-PARTITION_BYTES = 64 << 20  # text bytes of a range partition, at most on average
+PARTITION_BYTES = 64 << 20  # text bytes of a range, at most on average
+_SAMPLED = 16               # sampled keys for each range
 
 
 def _next_rows(ordered: DataFrame) -> DataFrame:
-    """Compare each row of a partition with its next; the partition's last row is left out."""
+    """Compare each row of a part with its next; the last row of each part is left out."""
     def run(batches):
-        held = held_id = None
+        held = None  # part, id and bytes of the last row seen
         for rows, raw, off in text_chunks(batches):
             ids = rows.column(rows.schema.get_field_index("doc_id"))
-            for lo in range(0, rows.num_rows, _MOST_ROWS):
-                hi = min(rows.num_rows, lo + _MOST_ROWS)
-                r, o, i = raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], ids.slice(lo, hi - lo)
-                if held is not None:
-                    r = np.concatenate([held, r])
-                    o = np.concatenate([[0], o + len(held)])
-                    i = pa.concat_arrays([held_id, i])
-                if len(o) > 2:
-                    yield _compare(i, r, o)
-                held, held_id = r[o[-2]:].copy(), pa.array(i.slice(len(i) - 1, 1).to_pylist(), i.type)
+            part = rows.column(rows.schema.get_field_index("part")).to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist() + [rows.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                for lo in range(a, b, _MOST_ROWS):
+                    hi = min(b, lo + _MOST_ROWS)
+                    r, o, i = raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], ids.slice(lo, hi - lo)
+                    if held is not None and held[0] == part[lo]:
+                        r = np.concatenate([held[2], r])
+                        o = np.concatenate([[0], o + len(held[2])])
+                        i = pa.concat_arrays([held[1], i])
+                    if len(o) > 2:
+                        yield _compare(i, r, o)
+                    held = part[lo], pa.array(i.slice(len(i) - 1, 1).to_pylist(), i.type), r[o[-2]:].copy()
 
     return ordered.mapInArrow(run, _FIELDS)
 
 
+def _parts(rows: DataFrame, parts: int) -> DataFrame:
+    """Adds ``part``: the range of (doc_id, tie) that a row falls into, by bounds from a sample of
+    about ``_SAMPLED`` keys a part."""
+    n = rows.count()
+    share = min(1.0, _SAMPLED * parts / max(1, n))
+    keys = rows.select("id", "tie").where(F.pmod("tie", F.lit(1 << 30)) < int(share * (1 << 30))).toArrow().sort_by([("id", "ascending"), ("tie", "ascending")])
+    step = max(1, keys.num_rows // parts)
+    bound_id, bound_tie = keys["id"].to_numpy()[step::step], keys["tie"].to_numpy()[step::step]
+
+    @F.pandas_udf("int")
+    def part_of(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        ids, ties = ids.to_numpy(), ties.to_numpy()
+        lo, hi = np.searchsorted(bound_id, ids, "left"), np.searchsorted(bound_id, ids, "right")
+        for k in np.unique(lo[hi > lo]).tolist():  # ids that bounds share: the tie decides
+            same = np.flatnonzero((lo == k) & (hi > lo))
+            lo[same] += np.searchsorted(bound_tie[k:hi[same[0]]], ties[same], "right")
+        return pd.Series(lo.astype(np.int32))
+
+    return rows.withColumn("part", part_of("id", "tie"))
+
+
 def fingerprint_report(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The next document is the next row by doc_id (nulls first; equal ids by a hash of the
-    text), after the last the first; a single row is its own next.  Null is the empty text.
+    The next document is the next row by doc_id (nulls first; rows of one id in a fixed
+    arbitrary order), after the last the first; a single row is its own next.  Null is the empty text.
 
-    The number of range partitions is fixed, so that both readers of the range shuffle see
-    the same partitions: the one that compares neighbours and the one that takes each partition's first and last row.
+    Texts are shuffled once, into ranges of (doc_id, tie).  The last row of a range meets the
+    first of the next one apart, from an aggregate with one row per range.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PARTITION_BYTES + 1)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("place", F.struct("doc_id", F.xxhash64("text").alias("tx"), F.monotonically_increasing_id().alias("row")))
-    ranged = rows.repartitionByRange(parts, "place")
-    inner = _next_rows(ranged.sortWithinPartitions("place").select("doc_id", "text"))
-    # one row for each partition of the range shuffle
-    edges = ranged.groupBy(F.spark_partition_id().alias("part")).agg(
-        F.min_by("text", "place").alias("first"), F.max_by("text", "place").alias("last"), F.max("place").alias("place"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
+                       F.xxhash64(text, F.monotonically_increasing_id()).alias("tie"), text.alias("text"))
+    rows = _parts(rows, parts)
+    inner = _next_rows(rows.repartition("part").sortWithinPartitions("part", "id", "tie").select("doc_id", "part", "text"))
+    place = F.struct("id", "tie", "doc_id")
+    edges = rows.groupBy("part").agg(F.min_by("text", place).alias("first"), F.max_by("text", place).alias("last"), F.max(place).alias("place"))
     edges = edges.select(F.col("place.doc_id").alias("doc_id"), "first", "last", F.row_number().over(Window.orderBy("part")).alias("rank"),
                          F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
     after = edges.select(F.when(F.col("rank") == 1, F.col("n")).otherwise(F.col("rank") - 1).alias("rank"), F.col("first").alias("next"))
