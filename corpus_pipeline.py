@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontaminate, encode, jaccard, repeats, toxicity
-from strata.llm.common import written
+from strata.llm.common import release, written
 from strata.sources.tables import read_table
 
 
@@ -55,4 +55,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        release(spark)
     return docs

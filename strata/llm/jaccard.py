@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANK_WORD, Words, mix64, text_chunks, written
+from .common import BLANK_WORD, Words, mix64, release, text_chunks, written
 from .components import components
 
 WORDS = 5
@@ -288,7 +288,9 @@ def join_table(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -> Dat
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
-    return written(_candidates(_frequencies(_token_rows(docs, k, buckets), buckets), t), "sets")
+    table = written(_candidates(_frequencies(_token_rows(docs, k, buckets), buckets), t), "sets")
+    release(spark)
+    return table
 
 
 def similar_links(table: DataFrame, t: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
