@@ -65,8 +65,13 @@ def decode(c, mapping: Mapping[str, str], default: str | None = UNKNOWN, *,
     return out.otherwise(fallback) if out is not None else fallback
 
 
+def blank_to_null(c) -> Column:
+    """The source has no empty strings: an empty result is NULL."""
+    return F.nullif(_col(c), F.lit(""))
+
+
 def trim_text(c) -> Column:
-    return F.trim(_col(c))
+    return blank_to_null(F.trim(_col(c)))
 
 
 def null_to(c, value) -> Column:
@@ -76,21 +81,21 @@ def null_to(c, value) -> Column:
 def strip_prefix(c, prefix: str = ERP_ID_PREFIX) -> Column:
     """Drop a case-sensitive leading prefix; other values unchanged."""
     src = _col(c)
-    return F.when(src.startswith(prefix), F.substr(src, F.lit(len(prefix) + 1))).otherwise(src)
+    return blank_to_null(F.when(src.startswith(prefix), F.substr(src, F.lit(len(prefix) + 1))).otherwise(src))
 
 
 def remove_chars(c, chars: str = "-") -> Column:
-    return F.replace(_col(c), F.lit(chars), F.lit(""))
+    return blank_to_null(F.replace(_col(c), F.lit(chars), F.lit("")))
 
 
 def key_category(c, width: int = 5) -> Column:
     """Category id of a compound product key: first chars, '-' → '_'."""
-    return F.replace(F.substring(_col(c), 1, width), F.lit("-"), F.lit("_"))
+    return blank_to_null(F.replace(F.substring(_col(c), 1, width), F.lit("-"), F.lit("_")))
 
 
 def key_number(c, start: int = 7) -> Column:
     """Product number of a compound product key: everything from ``start`` on."""
-    return F.substr(_col(c), F.lit(start))
+    return blank_to_null(F.substr(_col(c), F.lit(start)))
 
 
 def int_to_date(c, strict: bool = False) -> Column:

@@ -2,9 +2,9 @@
 
 Spark plans ``NOT IN (subquery)`` as a null-aware anti join only with a
 broadcast right side and otherwise falls back to a nested-loop join.
-:func:`not_in` keeps the SQL semantics for any size: two early-stopping probes
-of the right side decide between "no rows", "all rows" and a plain shuffled
-``left_anti`` join.
+:func:`not_in` keeps the SQL semantics for any size: one probe of the right
+side's distinct keys decides between "no rows", "all rows" and a plain
+shuffled ``left_anti`` join.
 """
 
 from __future__ import annotations
@@ -21,41 +21,46 @@ def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str) ->
 
     SQL three-valued logic: a NULL in the subquery empties the result; an empty
     subquery keeps every row, NULLs included; otherwise NULL probes drop out.
+    The distinct keys are computed once for the probe and once for the join,
+    both from the same aggregate.
     """
-    keys = right.select(F.col(right_col).alias("_k"))
-    if keys.limit(1).count() == 0:
+    keys = right.select(F.col(right_col).alias("_k")).distinct()
+    seen = keys.agg(F.count(F.lit(1)).alias("n"), F.count("_k").alias("known")).first()
+    if seen["n"] == 0:
         return left
-    if keys.filter(F.col("_k").isNull()).limit(1).count() > 0:
+    if seen["known"] < seen["n"]:
         return left.limit(0)
     probe = left.filter(F.col(left_col).isNotNull())
-    return probe.join(keys.distinct(), probe[left_col] == F.col("_k"), "left_anti")
+    return probe.join(keys, probe[left_col] == F.col("_k"), "left_anti")
 
 
 def not_exists(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
-    """Correlated ``NOT EXISTS (… WHERE r = l)``: NULL probes are kept."""
-    keys = right.select(F.col(right_col).alias("_k"))
+    """Correlated ``NOT EXISTS (… WHERE r = l)``: NULL probes are kept.  Also
+    ``LEFT JOIN … WHERE right.key IS NULL``.  The right keys are made distinct with a
+    map-side combine, so a hot right key is one row in the join."""
+    keys = right.select(F.col(right_col).alias("_k")).where("_k is not null").distinct()
     return left.join(keys, left[left_col] == F.col("_k"), "left_anti")
 
 
-def unmatched(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
-    """``LEFT JOIN … WHERE right.key IS NULL`` — same rows as NOT EXISTS."""
-    return not_exists(left, left_col, right, right_col)
-
-
-# Bytes per value of each type, as Spark's own size estimates count them.
+# Bytes per value of the fixed-width types; text and binary are measured.
 _TYPE_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8,
-               "date": 4, "timestamp": 8, "timestamp_ntz": 8, "string": 20, "binary": 100}
+               "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+_MEASURED = ("string", "binary")
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Estimated in-memory width of one row (decimals: 8 or 16 bytes)."""
-    total = 8  # row header
+def fixed_bytes(df: DataFrame) -> int | None:
+    """In-memory width of one row without its measured columns; None for nested types."""
+    total = 16  # row header and null bits
     for f in df.schema.fields:
         name = f.dataType.typeName()
         if name == "decimal":
             total += 8 if f.dataType.precision <= 18 else 16
+        elif name in _MEASURED:
+            total += 16  # offset, length and padding
+        elif name in _TYPE_BYTES:
+            total += 8
         else:
-            total += _TYPE_BYTES.get(name, 64)
+            return None
     return total
 
 
@@ -68,34 +73,41 @@ def parse_bytes(text: str) -> int:
     return int(float(m.group(1)) * scale)
 
 
-def _threshold(df: DataFrame) -> int:
+def broadcast_threshold(df: DataFrame) -> int:
     return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
 
 
-_ROW_BOUNDS: "weakref.WeakKeyDictionary[DataFrame, dict[int, int]]" = weakref.WeakKeyDictionary()
+_SIZES: "weakref.WeakKeyDictionary[DataFrame, dict[str, int]]" = weakref.WeakKeyDictionary()
+_ROWS = ""
 
 
-def _bounded_count(df: DataFrame, cap: int) -> int:
-    """min(rows, cap + 1), remembered per DataFrame object."""
-    seen = _ROW_BOUNDS.setdefault(df, {})
-    if cap not in seen:
-        seen[cap] = df.limit(cap + 1).count()
-    return seen[cap]
+def measured(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Rows (key ``""``) and summed bytes of text columns of ``df``: one aggregate with
+    partial sums, remembered per DataFrame object."""
+    seen = _SIZES.setdefault(df, {})
+    if _ROWS not in seen or any(c not in seen for c in columns):
+        texts = [f.name for f in df.schema.fields if f.dataType.typeName() in _MEASURED]
+        row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(F.octet_length(F.col(c))).alias(f"_b{i}") for i, c in enumerate(texts)]).first()
+        seen[_ROWS] = row["_n"]
+        seen.update({c: row[f"_b{i}"] or 0 for i, c in enumerate(texts)})
+    return seen
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only behind a proven bound: exact row count × row width must
-    fit the broadcast threshold (the count stops one row past the bound).  Meant
-    for lookup sides that are cheap to count (stored dimensions, narrow maps of
+    """Broadcast hint only behind a measured bound: rows × fixed width plus the summed
+    bytes of the text columns must fit the broadcast threshold.  Meant
+    for lookup sides that are cheap to read (stored dimensions, narrow maps of
     a scan); a larger side is returned unchanged for the sort-merge join, where
     AQE splits skewed keys.  ``rows_of`` names the table the rows come from when
-    ``df`` is a projection of it, so one count serves every projection."""
-    limit = _threshold(df) if max_bytes is None else max_bytes
-    if limit <= 0:
+    ``df`` is a projection of it, so one aggregate serves every projection."""
+    limit = broadcast_threshold(df) if max_bytes is None else max_bytes
+    width = fixed_bytes(df)
+    if limit <= 0 or width is None:
         return df
-    width = row_bytes(df)
-    cap = limit // width
-    if _bounded_count(rows_of if rows_of is not None else df, cap) <= cap:
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in _MEASURED]
+    source = rows_of if rows_of is not None and set(texts) <= set(rows_of.columns) else df
+    size = measured(source, texts)
+    if size[_ROWS] * width + sum(size[c] for c in texts) <= limit:
         return F.broadcast(df)
     return df
 

@@ -1,9 +1,11 @@
 """Business questions over the gold star schema.
 
-Each report is one aggregation over the fact joined to at most two
-dimensions.  Aggregates are partial (map-side) before the shuffle; sums stay
-exact decimals and only the finished figures become doubles.  The closing
-sort runs on aggregated rows.
+The fact is aggregated by surrogate key first (partial sums on the map side),
+so the join below a report sees one row per customer, product or pair of them
+and not every sales line; the groups of the report are formed after it.  Sums
+stay exact decimals and only the finished figures become doubles.  The closing
+sort runs on aggregated rows, NULL totals first in descending order as in the
+source, with every group column as tie break.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as K
 from ..functions import cleanse as C
 from ..functions import metrics as M
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import broadcast_if_small, broadcast_threshold
 
 Gold = dict[str, DataFrame]
 
@@ -25,35 +27,53 @@ def _dim(g: Gold, name: str, *cols: str) -> DataFrame:
     return broadcast_if_small(d, rows_of=g[name])
 
 
-def _fact_customer(g: Gold, *cols: str) -> DataFrame:
-    return g["fact_sales"].join(_dim(g, "dim_customer", *cols), "customer_key", "inner")
+def _lines(g: Gold, *keys: str) -> DataFrame:
+    """Sales lines summed by surrogate keys: order lines, lines, amount, priced lines, price, quantity.
 
+    The key columns must be known (an inner join on them drops NULL keys anyway).
+    """
+    known = g["fact_sales"].dropna(subset=list(keys))
+    return known.groupBy(*keys).agg(
+        F.count("order_number").alias("_orders"), F.sum("sales_amount").alias("_sales"), F.count("sales_amount").alias("_paid"),
+        F.sum("price").alias("_price"), F.count("price").alias("_priced"), F.sum("quantity").alias("_units"))
+
+
+def _by_customer(g: Gold, *cols: str) -> DataFrame:
+    return _lines(g, "customer_key").join(_dim(g, "dim_customer", "customer_key", *cols), "customer_key", "inner")
+
+
+def _by_product(g: Gold, *cols: str) -> DataFrame:
+    return _lines(g, "product_key").join(_dim(g, "dim_products", "product_key", *cols), "product_key", "inner")
 
-def _fact_product(g: Gold, *cols: str) -> DataFrame:
-    return g["fact_sales"].join(_dim(g, "dim_products", *cols), "product_key", "inner")
 
+def _by_both(g: Gold, cust_cols=(), prod_cols=()) -> DataFrame:
+    return (_lines(g, "customer_key", "product_key")
+            .join(_dim(g, "dim_customer", "customer_key", *cust_cols), "customer_key", "inner")
+            .join(_dim(g, "dim_products", "product_key", *prod_cols), "product_key", "inner"))
 
-def _fact_both(g: Gold, cust_cols=(), prod_cols=()) -> DataFrame:
-    return (g["fact_sales"].join(_dim(g, "dim_customer", *cust_cols), "customer_key", "inner")
-            .join(_dim(g, "dim_products", *prod_cols), "product_key", "inner"))
+
+def _largest_first(total: str, *ties: str):
+    return [F.col(total).desc_nulls_first(), *[F.col(t).asc_nulls_last() for t in ties]]
+
+
+def _sum_of(part: str):
+    return F.sum(part).cast("double")
 
 
 def sales_by_customer(g: Gold) -> DataFrame:
-    return (_fact_customer(g, "customer_key", "first_name", "last_name", "country")
-            .groupBy("customer_key", "first_name", "last_name", "country")
-            .agg(F.count("order_number").alias("total_orders"),
-                 M.total("sales_amount").alias("total_sales"),
-                 M.mean("sales_amount").alias("avg_order_value"))
-            .orderBy(F.col("total_sales").desc_nulls_last(), "customer_key"))
+    """One row per customer: the surrogate key already is the group."""
+    return (_by_customer(g, "first_name", "last_name", "country")
+            .select("customer_key", "first_name", "last_name", "country", F.col("_orders").alias("total_orders"),
+                    F.col("_sales").cast("double").alias("total_sales"),
+                    (F.col("_sales").cast("double") / F.nullif("_paid", F.lit(0))).alias("avg_order_value"))
+            .orderBy(*_largest_first("total_sales", "customer_key")))
 
 
 def sales_by_country(g: Gold) -> DataFrame:
-    return (_fact_customer(g, "customer_key", "country")
+    return (_by_customer(g, "country")
             .groupBy("country")
-            .agg(F.countDistinct("customer_key").alias("customer_count"),
-                 F.count("order_number").alias("order_count"),
-                 M.total("sales_amount").alias("total_sales"))
-            .orderBy(F.col("total_sales").desc_nulls_last(), "country"))
+            .agg(F.count(F.lit(1)).alias("customer_count"), F.sum("_orders").alias("order_count"), _sum_of("_sales").alias("total_sales"))
+            .orderBy(*_largest_first("total_sales", "country")))
 
 
 def demographics(g: Gold, as_of=None) -> DataFrame:
@@ -78,40 +98,29 @@ def demographics(g: Gold, as_of=None) -> DataFrame:
 
 
 def top_products(g: Gold) -> DataFrame:
-    units = F.sum("quantity")
-    revenue = F.sum("sales_amount")
-    return (_fact_product(g, "product_key", "product_name", "category", "subcategory", "cost")
-            .groupBy("product_key", "product_name", "category", "subcategory", "cost")
-            .agg(units.alias("units_sold"),
-                 revenue.cast("double").alias("total_revenue"),
-                 M.ratio(revenue, units).alias("avg_selling_price"),
-                 M.rounded(revenue - F.col("cost") * units).alias("gross_profit"))
-            .withColumn("cost", F.col("cost").cast("double"))
-            .select("product_key", "product_name", "category", "subcategory", "units_sold",
-                    "total_revenue", "avg_selling_price", "cost", "gross_profit")
-            .orderBy(F.col("total_revenue").desc_nulls_last(), "product_key"))
+    units, revenue = F.col("_units"), F.col("_sales")
+    return (_by_product(g, "product_name", "category", "subcategory", "cost")
+            .select("product_key", "product_name", "category", "subcategory", units.alias("units_sold"),
+                    revenue.cast("double").alias("total_revenue"), M.ratio(revenue, units).alias("avg_selling_price"),
+                    F.col("cost").cast("double").alias("cost"), M.rounded(revenue - F.col("cost") * units).alias("gross_profit"))
+            .orderBy(*_largest_first("total_revenue", "product_key")))
 
 
 def sales_by_category(g: Gold) -> DataFrame:
-    return (_fact_product(g, "product_key", "category", "subcategory")
+    return (_by_product(g, "category", "subcategory")
             .groupBy("category", "subcategory")
-            .agg(F.countDistinct("product_key").alias("product_count"),
-                 F.sum("quantity").alias("total_quantity"),
-                 M.total("sales_amount").alias("total_sales"),
-                 M.rounded(F.avg("price")).alias("avg_price"))
-            .orderBy(F.col("total_sales").desc_nulls_last(), "category", "subcategory"))
+            .agg(F.count(F.lit(1)).alias("product_count"), F.sum("_units").alias("total_quantity"),
+                 _sum_of("_sales").alias("total_sales"), M.rounded(F.sum("_price") / F.nullif(F.sum("_priced"), F.lit(0))).alias("avg_price"))
+            .orderBy(*_largest_first("total_sales", "category", "subcategory")))
 
 
 def by_product_line(g: Gold) -> DataFrame:
-    units = F.sum("quantity")
-    revenue = F.sum("sales_amount")
-    return (_fact_product(g, "product_key", "product_line")
+    units, revenue = F.sum("_units"), F.sum("_sales")
+    return (_by_product(g, "product_line")
             .groupBy("product_line")
-            .agg(F.countDistinct("product_key").alias("product_count"),
-                 revenue.cast("double").alias("total_sales"),
-                 units.alias("units_sold"),
-                 M.ratio(revenue, units).alias("avg_price"))
-            .orderBy(F.col("total_sales").desc_nulls_last(), "product_line"))
+            .agg(F.count(F.lit(1)).alias("product_count"), revenue.cast("double").alias("total_sales"),
+                 units.alias("units_sold"), M.ratio(revenue, units).alias("avg_price"))
+            .orderBy(*_largest_first("total_sales", "product_line")))
 
 
 def monthly_trend(g: Gold) -> DataFrame:
@@ -125,14 +134,14 @@ def monthly_trend(g: Gold) -> DataFrame:
 
 
 def yearly(g: Gold) -> DataFrame:
-    revenue = F.sum("sales_amount")
-    buyers = F.countDistinct("customer_key")
-    return (g["fact_sales"]
-            .groupBy(K.year_of("order_date").alias("year"))
-            .agg(revenue.cast("double").alias("total_sales"),
-                 buyers.alias("unique_customers"),
-                 F.countDistinct("order_number").alias("total_orders"),
-                 M.ratio(revenue, buyers).alias("sales_per_customer"))
+    """Distinct buyers and orders are counted over (year, customer, order) groups, not over
+    a copy of every sales line for each count."""
+    grain = (g["fact_sales"].groupBy(K.year_of("order_date").alias("year"), "customer_key", "order_number")
+             .agg(F.sum("sales_amount").alias("_sales")))
+    revenue, buyers = F.sum("_sales"), F.countDistinct("customer_key")
+    return (grain.groupBy("year")
+            .agg(revenue.cast("double").alias("total_sales"), buyers.alias("unique_customers"),
+                 F.countDistinct("order_number").alias("total_orders"), M.ratio(revenue, buyers).alias("sales_per_customer"))
             .orderBy(F.col("year").asc_nulls_last()))
 
 
@@ -148,22 +157,19 @@ def weekday(g: Gold) -> DataFrame:
 
 
 def customer_category(g: Gold) -> DataFrame:
-    return (_fact_both(g, ("customer_key", "customer_id", "first_name", "last_name"), ("product_key", "category"))
+    return (_by_both(g, ("customer_id", "first_name", "last_name"), ("category",))
             .groupBy("customer_id", "first_name", "last_name", "category")
-            .agg(F.count("order_number").alias("order_count"),
-                 M.total("sales_amount").alias("total_spent"),
-                 F.sum("quantity").alias("total_quantity"))
+            .agg(F.sum("_orders").alias("order_count"), _sum_of("_sales").alias("total_spent"), F.sum("_units").alias("total_quantity"))
             .select("customer_id", C.full_name("first_name", "last_name").alias("customer_name"),
                     "category", "order_count", "total_spent", "total_quantity")
-            .orderBy(F.col("total_spent").desc_nulls_last(), "customer_id", "category"))
+            .orderBy(*_largest_first("total_spent", "customer_id", "category", "customer_name")))
 
 
 def geo_product(g: Gold) -> DataFrame:
-    return (_fact_both(g, ("customer_key", "country"), ("product_key", "category", "product_line"))
+    return (_by_both(g, ("country",), ("category", "product_line"))
             .groupBy("country", "category", "product_line")
-            .agg(M.total("sales_amount").alias("total_sales"),
-                 F.sum("quantity").alias("units_sold"))
-            .orderBy(F.col("country").asc_nulls_last(), F.col("total_sales").desc_nulls_last()))
+            .agg(_sum_of("_sales").alias("total_sales"), F.sum("_units").alias("units_sold"))
+            .orderBy(F.col("country").asc_nulls_last(), *_largest_first("total_sales", "category", "product_line")))
 
 
 def template_filtered(g: Gold, country: str, since: str, by_customer: str = "gender",
@@ -178,19 +184,16 @@ def template_filtered(g: Gold, country: str, since: str, by_customer: str = "gen
             .agg(F.countDistinct("order_number").alias("order_count"),
                  M.total("sales_amount").alias("total_sales"),
                  M.mean("sales_amount").alias("avg_sales"))
-            .orderBy(F.col("total_sales").desc_nulls_last()))
+            .orderBy(*_largest_first("total_sales", by_customer, by_product)))
 
 
 def star_filter(g: Gold, category: str, hint_broadcast: bool = False) -> DataFrame:
     """Revenue of one category.  Written dimension-first or fact-first, Catalyst
     pushes the category filter below the join either way; ``hint_broadcast``
-    asks for the filtered dimension to be broadcast (the nested-loop hint of a
-    row store has no better Spark analogue)."""
+    asks for the filtered dimension to be broadcast up to four times the session's
+    threshold (the nested-loop hint of a row store has no better Spark analogue)."""
     p = g["dim_products"].filter(F.col("category") == category).select("product_key", "category")
-    if hint_broadcast:
-        p = p.hint("broadcast")
-    else:
-        p = broadcast_if_small(p)
+    p = broadcast_if_small(p, 4 * broadcast_threshold(p) if hint_broadcast else None)
     return (p.join(g["fact_sales"].select("product_key", "sales_amount"), "product_key", "inner")
             .groupBy("category").agg(M.total("sales_amount").alias("total_sales")))
 
@@ -228,7 +231,7 @@ def headline_shares(g: Gold) -> DataFrame:
     return (both.select("dimension", "member", F.col("_sales").cast("double").alias("total_sales"),
                         F.round(F.lit(100.0) * F.col("_sales").cast("double") / whole.cast("double"), 1)
                         .alias("share_pct"))
-            .orderBy("dimension", F.col("total_sales").desc_nulls_last()))
+            .orderBy("dimension", *_largest_first("total_sales", "member")))
 
 
 def headline_totals(g: Gold) -> DataFrame:

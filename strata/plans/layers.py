@@ -14,7 +14,46 @@ from . import gold, silver
 
 AS_OF = "2025-06-30"  # fixed 'today' of reproducible runs
 
-_STAR_CACHE: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_STAR_CACHE: dict[tuple[str, str], "Layers"] = {}
+
+
+class Layers(dict):
+    """Tables by name, each built when it is first asked for and kept: a query that needs
+    one silver table neither numbers a dimension nor touches another feed."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of):
+        super().__init__()
+        self._feeds = feeds.all_feeds(spark, sf_dir)
+        self._as_of = as_of
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name.startswith("silver."):
+            table = silver.build_one(name.split(".", 1)[1], self._feeds, self._as_of)
+        elif name == "dim_customer":
+            table = gold.dim_customer(silver_of(self))
+        elif name == "dim_products":
+            table = gold.dim_products(silver_of(self))
+        elif name == "fact_sales":
+            table = gold.fact_sales(silver_of(self), self["dim_products"], self["dim_customer"])
+        else:
+            raise KeyError(name)
+        self[name] = table
+        return table
+
+
+class _Silver(dict):
+    """The silver tables of :class:`Layers` under their plain names."""
+
+    def __init__(self, layers: Layers):
+        super().__init__()
+        self._layers = layers
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._layers[f"silver.{name}"]
+        return self[name]
+
+    def items(self):
+        return [(name, self[name]) for name in silver.NAMES]
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -25,14 +64,13 @@ def silver_layer(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> dict[str, Dat
     return silver.build_silver(bronze(spark, sf_dir), as_of)
 
 
-def star(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> dict[str, DataFrame]:
-    """silver tables + the three gold tables, memoised per session and folder."""
+def star(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> Layers:
+    """silver tables + the three gold tables, built on demand, memoised per session and folder."""
     key = (spark.sparkContext.applicationId, f"{sf_dir}|{as_of}")
     if key not in _STAR_CACHE:
-        s = silver_layer(spark, sf_dir, as_of)
-        _STAR_CACHE[key] = {**{f"silver.{k}": v for k, v in s.items()}, **gold.build_gold(s)}
+        _STAR_CACHE[key] = Layers(spark, sf_dir, as_of)
     return _STAR_CACHE[key]
 
 
-def silver_of(layers: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {k.split(".", 1)[1]: v for k, v in layers.items() if k.startswith("silver.")}
+def silver_of(layers: Layers) -> dict[str, DataFrame]:
+    return _Silver(layers)

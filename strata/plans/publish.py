@@ -3,7 +3,7 @@
 A layer is published in batches.  Every table of a batch is written under
 ``<root>/<layer>/<batch>/<table>``; only when all writes succeeded is one
 commit record appended to ``<root>/<layer>/_commits`` (one small file, written
-by a single job commit).  Readers resolve the newest committed batch, so a
+by a single job commit).  Readers resolve the batch committed last, so a
 failed refresh leaves the previous batch readable and nothing is deleted.
 Row counts come from ``observe`` on the write itself, not a second scan.
 """
@@ -32,13 +32,6 @@ def write_observed(df: DataFrame, path: str, mode: str = "overwrite", fmt: str =
     return int(obs.get["rows"])
 
 
-def write_many(targets: Mapping[str, tuple[DataFrame, str]]) -> dict[str, int]:
-    """Independent writes as concurrent Spark jobs; returns rows per target."""
-    with ThreadPoolExecutor(max_workers=max(1, len(targets))) as pool:
-        futures = {n: pool.submit(write_observed, df, path) for n, (df, path) in targets.items()}
-        return {n: f.result() for n, f in futures.items()}
-
-
 def new_batch_id() -> str:
     now = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     return f"{now}-{uuid.uuid4().hex[:8]}"
@@ -100,7 +93,9 @@ def commits(spark: SparkSession, root: str, layer: str) -> DataFrame:
 
 
 def current_batch(spark: SparkSession, root: str, layer: str) -> str:
-    row = commits(spark, root, layer).agg(F.max("batch_id").alias("b")).first()
+    """The batch whose commit record was written last, whatever its name and start."""
+    written = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("loaded_at"), F.col("batch_id"))
+    row = commits(spark, root, layer).agg(F.max(written)["batch_id"].alias("b")).first()
     if row is None or row["b"] is None:
         raise FileNotFoundError(f"no committed batch of layer {layer} under {root}")
     return row["b"]
@@ -136,18 +131,21 @@ def write_partitioned_fact(fact: DataFrame, path: str, ranges=ORDER_DATE_RANGES,
     return write_observed(labelled, path, partition_by=["order_range"])
 
 
-def register_layer(spark: SparkSession, root: str, layer: str, names, batch: str | None = None) -> list[str]:
+def register_layer(spark: SparkSession, root: str, layer: str, names, batch: str | None = None,
+                   schemas: Mapping | None = None) -> list[str]:
     """Expose the current batch of a layer as catalog tables ``<layer>.<table>``
     (``DROP TABLE IF EXISTS`` + ``CREATE TABLE … USING parquet LOCATION``), so
     reports can be written as SQL against ``gold.fact_sales`` and friends.
-    The tables are external: dropping one never deletes a batch."""
+    The tables are external: dropping one never deletes a batch.  ``schemas``
+    declares the columns; without it the written files' schema is declared."""
     b = batch or current_batch(spark, root, layer)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     created = []
     for n in names:
         location = f"{layer_path(root, layer)}/{b}/{n}".replace("'", "\\'")
         spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{n}`")
-        spark.sql(f"CREATE TABLE `{layer}`.`{n}` USING parquet LOCATION '{location}'")
+        declared = spark.read.parquet(f"{layer_path(root, layer)}/{b}/{n}").schema.toDDL() if schemas is None else schemas[n].toDDL()
+        spark.sql(f"CREATE TABLE `{layer}`.`{n}` ({declared}) USING parquet LOCATION '{location}'")
         created.append(f"{layer}.{n}")
     return created
 
@@ -175,7 +173,7 @@ def publish_bucketed(spark: SparkSession, root: str, layer: str, tables: Mapping
                      key: str, buckets: int, batch_id: str | None = None) -> DataFrame:
     """All-or-nothing like :func:`publish_layer`, but every table is written as a
     catalog table ``<layer>.<name>`` bucketed by ``key`` (the batch folders
-    hold the files; the catalog entry is switched only after all writes)."""
+    hold the files; the batch is committed only after all writes, then the catalog entries follow)."""
     batch = batch_id or new_batch_id()
     stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     staged = {}
@@ -185,9 +183,11 @@ def publish_bucketed(spark: SparkSession, root: str, layer: str, tables: Mapping
         rows = save_bucketed(df.withColumn("dwh_create_date", F.lit(stamp).cast("timestamp_ntz")),
                              stage, path, key, buckets)
         staged[name] = (stage, path, rows)
-    audit = []
-    for name, (stage, path, rows) in staged.items():
+    audit = [(batch, name, rows, stamp) for name, (_, _, rows) in staged.items()]
+    # the commit record is the switch; the catalog names follow it, and after a failure
+    # between two of them the next registration finishes the move
+    record = commit_batch(spark, root, layer, audit)
+    for name, (stage, _, _) in staged.items():
         spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
         spark.sql(f"ALTER TABLE {stage} RENAME TO {layer}.{name}")
-        audit.append((batch, name, rows, stamp))
-    return commit_batch(spark, root, layer, audit)
+    return record

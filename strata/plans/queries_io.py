@@ -101,7 +101,9 @@ def _planted_lines(spark, sf):
     bdate = F.when(k % 13 == 0, F.lit("not-a-date")).otherwise(born)
     gen = F.when(k % 3 == 0, F.lit("F")).when(k % 3 == 1, F.lit("M")).otherwise(F.lit("Female"))
     line = (F.when(k % 19 == 0, F.concat_ws(",", cid, bdate))
+             .when(k % 34 == 0, F.concat_ws(",", cid, bdate, gen, F.lit("extra"), F.lit("more")))
              .when(k % 17 == 0, F.concat_ws(",", cid, bdate, gen, F.lit("extra")))
+             .when(k % 23 == 0, F.concat(cid, F.lit(',"'), bdate, F.lit(","), gen))
              .otherwise(F.concat_ws(",", cid, bdate, gen)))
     return read_table(spark, sf, "customer", "c_custkey").select(line.alias("value"))
 
@@ -112,21 +114,26 @@ def planted_feed(spark, sf) -> str:
     return path
 
 
+# the delivered pieces of each line, then what the scan makes of them
 _PLANTED_RAW = """
-SELECT 'AW'||lpad(CAST(c_custkey AS VARCHAR),8,'0') AS cid,
- CASE WHEN c_custkey%13=0 THEN 'not-a-date'
-      ELSE strftime(DATE '1920-01-01' + CAST((c_custkey*37)%30000 AS INT), '%Y-%m-%d') END AS bdate,
- CASE WHEN c_custkey%19=0 THEN NULL WHEN c_custkey%3=0 THEN 'F' WHEN c_custkey%3=1 THEN 'M' ELSE 'Female' END AS gen,
- CASE WHEN c_custkey%19<>0 AND c_custkey%17=0 THEN 'extra' END AS _overflow,
- concat_ws(';', CASE WHEN c_custkey%19<>0 AND c_custkey%17=0 THEN 'too_many_fields' END,
-               CASE WHEN c_custkey%13=0 THEN 'bad_bdate' END) AS reject_reason
-FROM customer"""
+SELECT cid, CASE WHEN quoted THEN day||','||sex ELSE day END AS bdate,
+ CASE WHEN short OR quoted THEN NULL ELSE sex END AS gen,
+ CASE WHEN long THEN 'extra' END AS _overflow,
+ CASE WHEN short THEN cid||','||day WHEN quoted THEN cid||',"'||day||','||sex
+      ELSE cid||','||day||','||sex||CASE WHEN k%34=0 AND long THEN ',extra,more' WHEN long THEN ',extra' ELSE '' END END AS _record,
+ concat_ws(';', CASE WHEN long THEN 'too_many_fields' END, CASE WHEN quoted THEN 'unclosed_quote' END,
+               CASE WHEN k%13=0 OR quoted THEN 'bad_bdate' END) AS reject_reason
+FROM (SELECT k, 'AW'||lpad(CAST(k AS VARCHAR),8,'0') AS cid, k%19=0 AS short, k%19<>0 AND k%17=0 AS long,
+       k%19<>0 AND k%17<>0 AND k%23=0 AS quoted,
+       CASE WHEN k%13=0 THEN 'not-a-date' ELSE strftime(DATE '1920-01-01' + CAST((k*37)%30000 AS INT), '%Y-%m-%d') END AS day,
+       CASE WHEN k%3=0 THEN 'F' WHEN k%3=1 THEN 'M' ELSE 'Female' END AS sex
+      FROM (SELECT c_custkey AS k FROM customer) keys) pieces"""
 
 
 @register("scan_short_rows", f"SELECT cid, bdate, gen, _overflow FROM ({_PLANTED_RAW}) raw")
 def scan_short_rows(spark, sf):
     raw = delimited.read_text_fields(spark, planted_feed(spark, sf), _PLANTED_SCHEMA, header=False)
-    return raw.drop(delimited.SOURCE_FILE)
+    return raw.drop(delimited.SOURCE_FILE, delimited.RECORD)
 
 
 @register("ingest_good", f"SELECT cid, CAST(bdate AS DATE) AS bdate, gen FROM ({_PLANTED_RAW}) raw"
@@ -136,7 +143,7 @@ def ingest_good(spark, sf):
     return good
 
 
-@register("ingest_rejects", f"SELECT cid, bdate, gen, _overflow, reject_reason FROM ({_PLANTED_RAW}) raw"
+@register("ingest_rejects", f"SELECT cid, bdate, gen, _overflow, _record, reject_reason FROM ({_PLANTED_RAW}) raw"
                             " WHERE reject_reason <> ''")
 def ingest_rejects(spark, sf):
     _, rejects = delimited.ingest(spark, planted_feed(spark, sf), _PLANTED_SCHEMA, header=False)
@@ -168,14 +175,18 @@ _FACT_OUT = ("order_number, product_key, customer_key, order_date, shipping_date
              " CAST(sales_amount AS DOUBLE) AS sales_amount, quantity, CAST(price AS DOUBLE) AS price")
 
 
-@register("empty_clone", Q.chain(f"SELECT {_FACT_OUT} FROM fact_sales WHERE 1 = 0"))
+@register("empty_clone", Q.chain(
+    "SELECT count(*) AS source_rows, CAST(0 AS BIGINT) AS clone_rows, TRUE AS same_columns FROM fact_sales"))
 def empty_clone(spark, sf):
-    """A table with the fact's shape and no rows (the constant-false filter
-    becomes an empty relation; no data is read)."""
+    """A table with the fact's shape and no rows, beside the rows of the fact."""
     path = _scratch(spark, "clone") + "/fact_shape"
     fact = star(spark, sf)["fact_sales"]
     write_observed(fact.filter(F.lit(False)), path)
-    return _decimals_out(spark.read.schema(fact.schema).parquet(path))
+    clone = spark.read.parquet(path)
+    same = [(f.name, f.dataType) for f in clone.schema.fields] == [(f.name, f.dataType) for f in fact.schema.fields]
+    both = fact.select(F.lit(1).alias("s"), F.lit(0).alias("c")).unionByName(clone.select(F.lit(0).alias("s"), F.lit(1).alias("c")))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return both.agg(total("s").alias("source_rows"), total("c").alias("clone_rows")).withColumn("same_columns", F.lit(same))
 
 
 @register("load_audit", Q.chain(" UNION ALL ".join(

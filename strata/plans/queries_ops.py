@@ -156,10 +156,9 @@ _RESOLVED = "CASE WHEN ci.cst_gndr <> 'n/a' THEN ci.cst_gndr ELSE coalesce(ca.ge
 
 def _gender_sources(spark, sf):
     s = silver_of(star(spark, sf))
-    ci, ca = s["crm_cust_info"].alias("ci"), s["erp_cust_a1z12"].alias("ca")
-    j = ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-    return j.select(F.col("ci.cst_gndr").alias("crm_gender"), F.col("ca.gen").alias("erp_gender"),
-                    C.coalesce_sources(F.col("ci.cst_gndr"), F.col("ca.gen")).alias("gender"))
+    ci, ca = s["crm_cust_info"].select("cst_key", "cst_gndr"), s["erp_cust_a1z12"].select("cid", "gen")
+    return joins.left_join_spread(ci, ca, "cst_key", "cid").select(
+        F.col("cst_gndr").alias("crm_gender"), F.col("gen").alias("erp_gender"), C.coalesce_sources("cst_gndr", "gen").alias("gender"))
 
 
 @register("master_source_gender", Q.chain(
@@ -208,7 +207,7 @@ def surrogate_key_product(spark, sf):
 
 @register("validity_interval", Q.chain(f"""
 SELECT prd_id, prd_key AS raw_key, prd_start_dt,
- LEAD(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY {Q.PROD_ORDER}) - 1 AS prd_end_dt FROM b_prod"""))
+ CAST(LEAD(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY {Q.PROD_ORDER}) AS DATE) - 1 AS prd_end_dt FROM b_prod"""))
 def validity_interval(spark, sf):
     v = S.with_validity_end(_feed(spark, sf, "crm_prod_info"))
     return v.select("prd_id", F.col("prd_key").alias("raw_key"), "prd_start_dt", F.col("_valid_to").alias("prd_end_dt"))
@@ -230,10 +229,9 @@ def validity_interval_ts(spark, sf):
 @register("left_join_2", Q.chain("SELECT pn.prd_id, pn.prd_key, pn.cat_id, pc.cat, pc.subcat"
                                  " FROM s_prod pn LEFT JOIN s_cat pc ON pn.cat_id = pc.id"))
 def left_join_2(spark, sf):
-    pn = _silver(spark, sf, "crm_prod_info").alias("pn")
-    pc = _silver(spark, sf, "erp_px_cat_g1v2").alias("pc")
-    return (pn.join(pc, F.col("pn.cat_id") == F.col("pc.id"), "left")
-              .select("pn.prd_id", "pn.prd_key", "pn.cat_id", "pc.cat", "pc.subcat"))
+    pn = _silver(spark, sf, "crm_prod_info").select("prd_id", "prd_key", "cat_id")
+    pc = _silver(spark, sf, "erp_px_cat_g1v2").select("id", "cat", "subcat")
+    return joins.left_join_spread(pn, pc, "cat_id", "id").drop("id")
 
 
 @register("anti_not_in", Q.chain("SELECT sls_ord_num, sls_prd_key, sls_cust_id FROM s_sales"
@@ -266,6 +264,34 @@ def anti_not_exists(spark, sf):
     return orphans.agg(F.count(F.lit(1)).alias("orphan_sales"))
 
 
+@register("anti_product_sales", Q.chain("SELECT prd_id, prd_key, cat_id FROM s_prod"
+                                        " WHERE prd_key NOT IN (SELECT sls_prd_key FROM s_sales)"))
+def anti_product_sales(spark, sf):
+    """Products that were never sold."""
+    prod = _silver(spark, sf, "crm_prod_info").select("prd_id", "prd_key", "cat_id")
+    return joins.not_in(prod, "prd_key", _silver(spark, sf, "crm_sales_details"), "sls_prd_key")
+
+
+@register("anti_erp_customer", Q.chain("""
+SELECT cid, bdate FROM b_ecust WHERE CASE WHEN starts_with(cid, 'NAS') THEN substring(cid, 4) ELSE cid END
+ NOT IN (SELECT cst_key FROM b_cust WHERE cst_id IS NOT NULL AND cst_id % 6 <> 0)"""))
+def anti_erp_customer(spark, sf):
+    """ERP customers whose id, prefix taken off inside the predicate, is no key of the CRM
+    customers (those with an id that six does not divide, so that some are missing)."""
+    erp = _feed(spark, sf, "erp_cust_a1z12").select("cid", "bdate", C.strip_prefix("cid").alias("_key"))
+    crm = _feed(spark, sf, "crm_cust_info").where("cst_id is not null and cst_id % 6 <> 0")
+    return joins.not_in(erp, "_key", crm, "cst_key").drop("_key")
+
+
+@register("anti_location_customer", Q.chain("""
+SELECT cid, cntry FROM b_loc WHERE replace(cid, '-', '')
+ NOT IN (SELECT cst_key FROM s_cust WHERE cst_id % 10 <> 3)"""))
+def anti_location_customer(spark, sf):
+    """Locations without a customer (of the customers whose id does not end on 3)."""
+    loc = _feed(spark, sf, "erp_loc_a101").select("cid", "cntry", C.remove_chars("cid").alias("_key"))
+    return joins.not_in(loc, "_key", _silver(spark, sf, "crm_cust_info").where("cst_id % 10 <> 3"), "cst_key").drop("_key")
+
+
 @register("anti_left_null", Q.chain("""
 SELECT f.order_number, f.product_key, f.customer_key, f.order_date, CAST(f.sales_amount AS DOUBLE) AS sales_amount
 FROM fact_sales f LEFT JOIN dim_customer c ON c.customer_key = f.customer_key
@@ -274,7 +300,7 @@ def anti_left_null(spark, sf):
     g = star(spark, sf)
     f = g["fact_sales"].select("order_number", "product_key", "customer_key", "order_date",
                                F.col("sales_amount").cast("double").alias("sales_amount"))
-    return joins.unmatched(f, "customer_key", g["dim_customer"], "customer_key")
+    return joins.not_exists(f, "customer_key", g["dim_customer"], "customer_key")
 
 
 # ---------------------------------------------------------------- predicates

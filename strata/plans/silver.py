@@ -105,13 +105,24 @@ def erp_px_cat_g1v2(bronze_cat: DataFrame) -> DataFrame:
     return bronze_cat.select(*SILVER_COLUMNS["erp_px_cat_g1v2"])
 
 
+_BUILDERS = {
+    "crm_cust_info": lambda feed, as_of: crm_cust_info(feed),
+    "crm_prod_info": lambda feed, as_of: crm_prod_info(feed),
+    "crm_sales_details": lambda feed, as_of: crm_sales_details(feed),
+    "erp_cust_a1z12": lambda feed, as_of: erp_cust_a1z12(feed, as_of),
+    "erp_loc_a101": lambda feed, as_of: erp_loc_a101(feed),
+    "erp_px_cat_g1v2": lambda feed, as_of: erp_px_cat_g1v2(feed),
+}
+
+
+NAMES = tuple(_BUILDERS)
+
+
+def build_one(name: str, bronze: dict[str, DataFrame], as_of=None) -> DataFrame:
+    """One silver table from its one bronze table (lazy except the product interval's sort)."""
+    return _BUILDERS[name](bronze[name], as_of)
+
+
 def build_silver(bronze: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]:
-    """All six silver tables (lazy except the product interval's sort)."""
-    return {
-        "crm_cust_info": crm_cust_info(bronze["crm_cust_info"]),
-        "crm_prod_info": crm_prod_info(bronze["crm_prod_info"]),
-        "crm_sales_details": crm_sales_details(bronze["crm_sales_details"]),
-        "erp_cust_a1z12": erp_cust_a1z12(bronze["erp_cust_a1z12"], as_of),
-        "erp_loc_a101": erp_loc_a101(bronze["erp_loc_a101"]),
-        "erp_px_cat_g1v2": erp_px_cat_g1v2(bronze["erp_px_cat_g1v2"]),
-    }
+    """All six silver tables."""
+    return {name: build_one(name, bronze, as_of) for name in _BUILDERS}

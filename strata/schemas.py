@@ -23,8 +23,8 @@ BRONZE = {
                         ("cst_create_date", T.DateType())),
     "crm_prod_info": _s(("prd_id", T.LongType()), ("prd_key", T.StringType()),
                         ("prd_nm", T.StringType()), ("prd_cost", AMOUNT),
-                        ("prd_line", T.StringType()), ("prd_start_dt", T.DateType()),
-                        ("prd_end_dt", T.DateType())),
+                        ("prd_line", T.StringType()), ("prd_start_dt", T.TimestampNTZType()),
+                        ("prd_end_dt", T.TimestampNTZType())),
     "crm_sales_details": _s(("sls_ord_num", T.StringType()), ("sls_prd_key", T.StringType()),
                             ("sls_cust_id", T.LongType()), ("sls_order_dt", T.LongType()),
                             ("sls_ship_dt", T.LongType()), ("sls_due_dt", T.LongType()),

@@ -6,9 +6,10 @@ limit instead of failing the load.
 
 Spark's typed CSV modes cannot express that contract (PERMISSIVE nulls a bad
 field silently, DROPMALFORMED also drops short rows), so each feed is read as
-all-text columns plus one overflow column; typing happens afterwards with
-``try_*`` conversions, and a row is quarantined when it has too many fields or
-when a non-empty value does not convert.  File splits are read in parallel and
+all-text columns plus one overflow column and the raw record; typing happens
+afterwards with ``try_*`` conversions, and a row is quarantined, whole line
+included, when it has too many fields, when a quote is not closed, when a
+non-empty value does not convert, or when the declared type would round it.  File splits are read in parallel and
 the split into good and quarantined rows is a narrow map.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 from ..schemas import BRONZE, DATE_PATTERNS, FEED_FILES
 
 OVERFLOW = "_overflow"
+RECORD = "_record"    # the whole line as delivered; kept for rejected rows
 REASON = "reject_reason"
 SOURCE_FILE = "source_file"
 
@@ -29,6 +31,7 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": RECORD,
     "ignoreLeadingWhiteSpace": "false",  # padded codes are data, kept as they are
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -55,7 +58,7 @@ def feed_path(root: str, feed: str) -> str:
 
 def text_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields]
-                        + [T.StructField(OVERFLOW, T.StringType(), True)])
+                        + [T.StructField(OVERFLOW, T.StringType(), True), T.StructField(RECORD, T.StringType(), True)])
 
 
 def read_text_fields(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
@@ -72,9 +75,9 @@ def typed_value(name: str, text: Column, dtype: T.DataType) -> Column:
         patterns = DATE_PATTERNS.get(name, ("yyyy-MM-dd",))
         parsed = [F.try_to_timestamp(text, F.lit(p)) for p in patterns]
         return (F.coalesce(*parsed) if len(parsed) > 1 else parsed[0]).cast("date")
-    if isinstance(dtype, T.TimestampType):
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         patterns = DATE_PATTERNS.get(name, ("yyyy-MM-dd HH:mm:ss",))
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns]).cast(dtype)
     if isinstance(dtype, T.StringType):
         return text
     return text.try_cast(dtype)
@@ -82,13 +85,22 @@ def typed_value(name: str, text: Column, dtype: T.DataType) -> Column:
 
 def with_rejects(raw: DataFrame, schema: T.StructType, max_text: int | None = None) -> DataFrame:
     """Adds typed columns and a ``reject_reason`` (NULL for good rows)."""
-    reasons = [F.when(F.col(OVERFLOW).isNotNull(), F.lit("too_many_fields"))]
+    # the reader keeps the line unless it has exactly one field too many: then its fields give it back
+    quoted = [F.when(c.contains(",") | c.contains('"'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+              for c in (F.coalesce(F.col(n), F.lit("")) for n in [*schema.names, OVERFLOW])]
+    record = F.coalesce(F.col(RECORD), F.concat_ws(",", *quoted))
+    quotes = F.length(RECORD) - F.length(F.replace(F.col(RECORD), F.lit('"'), F.lit("")))
+    reasons = [F.when(F.col(OVERFLOW).isNotNull(), F.lit("too_many_fields")),
+               F.when(quotes % 2 == 1, F.lit("unclosed_quote"))]
     typed = {}
     for f in schema.fields:
         text = F.col(f.name)
         value = typed_value(f.name, text, f.dataType)
         typed[f.name] = value
         reasons.append(F.when(text.isNotNull() & value.isNull(), F.lit(f"bad_{f.name}")))
+        if isinstance(f.dataType, T.DecimalType):
+            exact = text.try_cast(T.DecimalType(38, 18))
+            reasons.append(F.when(exact != value, F.lit(f"rounded_{f.name}")))
         if max_text is not None and isinstance(f.dataType, T.StringType):
             reasons.append(F.when(F.length(text) > max_text, F.lit(f"long_{f.name}")))
     reason = F.concat_ws(";", *reasons)
@@ -97,7 +109,7 @@ def with_rejects(raw: DataFrame, schema: T.StructType, max_text: int | None = No
     # nothing), so persisting the checked rows stores each good value once
     keep = rejected.isNotNull()
     return raw.select(*[F.when(keep, F.col(f.name)).alias(f"_raw_{f.name}") for f in schema.fields],
-                      F.col(OVERFLOW), F.when(keep, F.col(SOURCE_FILE)).alias(SOURCE_FILE),
+                      F.col(OVERFLOW), F.when(keep, record).alias(RECORD), F.when(keep, F.col(SOURCE_FILE)).alias(SOURCE_FILE),
                       *[v.alias(n) for n, v in typed.items()], rejected.alias(REASON))
 
 
@@ -107,7 +119,7 @@ STATUS = "_status"
 def checked_schema(schema: T.StructType) -> T.StructType:
     """Layout of :func:`with_rejects` output (raw text, overflow, file, typed, reason)."""
     text = [T.StructField(f"_raw_{f.name}", T.StringType(), True) for f in schema.fields]
-    return T.StructType([*text, T.StructField(OVERFLOW, T.StringType(), True),
+    return T.StructType([*text, T.StructField(OVERFLOW, T.StringType(), True), T.StructField(RECORD, T.StringType(), True),
                          T.StructField(SOURCE_FILE, T.StringType(), True),
                          *[T.StructField(f.name, f.dataType, True) for f in schema.fields],
                          T.StructField(REASON, T.StringType(), True)])
@@ -115,7 +127,7 @@ def checked_schema(schema: T.StructType) -> T.StructType:
 
 def rejected_rows(checked: DataFrame, schema: T.StructType) -> DataFrame:
     return checked.filter(F.col(REASON).isNotNull()).select(
-        *[F.col(f"_raw_{n}").alias(n) for n in schema.names], F.col(OVERFLOW), F.col(REASON), F.col(SOURCE_FILE))
+        *[F.col(f"_raw_{n}").alias(n) for n in schema.names], F.col(OVERFLOW), F.col(RECORD), F.col(REASON), F.col(SOURCE_FILE))
 
 
 def split(checked: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -140,4 +152,4 @@ def write_feed(df: DataFrame, path: str) -> None:
     header, NULL as an empty field, padding preserved."""
     (df.write.mode("overwrite").option("header", "true")
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-       .option("dateFormat", "yyyy-MM-dd").csv(path))
+       .option("dateFormat", "yyyy-MM-dd").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))

@@ -88,9 +88,12 @@ def crm_prod_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 40 == 0, F.lit(None).cast(AMOUNT))
          .otherwise((F.col("p_size") * 10 + v).cast(AMOUNT)).alias("prd_cost"),
         _case(k % 6, {0: "M", 1: "R ", 2: " s", 3: "T", 4: None}, "x").alias("prd_line"),
-        F.date_add(F.lit("1994-01-01").cast("date"), v * 400).alias("prd_start_dt"),
-        F.when(v == k % 3, F.lit(None).cast("date"))
-         .otherwise(F.date_add(F.lit("1990-01-01").cast("date"), v * 10)).alias("prd_end_dt"),
+        # every seventh part has its versions on one day, the later ids at earlier hours
+        F.when(k % 7 == 2, F.lit("1994-01-01 18:00:00").cast("timestamp_ntz") - F.make_dt_interval(hours=9 * v))
+         .otherwise(F.date_add(F.lit("1994-01-01").cast("date"), v * 400).cast("timestamp_ntz")
+                    + F.make_dt_interval(hours=(k % 5).cast("int"))).alias("prd_start_dt"),
+        F.when(v == k % 3, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(F.date_add(F.lit("1990-01-01").cast("date"), v * 10).cast("timestamp_ntz")).alias("prd_end_dt"),
     )
 
 

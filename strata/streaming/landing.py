@@ -4,11 +4,12 @@ The batch bronze load rereads whole feeds; this job picks up only files that
 landed since its last run (Structured Streaming file source, progress kept in
 the checkpoint), applies the same tolerant parse, and writes every
 micro-batch once, split by status like the batch load:
-``<table>/_epoch=<id>/_status=good|rejected``.
+``<table>/_query=<id>/_epoch=<id>/_status=good|rejected``.
 
-Each micro-batch goes to its own ``_epoch=<id>`` folder in overwrite mode:
-when a batch is replayed after a failure it replaces its own output, so the
-table never holds a batch twice.  ``available_now`` processes everything
+Each micro-batch goes to its own folder in overwrite mode: when a batch is
+replayed after a failure it replaces its own output, so the table never holds
+a batch twice.  ``_query`` is the identity kept in the checkpoint: a new or
+reset checkpoint counts its epochs from 0 again, in a folder of its own.  ``available_now`` processes everything
 present and stops (scheduled runs); without it the query keeps running.
 """
 
@@ -22,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources import delimited
 
 EPOCH = "_epoch"
+QUERY = "_query"
 
 
 def arriving_rows(spark: SparkSession, folder: str, schema: T.StructType, header: bool = True,
@@ -41,10 +43,12 @@ def load_arrivals(spark: SparkSession, folder: str, schema: T.StructType, table_
     checked = arriving_rows(spark, folder, schema, header)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        # Spark writes the query's id into the checkpoint before the first batch
+        query = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
         good = F.col(delimited.REASON).isNull()
         (batch.withColumn(delimited.STATUS, F.when(good, F.lit("good")).otherwise(F.lit("rejected")))
               .write.mode("overwrite").partitionBy(delimited.STATUS)
-              .parquet(f"{table_path}/{EPOCH}={epoch_id}"))
+              .parquet(f"{table_path}/{QUERY}={query}/{EPOCH}={epoch_id}"))
 
     writer = checked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -52,7 +56,7 @@ def load_arrivals(spark: SparkSession, folder: str, schema: T.StructType, table_
 
 
 def _part(spark: SparkSession, path: str, schema: T.StructType, status: str) -> DataFrame:
-    layout = T.StructType([*delimited.checked_schema(schema).fields, T.StructField(EPOCH, T.LongType()),
+    layout = T.StructType([*delimited.checked_schema(schema).fields, T.StructField(QUERY, T.StringType()), T.StructField(EPOCH, T.LongType()),
                            T.StructField(delimited.STATUS, T.StringType())])
     return spark.read.schema(layout).parquet(path).filter(F.col(delimited.STATUS) == status)
 
