@@ -203,7 +203,8 @@ def test_chat_blocks_and_edges(spark, monkeypatch):
     lines = [(1, t, None, f"User: hello {t}\nmore <|x|>" if t % 2 == 0 else f"Assistant: hi {t}\nand\nso on") for t in range(60)]
     lines += [(2, 0, None, None), (None, 0, None, "### system\nbe kind"), (3, None, None, "no marker"), (3, 1, None, "A: yes"), (3, 1, None, "A: yes")]
     df = spark.createDataFrame(lines, "conv_id long, turn long, role string, text string").repartition(4)
-    labelled = spark.createDataFrame([(c, t, ("user", "assistant")[t % 2], ("User: x", "Assistant: long answer\nline")[t % 2]) for c in range(20) for t in range(6)],
+    said = [("system", "### system\nrules"), *[("user", "User: hello 5\nmore words"), ("assistant", "Assistant: hi 5\nand\nso on")] * 3]
+    labelled = spark.createDataFrame([(c, t, r, x) for c in range(20) for t, (r, x) in enumerate(said[c % 2:])],
                                      "conv_id long, turn long, role string, text string")
     model = chat.train(labelled)
 
