@@ -149,7 +149,8 @@ def _anchor_rows(docs: DataFrame, threshold: int, gram: int) -> DataFrame:
     """First two digits of every run of windows, combined inside each chunk.
 
     Of equal runs of a chunk only the earliest goes on; the others are covered, and leave
-    as rows with ``lead`` = -1 whose g spreads them over the tasks.
+    as rows with ``lead`` = -1 whose g spreads them over the tasks.  The same run of a
+    repeated row (equal id, tx and lo) is the same place, not another copy: it goes on once.
     """
     def run(batches):
         for rows, raw, off in text_chunks(batches, limit=SEGMENT_BYTES):
@@ -159,9 +160,13 @@ def _anchor_rows(docs: DataFrame, threshold: int, gram: int) -> DataFrame:
                 n, lead = (hi - lo).astype(np.int32), (a - lo).astype(np.int32)
                 lo = lo - o[text] + shift
                 order = np.lexsort((lo, tx[text], ids[text], s, g))
-                again = np.zeros(len(order), dtype=bool)
-                again[1:] = (g[order][1:] == g[order][:-1]) & (s[order][1:] == s[order][:-1])
+                alike = lambda *cols: np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in cols])
+                again, twice = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
+                again[1:] = alike(g, s)
+                twice[1:] = alike(g, s, ids[text], tx[text], lo)
                 lead[order[again]] = -1
+                one = np.sort(order[~twice])
+                text, lo, n, lead, g, s = text[one], lo[one], n[one], lead[one], g[one], s[one]
                 spread = np.where(lead < 0, mix64(ids[text].view(np.uint64) + lo.view(np.uint64)), g)
                 yield pa.RecordBatch.from_arrays([
                     _signed(spread), _signed(s), pa.array(ids[text]), pa.array(tx[text]), pa.array(lo), pa.array(n), pa.array(lead)],
@@ -292,7 +297,7 @@ def covered_units(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
     windows = written(_sort_windows(_window_rows(_names(docs).join(unsure, ["id", "tx"]), threshold)), "windows")
     release(docs.sparkSession)
     cover = (runs.where("lead < 0").select("id", "tx", "lo", "n").unionByName(windows)
-             .groupBy("id", "tx").agg(F.collect_list(F.struct("lo", "n")).alias("cover")))
+             .groupBy("id", "tx").agg(F.collect_set(F.struct("lo", "n")).alias("cover")))  # a repeated row's runs once
     return units(docs).join(cover, ["id", "tx"], "left")
 
 

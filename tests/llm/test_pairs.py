@@ -135,6 +135,16 @@ def test_repeated_rows_keep_the_first(spark):
     assert left == [(0, ""), (1, ""), (1, ""), (1, text), (2, ""), (2, "short"), (2, "short")]
 
 
+def test_repeated_rows_in_one_chunk_keep_the_first(spark):
+    text = "".join(chr(97 + i * i % 26) for i in range(90)) + "Z" * 5 + "".join(chr(97 + i * 7 % 26) for i in range(60))
+    n = len(text)
+    for ids in ([1, 1, 1, 2], [None, None, 5, 5]):
+        df = spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string").coalesce(1)
+        got = sorted((r.n_removed, r.doc_id is None, r.doc_id or 0) for r in repeats.repeats_report(df).collect())
+        assert got[0] == (0, ids[0] is None, ids[0] or 0) and [g[0] for g in got[1:]] == [n] * 3
+        assert sorted(r.text for r in repeats.remove_repeats(df).collect()) == ["", "", "", text]
+
+
 def test_remove_repeats_keeps_whole_characters(docs, rows):
     got = repeats.remove_repeats(docs)
     assert got.columns == docs.columns and got.count() == len(rows)
