@@ -10,7 +10,9 @@ Only what is left after intersecting these filters is verified.
 Steps:
 
 1. Sets are made in text chunks.  Equal sets are one node from here on, named by a
-   64-bit hash of the set.  Tokens leave as packed arrays, spread over buckets by hash.
+   64-bit hash of the set.  The documents are a plain table that enters no bucket.  Tokens
+   leave as packed arrays, spread over buckets by hash; a token so common that it would
+   fill a bucket (found by counting in the tasks) is spread over all buckets by its nodes.
 2. Each bucket counts its tokens' frequencies over all nodes; tokens of a single node
    can be shared by nobody and end here.  The rest go back to their nodes.
 3. A node whose rarest-first prefix consists of such tokens has no partner.  The others
@@ -45,10 +47,13 @@ ORDERS = 3
 BUCKET_BYTES = 8 << 20   # text bytes whose tokens make up one bucket, on average
 RARITY_STEPS = 4         # frequency classes per doubling of a token's document frequency
 BLOCK = 256              # members of a token group that meet in one task
+HOT_SHARE = 16           # a token with this part of an average bucket's tokens is spread over all buckets,
+HOT_LEAST = 1024         # if so many documents hold it at least
 
-_ROW = "bucket int, nodes binary, sizes binary, tokens binary, owner binary, docs binary"
-_SHARED = "bucket int, nodes binary, tokens binary, rarity binary, docs binary"
-_TABLE = "docs binary, node long, n int, centre double, tokens binary, prefixes binary"
+_DOCUMENT = "doc_id long, node long, n_shingles long, tx long, token long, c long"
+_ROW = "bucket int, nodes binary, tokens binary, owner binary"
+_SHARED = "bucket int, nodes binary, tokens binary, rarity binary"
+_TABLE = "node long, n int, centre double, tokens binary, prefixes binary"
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,47 +100,96 @@ def _cut(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.n
     return order, have, np.append(start, len(bucket))
 
 
-def _token_rows(docs: DataFrame, k: int, buckets: int) -> DataFrame:
+def _once(names: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Boolean per text of a chunk: the first of its set, which is not empty."""
+    _, one = np.unique(names, return_index=True)
+    pick = np.zeros(len(sizes), dtype=bool)
+    pick[one] = True
+    return pick & (sizes > 0)
+
+
+def _most_common(tokens: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Summed counts of at most ``most`` tokens, each too low by the total over ``most`` at most (Misra-Gries)."""
+    tokens, at = np.unique(tokens, return_inverse=True)
+    counts = np.bincount(at, weights=counts, minlength=len(tokens)).astype(np.int64)
+    if len(tokens) > most:
+        counts = counts - np.partition(counts, -most - 1)[-most - 1]
+    return tokens[counts > 0], counts[counts > 0]
+
+
+def _document_rows(docs: DataFrame, k: int, most: int) -> DataFrame:
+    """A row per document; and, with ``c``, the common tokens of each task and how many of its sets hold them."""
     def run(batches):
+        common, counts, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         for rows, raw, off in text_chunks(batches):
             tokens, ptr = shingle_sets(raw, off, k)
             names, sizes = set_names(tokens, ptr), np.diff(ptr)
-            ids = rows.column(rows.schema.get_field_index("doc_id"))
-            null = ids.is_null().to_numpy(zero_copy_only=False)
-            tx = rows.column(rows.schema.get_field_index("tx")).to_numpy(zero_copy_only=False)
-            listed = np.stack([ids.fill_null(0).to_numpy(zero_copy_only=False), null.astype(np.int64), names, sizes, tx], axis=1)
+            none = pa.nulls(rows.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index("doc_id")).cast(pa.int64()), pa.array(names), pa.array(sizes.astype(np.int64)),
+                                              rows.column(rows.schema.get_field_index("tx")), none, none], names=["doc_id", "node", "n_shingles", "tx", "token", "c"])
+            tokens = tokens[np.repeat(_once(names, sizes), sizes)]
+            total += len(tokens)
+            common, counts = _most_common(np.concatenate([common, tokens]), np.concatenate([counts, np.ones(len(tokens), np.int64)]), most)
+        often = counts > 1 + total // most
+        none = pa.nulls(int(often.sum()), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(common[often].view(np.int64)), pa.array(counts[often])],
+                                         names=["doc_id", "node", "n_shingles", "tx", "token", "c"])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("tx")).mapInArrow(run, _DOCUMENT)
+
+
+def _hot_tokens(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, rarity) of the tokens that would fill a bucket: ``most`` at most, as their counts sum to all tokens at most."""
+    total = rows.agg(F.sum("n_shingles")).collect()[0][0] or 0
+    hot = rows.where("c is not null").groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") > max(HOT_LEAST, total // most)).toArrow()
+    tokens, c = hot["token"].to_numpy().view(np.uint64), hot["c"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], _rarity(c[order])
+
+
+def _rarity(df: np.ndarray) -> np.ndarray:
+    return np.minimum(255, np.rint(RARITY_STEPS * np.log2(df))).astype(np.uint8)
+
+
+def _place(hot: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(is it hot, its place in ``hot``) for each token."""
+    if not len(hot):
+        return np.zeros(len(tokens), dtype=bool), np.zeros(len(tokens), np.int64)
+    slot = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
+    return hot[slot] == tokens, slot
+
+
+def _token_rows(docs: DataFrame, k: int, buckets: int, hot) -> DataFrame:
+    def run(batches):
+        for _, raw, off in text_chunks(batches):
+            tokens, ptr = shingle_sets(raw, off, k)
+            names, sizes = set_names(tokens, ptr), np.diff(ptr)
             # equal sets of a chunk go on once
-            _, one = np.unique(names, return_index=True)
-            one = one[sizes[one] > 0]
-            pick = np.zeros(len(sizes), dtype=bool)
-            pick[one] = True
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            keep = pick[owner]
+            keep = _once(names, sizes)[owner]
             tokens, owner = tokens[keep], owner[keep]
-            order, have, bound = _cut((tokens >> np.uint64(40)).astype(np.int64) % buckets, buckets)
-            out = {c: [] for c in ("bucket", "nodes", "sizes", "tokens", "owner", "docs")}
+            spread, _ = _place(hot.value[0], tokens)
+            dealt = np.where(spread, mix64(tokens ^ names.view(np.uint64)[owner]), tokens)
+            order, have, bound = _cut((dealt >> np.uint64(40)).astype(np.int64) % buckets, buckets)
+            out = {c: [] for c in ("bucket", "nodes", "tokens", "owner")}
             for b, x, y in zip(have.tolist(), bound[:-1], bound[1:], strict=True):
                 part = order[x:y]
                 who, local = np.unique(owner[part], return_inverse=True)
-                for c, v in (("bucket", b), ("nodes", names[who].tobytes()), ("sizes", b""), ("tokens", tokens[part].tobytes()),
-                             ("owner", local.astype(np.uint32).tobytes()), ("docs", b"")):
-                    out[c].append(v)
-            # the documents themselves travel to the bucket of their node
-            order, have, bound = _cut(names.view(np.uint64).astype(np.int64) % buckets & 0x7FFFFFFF, buckets)
-            for b, x, y in zip(have.tolist(), bound[:-1], bound[1:], strict=True):
-                for c, v in (("bucket", b), ("nodes", b""), ("sizes", b""), ("tokens", b""), ("owner", b""), ("docs", listed[order[x:y]].tobytes())):
+                for c, v in (("bucket", b), ("nodes", names[who].tobytes()), ("tokens", tokens[part].tobytes()), ("owner", local.astype(np.uint32).tobytes())):
                     out[c].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out["bucket"], pa.int32()), *[pa.array(out[c], pa.binary()) for c in list(out)[1:]]], names=list(out))
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("tx")).mapInArrow(run, _ROW)
+    return docs.select("text").mapInArrow(run, _ROW)
 
 
 def _joined(table: pa.Table, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
 
 
-def _frequencies(rows: DataFrame, buckets: int) -> DataFrame:
-    """Tokens that several nodes share, dealt out again by node."""
+def _frequencies(rows: DataFrame, buckets: int, hot) -> DataFrame:
+    """Tokens that several nodes share, dealt out again by node.
+
+    Of a hot token a bucket has only some nodes: its rarity comes from the counts of the tasks."""
     def run(table: pa.Table) -> pa.Table:
         tokens = _joined(table, "tokens", np.uint64)
         nodes = _joined(table, "nodes", np.int64)
@@ -152,18 +206,17 @@ def _frequencies(rows: DataFrame, buckets: int) -> DataFrame:
         new[1:] = tokens[1:] != tokens[:-1]
         group = np.cumsum(new) - 1
         df = np.bincount(group)[group] if len(group) else group
-        shared = df > 1
+        spread, _ = _place(hot.value[0], tokens)
+        shared = (df > 1) | spread
         tokens, node, df = tokens[shared], node[shared], df[shared]
-        rarity = np.minimum(255, np.rint(RARITY_STEPS * np.log2(df))).astype(np.uint8)
+        spread, slot = _place(hot.value[0], tokens)
+        rarity = _rarity(df)
+        rarity[spread] = hot.value[1][slot[spread]]
         order, have, bound = _cut(node.astype(np.int64) % buckets & 0x7FFFFFFF, buckets)
-        out = [(b, node[order[x:y]].tobytes(), tokens[order[x:y]].tobytes(), rarity[order[x:y]].tobytes(), b"")
+        out = [(b, node[order[x:y]].tobytes(), tokens[order[x:y]].tobytes(), rarity[order[x:y]].tobytes())
                for b, x, y in zip(have.tolist(), bound[:-1], bound[1:], strict=True)]
-        bucket = table.column("bucket")[0].as_py()
-        docs = b"".join(table.column("docs").to_pylist())
-        if docs:
-            out.append((bucket, b"", b"", b"", docs))
-        return pa.table([pa.array([r[i] for r in out], pa.int32() if i == 0 else pa.binary()) for i in range(5)],
-                        names=["bucket", "nodes", "tokens", "rarity", "docs"])
+        return pa.table([pa.array([r[i] for r in out], pa.int32() if i == 0 else pa.binary()) for i in range(4)],
+                        names=["bucket", "nodes", "tokens", "rarity"])
 
     return rows.groupBy("bucket").applyInArrow(run, _SHARED)
 
@@ -172,20 +225,18 @@ def _prefix_size(n: np.ndarray, t: Fraction) -> np.ndarray:
     return n - -(-n * t.numerator // t.denominator) + 1
 
 
-def _candidates(rows: DataFrame, t: Fraction) -> DataFrame:
-    """Documents (packed) and candidate nodes with their shared tokens and prefixes."""
-    def run(table: pa.Table) -> pa.Table:
-        docs = b"".join(table.column("docs").to_pylist())
+def _candidates(rows: DataFrame, sizes: DataFrame, t: Fraction) -> DataFrame:
+    """Candidate nodes with their shared tokens and prefixes; ``sizes``: (bucket, node, n) of every node."""
+    def run(table: pa.Table, known: pa.Table) -> pa.Table:
         node, tokens, rarity = _joined(table, "nodes", np.int64), _joined(table, "tokens", np.uint64), _joined(table, "rarity", np.uint8)
-        out = [(docs, None, None, None, None, None)] if docs else []
-        listed = np.frombuffer(docs, np.int64).reshape(-1, 5)
-        known, first = np.unique(listed[:, 2], return_index=True)
-        size = listed[first, 3]
+        out = []
+        names, size = known["node"].to_numpy(), known["n"].to_numpy()
+        by_name = np.argsort(names)
         order = np.lexsort((tokens, node))
         node, tokens, rarity = node[order], tokens[order], rarity[order].astype(np.int64)
         name, start = np.unique(node, return_index=True)
         bound = np.append(start, len(node))
-        n = size[np.searchsorted(known, name)] if len(name) else np.zeros(0, np.int64)
+        n = size[by_name[np.searchsorted(names, name, sorter=by_name)]] if len(name) else np.zeros(0, np.int64)
         shared = np.diff(bound)
         want = _prefix_size(n, t) - (n - shared)  # prefix tokens left after those nobody shares
         # the same tokens under every order: rarity first, then the order's own hash
@@ -195,12 +246,12 @@ def _candidates(rows: DataFrame, t: Fraction) -> DataFrame:
         for i in np.flatnonzero(want > 0).tolist():
             a, b = bound[i], bound[i + 1]
             prefixes = b"".join(tokens[r[a:a + want[i]]].tobytes() for r in ranked)
-            out.append((None, int(name[i]), int(n[i]), float((total[b] - total[a]) / n[i]), tokens[a:b].tobytes(), prefixes))
-        kinds = [pa.binary(), pa.int64(), pa.int32(), pa.float64(), pa.binary(), pa.binary()]
-        return pa.table([pa.array([r[i] for r in out], kinds[i]) for i in range(6)],
-                        names=["docs", "node", "n", "centre", "tokens", "prefixes"])
+            out.append((int(name[i]), int(n[i]), float((total[b] - total[a]) / n[i]), tokens[a:b].tobytes(), prefixes))
+        kinds = [pa.int64(), pa.int32(), pa.float64(), pa.binary(), pa.binary()]
+        return pa.table([pa.array([r[i] for r in out], kinds[i]) for i in range(5)],
+                        names=["node", "n", "centre", "tokens", "prefixes"])
 
-    return rows.groupBy("bucket").applyInArrow(run, _TABLE)
+    return rows.groupBy("bucket").cogroup(sizes.groupBy("bucket")).applyInArrow(run, _TABLE)
 
 
 def _prefix_rows(nodes: DataFrame) -> DataFrame:
@@ -283,41 +334,35 @@ def _other_pairs(rows: DataFrame, labels: DataFrame, t: Fraction) -> DataFrame:
             .agg(F.bit_or(F.expr("shiftleft(1, ord)")).alias("seen")).where(F.col("seen") == _ALL_ORDERS).select("a", "b"))
 
 
-def join_table(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -> DataFrame:
-    """The written table of documents and candidate nodes (steps 1 to 3)."""
+def join_table(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """The written tables of documents and of candidate nodes (steps 1 to 3)."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
-    table = written(_candidates(_frequencies(_token_rows(docs, k, buckets), buckets), t), "sets")
+    most = HOT_SHARE * buckets
+    rows = written(_document_rows(docs, k, most), "documents")
+    hot = spark.sparkContext.broadcast(_hot_tokens(rows, most))  # bounded by HOT_SHARE tokens a bucket
+    listed = rows.where("c is null").drop("token", "c")
+    sizes = listed.where("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n"))
+    sizes = sizes.select((F.pmod("node", F.lit(buckets)).bitwiseAND(0x7FFFFFFF)).cast("int").alias("bucket"), "node", "n")
+    table = written(_candidates(_frequencies(_token_rows(docs, k, buckets, hot), buckets, hot), sizes, t), "sets")
     release(spark)
-    return table
+    return listed, table
 
 
 def similar_links(table: DataFrame, t: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(links, labels): verified links between nodes, enough to connect every component, and its components."""
-    nodes = table.where("node is not null")
-    rows = written(_prefix_rows(nodes), "prefixes")
-    links = written(_verify(_leader_pairs(rows, t), nodes, t), "leads")
+    rows = written(_prefix_rows(table), "prefixes")
+    links = written(_verify(_leader_pairs(rows, t), table, t), "leads")
     labels = components(links)
-    links = links.unionByName(written(_verify(_other_pairs(rows, labels, t), nodes, t), "others"))
+    links = links.unionByName(written(_verify(_other_pairs(rows, labels, t), table, t), "others"))
     return links, components(links)
 
 
-def _documents(table: DataFrame) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64).reshape(-1, 5)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[:, 0], mask=flat[:, 1] == 1), *[pa.array(flat[:, k]) for k in (2, 3, 4)]],
-                                             names=["doc_id", "node", "n_shingles", "tx"])
-
-    return table.where("docs is not null").select("docs").mapInArrow(run, "doc_id long, node long, n_shingles long, tx long")
-
-
 def _groups(docs: DataFrame, k: int, t: Fraction) -> DataFrame:
     """(doc_id, tx, node, n_shingles, comp, component_id) of every row; comp is null for empty sets."""
-    table = join_table(docs, k, t)
+    rows, table = join_table(docs, k, t)
     _, labels = similar_links(table, t)
-    rows = _documents(table)
     least = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(labels, "node", "left").select("node", "least", F.coalesce("comp", "node").alias("comp"))
     group = named.groupBy("comp").agg(F.min("least").alias("component_id"))

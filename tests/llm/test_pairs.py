@@ -83,6 +83,37 @@ def test_keep_one(docs, rows, empty):
         sorted((r for r in kept if r[1] and len(r[1]) > 5 and re.search("[a-z]", r[1])), key=str)
 
 
+def test_no_bucket_takes_a_whole_group(spark, monkeypatch):
+    copies = [(i, "one text that is there again and again") for i in range(1500)] + [(i, " ") for i in range(1500, 2000)]
+    common = "these nine words are in all of the others"
+    texts = copies + [(i, f"{common} " + " ".join(f"w{i}x{k}" for k in range(12))) for i in range(2000, 4000)]
+    seen, count = [], jaccard._frequencies
+    monkeypatch.setattr(jaccard, "_frequencies", lambda rows, *a: seen.append(rows) or count(rows, *a))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect()}
+        size = sum((F.octet_length(c) for c in seen[0].columns if c != "bucket"), F.lit(0))
+        sizes = [r["s"] for r in seen[0].groupBy("bucket").agg(F.sum(size).alias("s")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == {i: 0 if i < 1500 else i for i in range(4000)}
+    assert len(sizes) == 32 and max(sizes) < 1.5 * sum(sizes) / 32, (max(sizes), sum(sizes) / 32)
+
+
+@pytest.mark.parametrize("least", [1, 8])
+def test_near_duplicates_with_hot_tokens(docs, rows, least, monkeypatch):
+    monkeypatch.setattr(jaccard, "HOT_LEAST", least)
+    monkeypatch.setattr(jaccard, "HOT_SHARE", 1 << 16)
+    sets, group = brute_groups(rows)
+    least_id = {}
+    for r, s, g in zip(rows, sets, group, strict=True):
+        if s and r[0] is not None:
+            least_id[g] = min(least_id.get(g, r[0]), r[0])
+    want = sorted(((r[0], len(s), least_id.get(g) if s else r[0]) for r, s, g in zip(rows, sets, group, strict=True)), key=str)
+    assert sorted((tuple(r) for r in jaccard.near_duplicates(docs).collect()), key=str) == want
+
+
 def test_set_of_repeated_shingles_links_by_the_exact_share(spark):
     # 3 of 4 shingles shared out of 4: linked at exactly 0.75; 3 of 5 is not
     base = [f"w{i}" for i in range(7)]
