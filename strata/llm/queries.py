@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import chat, ctw, decontaminate, encode, fingerprint, jaccard, langid, repeats, sharding, toxicity
+from . import chat, ctw, decontaminate, encode, fingerprint, jaccard, langid, repeats, sharding, toxicity, whitening
 
 SHARDS = 40
 
@@ -57,10 +57,15 @@ def op10_segmentation_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op11_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hmm_chat, op2_jump_sharding, op3_context_tree, op4_suffix_array_encoding, op5_positional_index,
-    op6_chunk_fingerprints, op7_toxicity, op8_jaccard_multi_order, op9_suffix_radix_dedup, op10_segmentation_langid)}
+    op6_chunk_fingerprints, op7_toxicity, op8_jaccard_multi_order, op9_suffix_radix_dedup, op10_segmentation_langid,
+    op11_refined_whitening)}
 
-# None of the ten can be written as one SQL statement with equal results: their hashes, models
+# None of them can be written as one SQL statement with equal results: their hashes, models
 # and iterations are not SQL.  tests/llm holds brute-force versions.
 ORACLES: dict[str, str] = {}
