@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import chat, ctw, decontaminate, encode, fingerprint, hamming, jaccard, langid, repeats, sharding, toxicity, whitening
+from . import chat, ctw, decontaminate, encode, fingerprint, hamming, jaccard, langid, repeats, sharding, spelling, toxicity, whitening
 
 SHARDS = 40
 
@@ -65,10 +65,14 @@ def op12_bk_tree_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_bloom_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hmm_chat, op2_jump_sharding, op3_context_tree, op4_suffix_array_encoding, op5_positional_index,
     op6_chunk_fingerprints, op7_toxicity, op8_jaccard_multi_order, op9_suffix_radix_dedup, op10_segmentation_langid,
-    op11_refined_whitening, op12_bk_tree_simhash)}
+    op11_refined_whitening, op12_bk_tree_simhash, op13_bloom_spelling)}
 
 # None of them can be written as one SQL statement with equal results: their hashes, models
 # and iterations are not SQL.  tests/llm holds brute-force versions.
