@@ -51,16 +51,18 @@ def expand_copies(folded: DataFrame, count_col: str = _N, copy_col: str = _COPY,
     chunk descriptors (a handful of rows), which are hash-spread over tasks
     before each expands at most ``chunk`` rows.
     """
-    cnt = F.col(count_col)
+    cnt, part = F.col(count_col), _CHUNK
+    while part in folded.columns:
+        part += "_"
     single = folded.filter(cnt == 1).withColumn(copy_col, F.lit(1).cast("bigint")).drop(count_col)
     chunks = (folded.filter(cnt > 1)
-              .withColumn(_CHUNK, F.explode(F.sequence(F.lit(0).cast("bigint"),
+              .withColumn(part, F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                        F.floor((cnt - 1) / chunk).cast("bigint")))))
     spread = chunks.repartition(*[F.col(c) for c in chunks.columns])
-    first = F.col(_CHUNK) * chunk + 1
-    last = F.least(cnt, (F.col(_CHUNK) + 1) * chunk)
+    first = F.col(part) * chunk + 1
+    last = F.least(cnt, (F.col(part) + 1) * chunk)
     multi = (spread.withColumn(copy_col, F.explode(F.sequence(first, last)))
-             .drop(_CHUNK, count_col))
+             .drop(part, count_col))
     return single.unionByName(multi)
 
 
