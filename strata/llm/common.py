@@ -7,7 +7,9 @@ one text, where a single text is longer) and not by the partition.
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import re
 import time
 import uuid
 from collections.abc import Iterator
@@ -20,6 +22,7 @@ from pyspark.sql.types import DataType
 from ..session import shared_dir
 
 CHUNK_BYTES = 1 << 20  # text bytes handled at once inside a task
+ARROW_BYTES = 8 << 20  # bytes of rows handed to a task at once (one row at least)
 
 # Upper-case ASCII to lower case, every other byte unchanged.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -77,6 +80,35 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
             hi = min(max(hi, lo + 1), len(col))
             yield batch.slice(lo, hi - lo), raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
             lo = hi
+    return_memory()
+
+
+def return_memory() -> None:
+    """Hand freed memory back to the system: task processes live on from job to job."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Text reaches the tasks in Arrow batches of ``ARROW_BYTES`` at most, not of so many rows however long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(name).lower())
+    now = int(size[1]) << 10 * " kmgt".index(size[2] or " ") if size else 0
+    if not 0 < now <= ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names, with underscores added where a column has them already (upper and lower case alike)."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 class Words:
@@ -138,6 +170,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage and keeps
     one version of the rows for every later read, also after an executor is lost."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -160,6 +193,7 @@ def add_text_columns(df: DataFrame, compute, fields: list[tuple[str, str]], text
     returns one Arrow-convertible array per field.  ``keep`` names the input columns to
     return (default all).  Input columns named like a new field are replaced.
     """
+    bound_batches(df.sparkSession)
     names = [n for n, _ in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
     source = df.select(*dict.fromkeys([*kept, text]))

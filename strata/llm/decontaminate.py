@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, Words, ranges, text_chunks, written
+from .common import ALNUM_WORD, Words, fresh, ranges, text_chunks, written
 
 WINDOW = 10
 WINDOW_GAP = 1 << 10  # positions between two documents; windows and slop are shorter
@@ -285,8 +285,12 @@ def contamination_report(docs: DataFrame, items: DataFrame, window: int = WINDOW
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the rows whose text holds a window of a test item (a null text is clean)."""
+    """``docs`` without the rows whose text holds a window of a test item (a null text is clean).
+
+    Rows are judged by their text alone: repeated rows share their fate.  Columns may have any names.
+    """
     name = F.xxhash64("text")
     report = contamination_report(docs.where("text is not null").select(name.alias("doc_id"), "text"), items, window)
-    dirty = report.where("contaminated").select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, name == F.col("_dirty"), "left_anti")
+    dirty, = fresh(docs.columns, "dirty_text")
+    hits = report.where("contaminated").select(F.col("doc_id").alias(dirty)).distinct()
+    return docs.join(hits, name == F.col(dirty), "left_anti")

@@ -29,7 +29,7 @@ from .pieces import PIECE_MODEL, SPACE_MARK, load_pieces
 _SEP = 0xFF       # never a byte of UTF-8 text
 _BLANK = 0x20
 CACHE_BITS = 20   # neighbour verdicts kept per task process
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 512 << 10
 
 
 class Pieces:

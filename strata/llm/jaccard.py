@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANK_WORD, Words, mix64, release, text_chunks, written
+from .common import BLANK_WORD, Words, fresh, mix64, release, text_chunks, written
 from .components import components
 
 WORDS = 5
@@ -384,14 +384,16 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -
 def keep_one(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the smallest doc_id (an id before
     none; of equal ids the smallest text hash, of equal texts one row by a hash of all
-    columns).  Rows without words are all kept."""
+    columns).  Rows without words, that is of the six ASCII blanks alone, are all kept.  Columns
+    may have any names."""
     rank = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "tx")
-    chosen = (_groups(docs, k, t).where("n_shingles > 0").groupBy("comp").agg(F.min(rank).alias("m"))
-              .select(F.col("m.doc_id").alias("_kept_id"), F.col("m.tx").alias("_kept_tx")))
-    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
     cols = docs.columns
-    worded = docs.where(~wordless).withColumn("_tx", F.xxhash64("text"))
-    first = Window.partitionBy("doc_id", "_tx").orderBy(F.xxhash64(*cols))
-    worded = worded.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-    kept = worded.join(chosen, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_tx") == F.col("_kept_tx")), "left_semi")
+    kept_id, kept_tx, tx, nth = fresh(cols, "kept_id", "kept_tx", "text_hash", "nth")
+    chosen = (_groups(docs, k, t).where("n_shingles > 0").groupBy("comp").agg(F.min(rank).alias("m"))
+              .select(F.col("m.doc_id").alias(kept_id), F.col("m.tx").alias(kept_tx)))
+    wordless = F.coalesce("text", F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z")
+    worded = docs.where(~wordless).withColumn(tx, F.xxhash64("text"))
+    first = Window.partitionBy("doc_id", tx).orderBy(F.xxhash64(*cols))
+    worded = worded.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1)
+    kept = worded.join(chosen, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(tx) == F.col(kept_tx)), "left_semi")
     return kept.select(*cols).unionByName(docs.where(wordless))

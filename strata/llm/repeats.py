@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordering import expand_copies
-from .common import BYTE_MIX, mix64, powers, ranges, release, text_chunks, written
+from .common import BYTE_MIX, fresh, mix64, powers, ranges, release, text_chunks, written
 
 THRESHOLD = 100
 GRAM = 48
@@ -354,16 +354,16 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``; every row stays.
 
     A character goes when all its bytes are covered.  ``n_chars``, where there is such a
-    column, is counted anew; a null text stays null.  Column names ``_copies``, ``_cover``,
-    ``_copy`` and ``_chunk`` are reserved.
+    column, is counted anew; a null text stays null.  Columns may have any names.
     """
     found = covered_units(docs, threshold)
     cols = docs.columns
-    source = found.select(*[F.col("row")[c].alias(c) for c in cols], F.col("copies").alias("_copies"), F.col("cover").alias("_cover"))
+    copies, cover, copy = fresh(cols, "_copies", "_cover", "_copy")
+    source = found.select(*[F.col("row")[c].alias(c) for c in cols], F.col("copies").alias(copies), F.col("cover").alias(cover))
 
     def run(batches):
         for rows, raw, off in text_chunks(batches, limit=SEGMENT_BYTES):
-            gone = _covered(rows, off, len(raw), threshold, "_cover")
+            gone = _covered(rows, off, len(raw), threshold, cover)
             head = (raw & 0xC0) != 0x80
             chars = np.flatnonzero(head)
             if len(chars):
@@ -371,13 +371,13 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                 gone = ~np.repeat(keep_char, np.diff(np.append(chars, len(raw))))
             null = rows.column(rows.schema.get_field_index("text")).is_null().to_pylist()
             left = [None if z else raw[a:b][~gone[a:b]].tobytes().decode() for a, b, z in zip(off[:-1], off[1:], null, strict=True)]
-            out = [pa.array(left, pa.string()) if c == "text" else rows.column(rows.schema.get_field_index(c)) for c in [*cols, "_copies"]]
-            yield pa.RecordBatch.from_arrays(out, names=[*cols, "_copies"])
+            out = [pa.array(left, pa.string()) if c == "text" else rows.column(rows.schema.get_field_index(c)) for c in [*cols, copies]]
+            yield pa.RecordBatch.from_arrays(out, names=[*cols, copies])
 
-    shape = source.drop("_cover").schema
+    shape = source.drop(cover).schema
     one = written(source.mapInArrow(run, shape), "kept")
-    again = (F.col("_copy") > 1) & (F.octet_length("text") >= threshold)
-    every = expand_copies(one, "_copies", "_copy").withColumn("text", F.when(again, F.lit("")).otherwise(F.col("text")))
+    again = (F.col(copy) > 1) & (F.octet_length("text") >= threshold)
+    every = expand_copies(one, copies, copy).withColumn("text", F.when(again, F.lit("")).otherwise(F.col("text")))
     if "n_chars" in cols:
         kind = docs.schema["n_chars"].dataType
         every = every.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, BYTE_MIX, Words, add_text_columns, mix64, powers, text_chunks
+from .common import ALNUM_WORD, BYTE_MIX, Words, add_text_columns, fresh, mix64, powers, text_chunks
 
 FEATURE_BITS = 20
 PREFIXES = (4, 5, 6)
@@ -215,24 +215,33 @@ def held_out(column: str, modulus: int, remainder: int):
     return F.crc32(F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "UTF-8")) % modulus == remainder
 
 
+def _trained(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    learn = ~held_out("doc_id", 5, 0)
+    return train(docs.where(learn), labels.where(learn))
+
+
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, n_sentences, n_offending.
 
-    Learns only from rows that are not held out (crc32 of the doc_id modulo 5 is not 0).
+    Learns only from rows that are not held out (crc32 of the doc_id modulo 5 is not 0): labels of
+    the others are not even counted.
     """
-    model = train(docs.where(~held_out("doc_id", 5, 0)), labels)
+    model = _trained(docs, labels)
     rows = docs.select("doc_id", "text")
     return (score(rows, model, keep=["doc_id"])
             .select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted", "n_sentences", "n_offending"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows predicted toxic; the model learns as in :func:`toxicity_report`."""
-    model = train(docs.where(~held_out("doc_id", 5, 0)), labels)
-    verdict = "_toxic"
+    """``docs`` without the rows predicted toxic; the model learns as in :func:`toxicity_report`.
+
+    Null, empty and wordless texts stay; repeated rows share their fate; columns may have any names.
+    """
+    model = _trained(docs, labels)
+    verdict, = fresh(docs.columns, "toxic_verdict")
 
     def compute(raw, off, rows):
         bags = Bags(raw, off)
         return [_noisy_or(bags.scores(model), bags.ptr) >= 0.5]
 
-    return add_text_columns(docs, compute, [(verdict, "boolean")]).where(f"not {verdict}").drop(verdict)
+    return add_text_columns(docs, compute, [(verdict, "boolean")]).where(~F.col(verdict)).drop(verdict)

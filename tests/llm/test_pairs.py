@@ -285,7 +285,24 @@ def test_pipeline_stages_on_odd_rows(spark, docs, rows, empty):
         assert stage(spark, empty, SF).count() == 0, name
 
 
+def test_pipeline_stages_keep_columns_of_any_name(spark, docs, rows):
+    names = ["toxic_verdict", "kept_id", "Text_Hash", "nth", "_nth", "_tx", "_toxic", "_dirty", "dirty_text", "_copies", "_cover", "_copy", "_chunk", "comp", "node", "row"]
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))).alias(c) for c in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns, name
+        for r in out.select("doc_id", *names).collect():
+            assert all(r[c] == f"{c}-{'?' if r.doc_id is None else r.doc_id}" for c in names), name
+
+
+def test_only_ascii_blanks_are_wordless(spark):
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(["\u2028", "\u2028", "\u0085", " \t\n", " \r\n", "\u00a0"])], SCHEMA)
+    groups = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert groups == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 5}
+    assert sorted(r.doc_id for r in jaccard.keep_one(docs).collect()) == [0, 2, 3, 4, 5]
+
+
 def test_all_queries_are_registered():
     import __spark_entry__ as entry
-    assert {n for n in entry.queries() if n.startswith("op")} == set(queries.QUERIES) and len(queries.QUERIES) == 10
+    assert {n for n in entry.queries() if n.startswith("op")} == set(queries.QUERIES) and len(queries.QUERIES) == 13
     assert "pipeline" in entry.queries()

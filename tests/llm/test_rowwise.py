@@ -80,6 +80,43 @@ def test_toxicity_held_out(spark):
     assert got.where("score < 0 or score > 1 or score is null or predicted <> cast(score >= 0.5 as int)").count() == 0
 
 
+def test_toxicity_does_not_see_held_out_labels(spark):
+    # more rows of a class than the sample takes, so that counts of labels decide shares and weights
+    text = F.when(F.col("id") % 3 == 0, F.concat(F.lit("you vile thing"), F.col("id") % 40)).otherwise(F.concat(F.lit("fine words here "), F.col("id") % 40))
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), text.alias("text")).cache()
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    held = toxicity.held_out("doc_id", 5, 0)
+    flipped = labels.select("doc_id", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")).alias("toxic"))
+    ones = labels.select("doc_id", F.when(held, F.lit(0)).otherwise(F.col("toxic")).alias("toxic"))
+    assert labels.where(~held).groupBy("toxic").count().agg(F.min("count")).first()[0] > 2500
+    scores = [{r.doc_id: r.score for r in toxicity.toxicity_report(docs, x).collect()} for x in (labels, flipped, ones)]
+    assert scores[0] == scores[1] == scores[2] and len(set(scores[0].values())) > 2
+
+
+def test_noisy_or_and_its_gradient():
+    """One step of the fit against plain sums and a numeric derivative."""
+    bags = [(1, np.array([1, 2, 2, 3]), np.array([0, 0, 1, 1])), (0, np.array([2, 4]), np.array([0, 1])), (1, np.array([1]), np.array([0])), (0, np.array([4]), np.array([0]))]
+
+    def loss(w, bias, neg):
+        total = 0.0
+        for y, ids, sent in bags:
+            calm = 1.0
+            for s in set(sent.tolist()):
+                z = sum(w.get(f, 0.0) for f in set(ids[sent == s].tolist())) + bias
+                calm *= 1 - 1 / (1 + np.exp(-z))
+            total -= np.log(1 - calm) if y else neg * np.log(calm)
+        return total / len(bags)
+
+    step = 1e-6
+    model = toxicity.fit(bags, rounds=1, rate=1e-3, decay=0.0, evidence=-1.0, bias=-1.0, neg_weight=3.0)
+    for f in (1, 2, 3, 4):  # the first step of Adam moves each weight by the rate, against its derivative
+        g = (loss({f: step}, -1.0, 3.0) - loss({f: -step}, -1.0, 3.0)) / (2 * step)
+        assert model.weights[f] == pytest.approx(-1e-3 * np.sign(g), rel=1e-3)
+    z = np.array([-2.0, 0.5, 3.0, -1.0])
+    want = [1 - np.prod(1 - 1 / (1 + np.exp(-z[a:b]))) for a, b in ((0, 3), (3, 3), (3, 4))]
+    assert np.allclose(toxicity._noisy_or(z, np.array([0, 3, 3, 4])), want)
+
+
 def test_toxicity_edges_and_spans(spark, docs, rows, empty):
     bad = [(i, f"fine words here. you {'vile' if i % 2 else 'kind'} thing{i}. more of it") for i in range(200)]
     train_docs = spark.createDataFrame(bad, "doc_id long, text string")
