@@ -1,6 +1,7 @@
 """The layer pipeline: bronze load, silver load, gold build.
 
-``run`` is the job a scheduler calls.  Each layer is read from the previous
+``run`` is the job a scheduler calls.  The fact is written in date-range directories, and the
+silver and gold views follow the committed batches.  Each layer is read from the previous
 layer's committed batch and published all-or-nothing; the gold dimensions are
 numbered once and the fact looks up exactly the numbered dimensions that are
 published with it, so fact and dimensions of one batch agree on the keys.
@@ -8,7 +9,6 @@ published with it, so fact and dimensions of one batch agree on the keys.
 
 from __future__ import annotations
 
-import datetime as dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import BRONZE, FEED_FILES, FEEDS
+from ..operators import quality
+from ..schemas import BRONZE, FEED_FILES, FEEDS, GOLD, SILVER
 from ..sources import delimited, feeds
 from . import gold, silver
-from .publish import commit_batch, current_batch, layer_path, new_batch_id, publish_layer, read_layer
+from .commitlog import Written, commit, commits, current_batch, last_version, utc_now
+from .publish import new_batch_id, publish_layer, read_layer, table_path
+from .ranged import LABEL, RangedTable, Ranges
+from .views import create_views
 
 GOLD_TABLES = ("dim_customer", "dim_products", "fact_sales")
 
@@ -38,7 +42,7 @@ def land_feeds(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
 def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str | None = None,
                 header: bool = True) -> tuple[DataFrame, dict[str, int]]:
     """Scan the six feeds and write each one once, split by status:
-    ``<root>/bronze/<batch>/<feed>/_status=good`` holds the typed rows,
+    ``<root>/bronze/<feed>/batch=<batch>/_status=good`` holds the typed rows,
     ``…/_status=rejected`` the quarantine (raw text, reason, source file).
 
     One parse and one write per file, no cache: the raw text columns are NULL
@@ -47,9 +51,10 @@ def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str
     the batch is committed only after all of them succeeded.
     """
     batch = batch_id or new_batch_id()
-    stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    stamp = utc_now()
 
     def write_one(name):
+        started, began = utc_now(), time.monotonic()
         checked = delimited.with_rejects(
             delimited.read_text_fields(spark, delimited.feed_path(landing_root, name), BRONZE[name], header),
             BRONZE[name])
@@ -60,13 +65,14 @@ def load_bronze(spark: SparkSession, landing_root: str, root: str, batch_id: str
         (out.observe(obs, F.sum(F.when(good, 1).otherwise(0)).alias("good"),
                      F.sum(F.when(good, 0).otherwise(1)).alias("rejected"))
             .write.mode("overwrite").partitionBy(delimited.STATUS)
-            .parquet(f"{layer_path(root, 'bronze')}/{batch}/{name}"))
+            .parquet(table_path(root, "bronze", name, batch)))
         m = obs.get
-        return (batch, name, int(m["good"] or 0), stamp), int(m["rejected"] or 0)
+        seconds = round(time.monotonic() - began, 3)
+        return Written(batch, name, int(m["good"] or 0), started, stamp, seconds), int(m["rejected"] or 0)
 
     with ThreadPoolExecutor(max_workers=len(FEEDS)) as pool:
         results = dict(zip(FEEDS, pool.map(write_one, FEEDS)))
-    audit = commit_batch(spark, root, "bronze", [r[0] for r in results.values()])
+    audit = commit(spark, root, "bronze", [r[0] for r in results.values()])
     return audit, {n: r[1] for n, r in results.items()}
 
 
@@ -75,7 +81,7 @@ def _bronze_part(spark: SparkSession, root: str, name: str, status: str, batch:
     layout = T.StructType([*delimited.checked_schema(BRONZE[name]).fields,
                            T.StructField("dwh_create_date", T.TimestampNTZType(), True),
                            T.StructField(delimited.STATUS, T.StringType(), True)])
-    table = spark.read.schema(layout).parquet(f"{layer_path(root, 'bronze')}/{b}/{name}")
+    table = spark.read.schema(layout).parquet(table_path(root, "bronze", name, b))
     return table.filter(F.col(delimited.STATUS) == status)
 
 
@@ -104,13 +110,15 @@ def load_silver(spark: SparkSession, root: str, as_of=None, batch_id: str | None
         "erp_loc_a101": lambda: silver.erp_loc_a101(b["erp_loc_a101"]),
         "erp_px_cat_g1v2": lambda: silver.erp_px_cat_g1v2(b["erp_px_cat_g1v2"]),
     }
-    return publish_layer(spark, root, "silver", builders, batch_id)
+    return publish_layer(spark, root, "silver", builders, batch_id, schemas=SILVER)
 
 
-def build_gold(spark: SparkSession, root: str, batch_id: str | None = None) -> DataFrame:
+def build_gold(spark: SparkSession, root: str, batch_id: str | None = None, ranges: Ranges = Ranges()) -> DataFrame:
     """Both dimensions are numbered concurrently (each numbering writes its
-    sorted rows once), then the three tables are written concurrently; the
-    fact looks up the same numbered dimensions it is published with."""
+    sorted rows once), then the three tables are written concurrently, the fact
+    in date ranges; the fact looks up the same numbered dimensions it is published
+    with.  If another gold batch is committed meanwhile, this one is refused."""
+    after = last_version(spark, root, "gold")
     s = read_layer(spark, root, "silver", FEEDS)
     s = {n: df.drop("dwh_create_date") for n, df in s.items()}
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -118,11 +126,27 @@ def build_gold(spark: SparkSession, root: str, batch_id: str | None = None) -> D
         dp = pool.submit(gold.dim_products, s)
         dims = {"dim_customer": dc.result(), "dim_products": dp.result()}
     fact = gold.fact_sales(s, dims["dim_products"], dims["dim_customer"])
-    return publish_layer(spark, root, "gold", {**dims, "fact_sales": fact}, batch_id)
+    return publish_layer(spark, root, "gold", {**dims, "fact_sales": fact}, batch_id, schemas=GOLD,
+                         ranged={"fact_sales": ranges}, after=after)
 
 
-def run(spark: SparkSession, landing_root: str, root: str, as_of=None) -> dict[str, float]:
-    """bronze → silver → gold; returns seconds per layer."""
+def read_fact(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Fact rows of the committed batch with an order date in [start, end); only the date
+    ranges that can hold such dates are read.  Without bounds every row, the undated included."""
+    table = RangedTable(spark, table_path(root, "gold", "fact_sales", current_batch(spark, root, "gold")))
+    rows = table.rows if start is None and end is None else table.between(start, end)
+    return rows.drop(LABEL)
+
+
+def register_views(spark: SparkSession, root: str, silver_database: str = "silver", gold_database: str = "gold") -> list[str]:
+    """The persistent views of both layers; they follow every later commit by themselves."""
+    return (create_views(spark, root, "silver", SILVER, silver_database)
+            + create_views(spark, root, "gold", GOLD, gold_database, extra=[LABEL]))
+
+
+def run(spark: SparkSession, landing_root: str, root: str, as_of=None, views: bool = True,
+        silver_database: str = "silver", gold_database: str = "gold") -> dict[str, float]:
+    """bronze → silver → gold and the views over them; returns seconds per layer."""
     timings = {}
     t = time.time()
     load_bronze(spark, landing_root, root)
@@ -133,6 +157,8 @@ def run(spark: SparkSession, landing_root: str, root: str, as_of=None) -> dict[s
     t = time.time()
     build_gold(spark, root)
     timings["gold"] = time.time() - t
+    if views:
+        register_views(spark, root, silver_database, gold_database)
     return timings
 
 
@@ -142,19 +168,33 @@ SILVER_KEYS = {"crm_cust_info": ["cst_id"], "crm_prod_info": ["prd_id"],
                "erp_loc_a101": ["cid"], "erp_px_cat_g1v2": ["id"]}
 
 
-def layer_monitor(spark: SparkSession, root: str, layer: str = "silver", keys=None) -> DataFrame:
-    """Monitoring metrics of the current batch of a layer: row count, duplicate
-    and NULL business keys, and freshness (latest ``dwh_create_date``)."""
-    from pyspark.sql import functions as F
+# Acceptable range of each monitoring metric.
+MAX_LOAD_SECONDS = 300.0
+ACCEPTABLE = {"row_count": "> 0", "duplicate_keys": "= 0", "null_keys": "= 0", "load_seconds": "< 300", "load_age_days": "= 0"}
+
 
-    from ..operators import quality
+def layer_monitor(spark: SparkSession, root: str, layer: str = "silver", keys=None, today: str | None = None,
+                  max_seconds: float = MAX_LOAD_SECONDS) -> DataFrame:
+    """Monitoring verdicts of the committed batch of a layer, a row per table and metric:
+    table_name, metric, value, acceptable, status.
 
+    Row count, duplicate and NULL business keys are measured on the rows; the duration and the day of
+    the load come from the commit record (``today``: default the current UTC date).  ``status`` is OK or
+    ALERT.
+    """
     keys = keys or SILVER_KEYS
+    version = last_version(spark, root, layer)
+    loads = commits(spark, root, layer, version)
     tables = read_bronze(spark, root, list(keys)) if layer == "bronze" else read_layer(spark, root, layer, list(keys))
     base = quality.monitor({n: (df, keys[n]) for n, df in tables.items()})
-    fresh = None
-    for n, df in tables.items():
-        part = df.agg(F.max("dwh_create_date").alias("loaded_at")).select(F.lit(n).alias("table_name"), "loaded_at")
-        fresh = part if fresh is None else fresh.unionByName(part)
+    day = F.lit(today).cast("date") if today is not None else F.to_date(F.lit(str(utc_now().date())))
     # both sides hold one row per table
-    return base.join(fresh, "table_name")
+    wide = base.join(loads.select("table_name", "seconds", F.datediff(day, F.to_date("loaded_at")).alias("age")), "table_name")
+    value = {"row_count": F.col("row_count"), "duplicate_keys": F.col("duplicate_keys"), "null_keys": F.col("null_keys"),
+             "load_seconds": F.col("seconds"), "load_age_days": F.col("age")}
+    good = {"row_count": F.col("row_count") > 0, "duplicate_keys": F.col("duplicate_keys") == 0, "null_keys": F.col("null_keys") == 0,
+            "load_seconds": F.col("seconds") < max_seconds, "load_age_days": F.col("age") == 0}
+    accepted = {**ACCEPTABLE, "load_seconds": f"< {max_seconds:g}"}
+    metrics = F.array(*[F.struct(F.lit(m).alias("metric"), value[m].cast("double").alias("value"), F.lit(accepted[m]).alias("acceptable"),
+                                 F.when(good[m], F.lit("OK")).otherwise(F.lit("ALERT")).alias("status")) for m in ACCEPTABLE])
+    return wide.select("table_name", F.inline(metrics))

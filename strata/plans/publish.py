@@ -1,24 +1,35 @@
 """Writing layers: refresh, append, audit and all-or-nothing publication.
 
 A layer is published in batches.  Every table of a batch is written under
-``<root>/<layer>/<batch>/<table>``; only when all writes succeeded is one
-commit record appended to ``<root>/<layer>/_commits`` (one small file, written
-by a single job commit).  Readers resolve the batch committed last, so a
-failed refresh leaves the previous batch readable and nothing is deleted.
-Row counts come from ``observe`` on the write itself, not a second scan.
+``<root>/<layer>/<table>/batch=<batch>``; only when all writes succeeded and their files
+have the declared schemas is a record appended to the layer's commit log
+(:mod:`.commitlog`).  Readers resolve the batch of the newest commit, so a failed
+refresh leaves the previous batch readable and nothing is deleted.  Row counts come from
+``observe`` on the write itself, not a second scan.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-COMMITS = "_commits"
+from ..schemas import declared
+from .commitlog import Written, commit, current_batch, utc_now
+from .ranged import LABEL, Ranges, write_ranged
+from .views import drop_entry
+
+LOADED_AT = T.StructField("dwh_create_date", T.TimestampNTZType(), True)
+
+
+class SchemaMismatch(ValueError):
+    """Written files do not have the declared columns."""
 
 
 def write_observed(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
@@ -37,24 +48,49 @@ def new_batch_id() -> str:
     return f"{now}-{uuid.uuid4().hex[:8]}"
 
 
+def layer_path(root: str, layer: str) -> str:
+    return f"{root.rstrip('/')}/{layer}"
+
+
+def table_path(root: str, layer: str, table: str, batch: str) -> str:
+    return f"{layer_path(root, layer)}/{table}/batch={batch}"
+
+
+def check_schema(spark: SparkSession, path: str, name: str, schema: T.StructType) -> None:
+    """Compare the columns of the files under ``path`` with the declared ones (and the load stamp)."""
+    found = [(f.name, f.dataType.simpleString()) for f in spark.read.parquet(path).schema.fields if f.name != LABEL]
+    want = [(f.name, f.dataType.simpleString()) for f in [*schema.fields, LOADED_AT]]
+    if found != want:
+        differ = [f"{a} instead of {b}" for a, b in zip(found + [None] * len(want), want + [None] * len(found)) if a != b]
+        raise SchemaMismatch(f"{name}: {differ}")
+
+
 def write_batch(spark: SparkSession, root: str, layer: str,
                 tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
                 batch_id: str | None = None, loaded_at: dt.datetime | None = None,
-                parallel: bool = True) -> list[tuple]:
+                parallel: bool = True, schemas: Mapping[str, T.StructType] | None = None,
+                ranged: Mapping[str, Ranges] | None = None) -> list[Written]:
     """Write every table of a batch (not yet visible to readers); returns the
-    audit records for :func:`commit_batch`.
+    audit records for :func:`~.commitlog.commit`.
 
     The tables are independent, so their writes are submitted as concurrent
     Spark jobs (``parallel``).  Each table gains the load timestamp column
     ``dwh_create_date``.  A value may be a callable that builds the table.
+    ``schemas``: declared columns; files that differ raise :class:`SchemaMismatch`.
+    ``ranged``: tables written in date-range directories.
     """
     batch = batch_id or new_batch_id()
-    stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    stamp = loaded_at or utc_now()
 
     def write_one(name, table):
+        started, began = utc_now(), time.monotonic()
         df = table() if callable(table) else table
         df = df.withColumn("dwh_create_date", F.lit(stamp).cast("timestamp_ntz"))
-        return batch, name, write_observed(df, f"{layer_path(root, layer)}/{batch}/{name}"), stamp
+        path = table_path(root, layer, name, batch)
+        rows = write_ranged(df, path, ranged[name]) if name in (ranged or {}) else write_observed(df, path)
+        if schemas is not None:
+            check_schema(spark, path, name, schemas[name])
+        return Written(batch, name, rows, started, stamp, round(time.monotonic() - began, 3))
 
     items = list(tables.items())
     if parallel and len(items) > 1:
@@ -64,88 +100,46 @@ def write_batch(spark: SparkSession, root: str, layer: str,
     return [write_one(n, t) for n, t in items]
 
 
-def commit_batch(spark: SparkSession, root: str, layer: str, audit: list[tuple]) -> DataFrame:
-    """Make a written batch current: append its commit record (one small file)."""
-    record = spark.createDataFrame(audit, "batch_id string, table_name string, rows_written long, "
-                                          "loaded_at timestamp_ntz")
-    record.coalesce(1).write.mode("append").json(f"{layer_path(root, layer)}/{COMMITS}")
-    return record
-
-
 def publish_layer(spark: SparkSession, root: str, layer: str,
                   tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
                   batch_id: str | None = None, loaded_at: dt.datetime | None = None,
-                  parallel: bool = True) -> DataFrame:
+                  parallel: bool = True, schemas: Mapping[str, T.StructType] | None = None,
+                  ranged: Mapping[str, Ranges] | None = None, after: int | None = None) -> DataFrame:
     """Write every table of a layer, then commit the batch; returns the audit.
     Any failure propagates before the commit record is written: the previous
-    batch stays current."""
-    audit = write_batch(spark, root, layer, tables, batch_id, loaded_at, parallel)
-    return commit_batch(spark, root, layer, audit)
-
-
-def layer_path(root: str, layer: str) -> str:
-    return f"{root.rstrip('/')}/{layer}"
-
-
-def commits(spark: SparkSession, root: str, layer: str) -> DataFrame:
-    return spark.read.schema("batch_id string, table_name string, rows_written long, loaded_at timestamp_ntz") \
-        .json(f"{layer_path(root, layer)}/{COMMITS}")
-
-
-def current_batch(spark: SparkSession, root: str, layer: str) -> str:
-    """The batch whose commit record was written last, whatever its name and start."""
-    written = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("loaded_at"), F.col("batch_id"))
-    row = commits(spark, root, layer).agg(F.max(written)["batch_id"].alias("b")).first()
-    if row is None or row["b"] is None:
-        raise FileNotFoundError(f"no committed batch of layer {layer} under {root}")
-    return row["b"]
+    batch stays current.  ``after``: see :func:`~.commitlog.commit`."""
+    audit = write_batch(spark, root, layer, tables, batch_id, loaded_at, parallel, schemas, ranged)
+    return commit(spark, root, layer, audit, after)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, names, batch: str | None = None) -> dict[str, DataFrame]:
+    """The tables of the committed batch (without the range label of a ranged one)."""
     b = batch or current_batch(spark, root, layer)
-    return {n: spark.read.parquet(f"{layer_path(root, layer)}/{b}/{n}") for n in names}
-
-
-# ---------------------------------------------------------------- range-partitioned fact
-
-# Range partitions of the fact by order date, as declared for large fact tables:
-# below 2024-01-01, below 2025-01-01, everything else (a NULL date included).
-ORDER_DATE_RANGES = (("p_2023", "2024-01-01"), ("p_2024", "2025-01-01"))
-LAST_RANGE = "p_2025"
-
-
-def range_label(c: Column, ranges=ORDER_DATE_RANGES, last: str = LAST_RANGE) -> Column:
-    out = None
-    for label, upper in ranges:
-        cond = c < F.lit(upper).cast("date")
-        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
-    return out.otherwise(F.lit(last))
-
-
-def write_partitioned_fact(fact: DataFrame, path: str, ranges=ORDER_DATE_RANGES, last: str = LAST_RANGE) -> int:
-    """Fact written in date-range directories; readers filtering on ``order_range``
-    (or on the order date through it) touch only the matching directories."""
-    labelled = fact.withColumn("order_range", range_label(F.col("order_date"), ranges, last))
-    # no shuffle by label: a label can hold a third of all rows, so every task
-    # writes its own rows into the label directories
-    return write_observed(labelled, path, partition_by=["order_range"])
+    return {n: spark.read.parquet(table_path(root, layer, n, b)).drop(LABEL) for n in names}
 
 
 def register_layer(spark: SparkSession, root: str, layer: str, names, batch: str | None = None,
-                   schemas: Mapping | None = None) -> list[str]:
-    """Expose the current batch of a layer as catalog tables ``<layer>.<table>``
-    (``DROP TABLE IF EXISTS`` + ``CREATE TABLE … USING parquet LOCATION``), so
-    reports can be written as SQL against ``gold.fact_sales`` and friends.
-    The tables are external: dropping one never deletes a batch.  ``schemas``
-    declares the columns; without it the written files' schema is declared."""
+                   schemas: Mapping[str, T.StructType] | None = None) -> list[str]:
+    """Expose one batch of a layer as catalog tables ``<layer>.<table>`` (drop if exists, create with
+    the declared schema over the batch's files).
+
+    The tables are external: dropping one never deletes a batch.  They keep showing this batch after
+    a refresh; :mod:`.views` follows the commits.  ``schemas`` default to the layer's declared ones.
+    """
     b = batch or current_batch(spark, root, layer)
+    schemas = schemas or declared(layer)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     created = []
     for n in names:
-        location = f"{layer_path(root, layer)}/{b}/{n}".replace("'", "\\'")
-        spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{n}`")
-        declared = spark.read.parquet(f"{layer_path(root, layer)}/{b}/{n}").schema.toDDL() if schemas is None else schemas[n].toDDL()
-        spark.sql(f"CREATE TABLE `{layer}`.`{n}` ({declared}) USING parquet LOCATION '{location}'")
+        path = table_path(root, layer, n, b)
+        check_schema(spark, path, n, schemas[n])
+        drop_entry(spark, layer, n)
+        label = LABEL in spark.read.parquet(path).columns
+        columns = T.StructType([*schemas[n].fields, LOADED_AT, *[T.StructField(LABEL, T.StringType())] * label]).toDDL()
+        location = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE `{layer}`.`{n}` ({columns}) USING parquet {f'PARTITIONED BY ({LABEL})' * label} LOCATION '{location}'")
+        if label:
+            spark.sql(f"MSCK REPAIR TABLE `{layer}`.`{n}`")
         created.append(f"{layer}.{n}")
     return created
 
@@ -161,7 +155,7 @@ def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     spark = df.sparkSession
     database = table.split(".")[0] if "." in table else None
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     obs = Observation()
     (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
@@ -171,23 +165,27 @@ def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
 
 def publish_bucketed(spark: SparkSession, root: str, layer: str, tables: Mapping[str, DataFrame],
                      key: str, buckets: int, batch_id: str | None = None) -> DataFrame:
-    """All-or-nothing like :func:`publish_layer`, but every table is written as a
-    catalog table ``<layer>.<name>`` bucketed by ``key`` (the batch folders
-    hold the files; the batch is committed only after all writes, then the catalog entries follow)."""
+    """All-or-nothing like :func:`publish_layer`, but every table is bucketed by ``key`` and known to the
+    catalog as ``<layer>.<name>_<batch>``; the batch is committed after all writes.
+
+    A bucketed table belongs to one batch; :func:`bucketed_table` gives the committed batch's, so
+    there is nothing to rename after the commit."""
     batch = batch_id or new_batch_id()
-    stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    staged = {}
-    for name, df in tables.items():
-        stage = f"{layer}.`_{name}_{batch.replace('-', '_')}`"
-        path = f"{layer_path(root, layer)}/{batch}/{name}"
-        rows = save_bucketed(df.withColumn("dwh_create_date", F.lit(stamp).cast("timestamp_ntz")),
-                             stage, path, key, buckets)
-        staged[name] = (stage, path, rows)
-    audit = [(batch, name, rows, stamp) for name, (_, _, rows) in staged.items()]
-    # the commit record is the switch; the catalog names follow it, and after a failure
-    # between two of them the next registration finishes the move
-    record = commit_batch(spark, root, layer, audit)
-    for name, (stage, _, _) in staged.items():
-        spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-        spark.sql(f"ALTER TABLE {stage} RENAME TO {layer}.{name}")
-    return record
+    stamp = utc_now()
+
+    def write_one(name, df):
+        started, began = utc_now(), time.monotonic()
+        rows = save_bucketed(df.withColumn("dwh_create_date", F.lit(stamp).cast("timestamp_ntz")), bucketed_name(layer, name, batch),
+                             table_path(root, layer, name, batch), key, buckets)
+        return Written(batch, name, rows, started, stamp, round(time.monotonic() - began, 3))
+
+    return commit(spark, root, layer, [write_one(name, df) for name, df in tables.items()])
+
+
+def bucketed_name(layer: str, name: str, batch: str) -> str:
+    return f"`{layer}`.`{name}_{batch.replace('-', '_')}`"
+
+
+def bucketed_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+    """The committed batch's bucketed table."""
+    return spark.table(bucketed_name(layer, name, current_batch(spark, root, layer)))

@@ -8,19 +8,23 @@ back from the same shared folder.  Each call uses a fresh sub-folder.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
 from .. import sqlcheck as Q
 from ..catalog import register
-from ..schemas import BRONZE, FEEDS
+from ..schemas import BRONZE, FEEDS, GOLD, SILVER
 from ..session import shared_dir
 from ..sources import delimited
 from ..sources.tables import read_table
 from . import analytics as A
 from . import pipeline as P
 from .layers import AS_OF, silver_of, star
-from .publish import read_layer, write_observed, write_partitioned_fact
+from .commitlog import commits
+from .publish import publish_layer, read_layer, write_observed
+from .ranged import LABEL, RangedTable, Ranges, write_ranged
+from .views import create_views
 
 _LANDING: dict[tuple[str, str], str] = {}
 B_CTE = {"crm_cust_info": "b_cust", "crm_prod_info": "b_prod", "crm_sales_details": "b_sales",
@@ -90,7 +94,8 @@ def scan_counts(spark, sf):
 # ---------------------------------------------------------------- a feed with planted defects
 
 # ERP birth-data records: every 13th has an unreadable date, every 17th an extra
-# field, every 19th lacks its trailing gender field (short, but readable).
+# field, every 19th lacks its trailing gender field (short, but readable), every 23rd
+# has a quote that is not closed, every 29th one inside a field (legal).
 _PLANTED_SCHEMA = BRONZE["erp_cust_a1z12"]
 
 
@@ -104,6 +109,8 @@ def _planted_lines(spark, sf):
              .when(k % 34 == 0, F.concat_ws(",", cid, bdate, gen, F.lit("extra"), F.lit("more")))
              .when(k % 17 == 0, F.concat_ws(",", cid, bdate, gen, F.lit("extra")))
              .when(k % 23 == 0, F.concat(cid, F.lit(',"'), bdate, F.lit(","), gen))
+             .when(k % 29 == 0, F.concat_ws(",", cid, bdate, F.lit('6" F')))
+             .when(k % 31 == 0, F.concat_ws(",", cid, F.concat(F.lit('"'), bdate, F.lit('"')), F.lit('"say ""M"", please"')))
              .otherwise(F.concat_ws(",", cid, bdate, gen)))
     return read_table(spark, sf, "customer", "c_custkey").select(line.alias("value"))
 
@@ -120,13 +127,16 @@ SELECT cid, CASE WHEN quoted THEN day||','||sex ELSE day END AS bdate,
  CASE WHEN short OR quoted THEN NULL ELSE sex END AS gen,
  CASE WHEN long THEN 'extra' END AS _overflow,
  CASE WHEN short THEN cid||','||day WHEN quoted THEN cid||',"'||day||','||sex
+      WHEN enclosed THEN cid||',"'||day||'","say ""M"", please"'
       ELSE cid||','||day||','||sex||CASE WHEN k%34=0 AND long THEN ',extra,more' WHEN long THEN ',extra' ELSE '' END END AS _record,
  concat_ws(';', CASE WHEN long THEN 'too_many_fields' END, CASE WHEN quoted THEN 'unclosed_quote' END,
                CASE WHEN k%13=0 OR quoted THEN 'bad_bdate' END) AS reject_reason
 FROM (SELECT k, 'AW'||lpad(CAST(k AS VARCHAR),8,'0') AS cid, k%19=0 AS short, k%19<>0 AND k%17=0 AS long,
        k%19<>0 AND k%17<>0 AND k%23=0 AS quoted,
+       k%19<>0 AND k%17<>0 AND k%23<>0 AND k%29<>0 AND k%31=0 AS enclosed,
        CASE WHEN k%13=0 THEN 'not-a-date' ELSE strftime(DATE '1920-01-01' + CAST((k*37)%30000 AS INT), '%Y-%m-%d') END AS day,
-       CASE WHEN k%3=0 THEN 'F' WHEN k%3=1 THEN 'M' ELSE 'Female' END AS sex
+       CASE WHEN k%19<>0 AND k%17<>0 AND k%23<>0 AND k%29=0 THEN '6" F' WHEN k%19<>0 AND k%17<>0 AND k%23<>0 AND k%31=0 THEN 'say "M", please'
+        WHEN k%3=0 THEN 'F' WHEN k%3=1 THEN 'M' ELSE 'Female' END AS sex
       FROM (SELECT c_custkey AS k FROM customer) keys) pieces"""
 
 
@@ -207,17 +217,104 @@ def mv_fact_sales(spark, sf):
     return _decimals_out(spark.read.parquet(path))
 
 
+# ranges that the orders of the driver tables fall into, the undated in the last
+_RANGES = Ranges(bounds=(("p_1996", "1997-01-01"), ("p_1998", "1999-01-01")), last="p_rest")
+
+
 @register("fact_partitioned", Q.chain("""
-SELECT CASE WHEN order_date < DATE '2024-01-01' THEN 'p_2023' WHEN order_date < DATE '2025-01-01' THEN 'p_2024'
- ELSE 'p_2025' END AS order_range, count(*) AS row_count, CAST(sum(sales_amount) AS DOUBLE) AS total_sales
+SELECT CASE WHEN order_date < DATE '1997-01-01' THEN 'p_1996' WHEN order_date < DATE '1999-01-01' THEN 'p_1998'
+ ELSE 'p_rest' END AS order_range, count(*) AS row_count, CAST(sum(sales_amount) AS DOUBLE) AS total_sales
 FROM fact_sales GROUP BY 1"""))
 def fact_partitioned(spark, sf):
     path = _scratch(spark, "partitioned") + "/fact_sales"
-    write_partitioned_fact(star(spark, sf)["fact_sales"], path)
-    return (spark.read.parquet(path).groupBy("order_range")
+    write_ranged(star(spark, sf)["fact_sales"], path, _RANGES)
+    return (spark.read.parquet(path).groupBy(LABEL)
             .agg(F.count(F.lit(1)).alias("row_count"), F.sum("sales_amount").cast("double").alias("total_sales")))
 
 
+@register("fact_order_window", Q.chain("""
+SELECT 'dated' AS part, strftime(order_date, '%Y-%m') AS order_month, count(*) AS row_count, CAST(sum(sales_amount) AS DOUBLE) AS total_sales
+FROM fact_sales WHERE order_date >= DATE '1997-11-15' AND order_date < DATE '1998-02-15' GROUP BY 2
+UNION ALL
+SELECT 'undated', NULL, count(*), CAST(sum(sales_amount) AS DOUBLE) FROM fact_sales WHERE order_date IS NULL"""))
+def fact_order_window(spark, sf):
+    """Bounds on the order date, read through the ranges: two of three directories stay closed."""
+    path = _scratch(spark, "partitioned") + "/fact_sales"
+    write_ranged(star(spark, sf)["fact_sales"], path, _RANGES)
+    table = RangedTable(spark, path)
+    total = (F.count(F.lit(1)).alias("row_count"), F.sum("sales_amount").cast("double").alias("total_sales"))
+    dated = table.between("1997-11-15", "1998-02-15").groupBy(F.date_format("order_date", "yyyy-MM").alias("order_month")).agg(*total)
+    undated = table.undated().agg(*total).select(F.lit("undated").alias("part"), F.lit(None).cast("string").alias("order_month"), "row_count", "total_sales")
+    return dated.select(F.lit("dated").alias("part"), "order_month", "row_count", "total_sales").unionByName(undated)
+
+
+@register("concurrent_publish", Q.chain("""
+SELECT v.version, 'erp_px_cat_g1v2' AS table_name, c.rows_written, TRUE AS one_batch_each
+FROM (SELECT unnest([1, 2, 3]) AS version) v, (SELECT count(*) AS rows_written FROM s_cat) c"""))
+def concurrent_publish(spark, sf):
+    """Three publishers of one layer at a time: every commit gets a number of its own."""
+    root = _scratch(spark, "writers")
+    cat = silver_of(star(spark, sf))["erp_px_cat_g1v2"]
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for done in [pool.submit(publish_layer, spark, root, "silver", {"erp_px_cat_g1v2": cat}) for _ in range(3)]:
+            done.result()
+    log = commits(spark, root, "silver")
+    return log.groupBy("version").agg(F.max("table_name").alias("table_name"), F.max("rows_written").alias("rows_written"),
+                                      (F.countDistinct("batch_id") == 1).alias("one_batch_each")).select(
+        F.col("version").cast("int").alias("version"), "table_name", "rows_written", "one_batch_each")
+
+
+@register("views_after_refresh", Q.chain(f"""
+SELECT 'first' AS refresh, coalesce(c.country, '-') AS country, count(*) AS line_count, {Q.dbl('sum(f.sales_amount)')} AS total_sales
+FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key WHERE f.order_date < DATE '1997-01-01' GROUP BY 2
+UNION ALL
+SELECT 'second', coalesce(c.country, '-'), count(*), {Q.dbl('sum(f.sales_amount)')}
+FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key GROUP BY 2"""))
+def views_after_refresh(spark, sf):
+    """The same SQL over the gold views after two refreshes with different facts."""
+    root, database = _scratch(spark, "warehouse"), f"gold_{uuid.uuid4().hex[:10]}"
+    g = star(spark, sf)
+    dims = {n: g[n] for n in ("dim_customer", "dim_products")}
+
+    def refresh(fact):
+        publish_layer(spark, root, "gold", {**dims, "fact_sales": fact}, schemas=GOLD, ranged={"fact_sales": _RANGES})
+
+    def report(label):
+        return spark.sql(f"""SELECT '{label}' AS refresh, coalesce(c.country, '-') AS country, count(*) AS line_count,
+            CAST(sum(f.sales_amount) AS DOUBLE) AS total_sales
+            FROM {database}.fact_sales f JOIN {database}.dim_customer c ON f.customer_key = c.customer_key GROUP BY 2""")
+
+    refresh(g["fact_sales"].where("order_date < date '1997-01-01'"))
+    create_views(spark, root, "gold", GOLD, database, extra=[LABEL])
+    path = f"{root}/first_report"
+    write_observed(report("first"), path)
+    refresh(g["fact_sales"])
+    return spark.read.parquet(path).unionByName(report("second"))
+
+
+def _verdicts_sql():
+    from .queries_quality import MONITOR_KEYS, _monitor_sql
+    tables = " UNION ALL ".join(_monitor_sql(t, k) for t, k in MONITOR_KEYS.items())
+    metric = lambda m, value, ok, accept: (f"SELECT table_name, '{m}' AS metric, {value} AS value, '{accept}' AS acceptable,"
+                                           f" CASE WHEN {ok} THEN 'OK' ELSE 'ALERT' END AS status FROM base")
+    return f"SELECT * FROM (WITH base AS ({tables}) " + " UNION ALL ".join([
+        metric("row_count", "CAST(row_count AS DOUBLE)", "row_count > 0", "> 0"),
+        metric("duplicate_keys", "CAST(duplicate_keys AS DOUBLE)", "duplicate_keys = 0", "= 0"),
+        metric("null_keys", "CAST(null_keys AS DOUBLE)", "null_keys = 0", "= 0"),
+        metric("load_seconds", "CAST(NULL AS DOUBLE)", "TRUE", "< 3600"), metric("load_age_days", "CAST(0 AS DOUBLE)", "TRUE", "= 0")]) + ") verdicts"
+
+
+@register("monitor_verdicts", Q.chain(_verdicts_sql()))
+def monitor_verdicts(spark, sf):
+    """Monitoring of a published silver layer (the seconds themselves differ from run to run)."""
+    from .queries_quality import MONITOR_KEYS
+    root = _scratch(spark, "warehouse")
+    s = silver_of(star(spark, sf))
+    publish_layer(spark, root, "silver", {t: s[t] for t in MONITOR_KEYS}, schemas=SILVER)
+    rows = P.layer_monitor(spark, root, "silver", MONITOR_KEYS, max_seconds=3600.0)
+    return rows.withColumn("value", F.when(F.col("metric") != "load_seconds", F.col("value")))
+
+
 @register("pipeline_sales_by_country", Q.chain(f"""
 SELECT c.country, count(DISTINCT f.customer_key) AS customer_count, count(f.order_number) AS order_count,
  {Q.dbl('sum(f.sales_amount)')} AS total_sales
@@ -226,7 +323,7 @@ def pipeline_sales_by_country(spark, sf):
     """End to end: landed files → bronze → silver → gold, each published
     all-or-nothing, then the report over the published gold tables."""
     root = _scratch(spark, "warehouse")
-    P.run(spark, landing(spark, sf), root, as_of=AS_OF)
+    P.run(spark, landing(spark, sf), root, as_of=AS_OF, views=False)
     g = {n: df.drop("dwh_create_date") for n, df in read_layer(spark, root, "gold", P.GOLD_TABLES).items()}
     return A.sales_by_country(g)
 

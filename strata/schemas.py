@@ -55,24 +55,41 @@ DATE_PATTERNS = {
     "prd_end_dt": ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"),
 }
 
-# Silver column order (the audit column is added by the publisher).
-SILVER_COLUMNS = {
-    "crm_cust_info": ["cst_id", "cst_key", "cst_firstname", "cst_lastname",
-                      "cst_material_status", "cst_gndr", "cst_create_date"],
-    "crm_prod_info": ["prd_id", "prd_key", "cat_id", "prd_nm", "prd_cost", "prd_line",
-                      "prd_start_dt", "prd_end_dt"],
-    "crm_sales_details": ["sls_ord_num", "sls_prd_key", "sls_cust_id", "sls_order_dt",
-                          "sls_ship_dt", "sls_due_dt", "sls_sales", "sls_quantity", "sls_price"],
-    "erp_cust_a1z12": ["cid", "bdate", "gen"],
-    "erp_loc_a101": ["cid", "cntry"],
-    "erp_px_cat_g1v2": ["id", "cat", "subcat", "maintenance"],
+# Silver and gold: the declared tables (the audit column is added by the publisher).
+SILVER = {
+    "crm_cust_info": BRONZE["crm_cust_info"],
+    "crm_prod_info": _s(("prd_id", T.LongType()), ("prd_key", T.StringType()), ("cat_id", T.StringType()),
+                        ("prd_nm", T.StringType()), ("prd_cost", AMOUNT), ("prd_line", T.StringType()),
+                        ("prd_start_dt", T.DateType()), ("prd_end_dt", T.DateType())),
+    "crm_sales_details": _s(("sls_ord_num", T.StringType()), ("sls_prd_key", T.StringType()),
+                            ("sls_cust_id", T.LongType()), ("sls_order_dt", T.DateType()),
+                            ("sls_ship_dt", T.DateType()), ("sls_due_dt", T.DateType()),
+                            ("sls_sales", AMOUNT), ("sls_quantity", T.LongType()), ("sls_price", PRICE)),
+    "erp_cust_a1z12": BRONZE["erp_cust_a1z12"],
+    "erp_loc_a101": BRONZE["erp_loc_a101"],
+    "erp_px_cat_g1v2": BRONZE["erp_px_cat_g1v2"],
+}
+GOLD = {
+    "dim_customer": _s(("customer_key", T.LongType()), ("customer_id", T.LongType()), ("customer_number", T.StringType()),
+                       ("first_name", T.StringType()), ("last_name", T.StringType()), ("country", T.StringType()),
+                       ("marital_status", T.StringType()), ("gender", T.StringType()), ("birthdate", T.DateType()),
+                       ("create_date", T.DateType())),
+    "dim_products": _s(("product_key", T.LongType()), ("product_id", T.LongType()), ("product_number", T.StringType()),
+                       ("product_name", T.StringType()), ("category_id", T.StringType()), ("category", T.StringType()),
+                       ("subcategory", T.StringType()), ("maintenance", T.StringType()), ("cost", AMOUNT),
+                       ("product_line", T.StringType()), ("start_date", T.DateType())),
+    "fact_sales": _s(("order_number", T.StringType()), ("product_key", T.LongType()), ("customer_key", T.LongType()),
+                     ("order_date", T.DateType()), ("shipping_date", T.DateType()), ("due_date", T.DateType()),
+                     ("sales_amount", AMOUNT), ("quantity", T.LongType()), ("price", PRICE)),
 }
 
-DIM_CUSTOMER_COLUMNS = ["customer_key", "customer_id", "customer_number", "first_name",
-                        "last_name", "country", "marital_status", "gender", "birthdate",
-                        "create_date"]
-DIM_PRODUCTS_COLUMNS = ["product_key", "product_id", "product_number", "product_name",
-                        "category_id", "category", "subcategory", "maintenance", "cost",
-                        "product_line", "start_date"]
-FACT_SALES_COLUMNS = ["order_number", "product_key", "customer_key", "order_date",
-                      "shipping_date", "due_date", "sales_amount", "quantity", "price"]
+
+def declared(layer: str) -> dict[str, T.StructType]:
+    """Declared tables of a layer that is published with a schema."""
+    return {"silver": SILVER, "gold": GOLD}[layer]
+
+
+SILVER_COLUMNS = {name: schema.names for name, schema in SILVER.items()}
+DIM_CUSTOMER_COLUMNS = GOLD["dim_customer"].names
+DIM_PRODUCTS_COLUMNS = GOLD["dim_products"].names
+FACT_SALES_COLUMNS = GOLD["fact_sales"].names

@@ -37,6 +37,11 @@ CSV_OPTIONS = {
 }
 
 
+# Whole fields, each with its comma, and then one that is opened by a quote and never closed.  A quote
+# opens a field only as its first character; anywhere else it is a character like any other.
+UNCLOSED = r'\A(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+)?+,)*+"(?:[^"]++|"")*+\z'
+
+
 def case_insensitive_glob(name: str) -> str:
     """``PX_cat.csv`` → ``[pP][xX]_[cC][aA][tT].[cC][sS][vV]`` (a Hadoop glob)."""
     out = []
@@ -89,9 +94,8 @@ def with_rejects(raw: DataFrame, schema: T.StructType, max_text: int | None = No
     quoted = [F.when(c.contains(",") | c.contains('"'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
               for c in (F.coalesce(F.col(n), F.lit("")) for n in [*schema.names, OVERFLOW])]
     record = F.coalesce(F.col(RECORD), F.concat_ws(",", *quoted))
-    quotes = F.length(RECORD) - F.length(F.replace(F.col(RECORD), F.lit('"'), F.lit("")))
     reasons = [F.when(F.col(OVERFLOW).isNotNull(), F.lit("too_many_fields")),
-               F.when(quotes % 2 == 1, F.lit("unclosed_quote"))]
+               F.when(F.col(RECORD).rlike(UNCLOSED), F.lit("unclosed_quote"))]
     typed = {}
     for f in schema.fields:
         text = F.col(f.name)

@@ -17,7 +17,7 @@ def test_bucketed_join_has_no_exchange(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the sort-merge join
     try:
-        joined = spark.table("goldb.fact_sales").join(spark.table("goldb.dim_customer"), "customer_key")
+        joined = P.bucketed_table(spark, root, "goldb", "fact_sales").join(P.bucketed_table(spark, root, "goldb", "dim_customer"), "customer_key")
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
         assert joined.count() == 20000

@@ -41,5 +41,23 @@ def test_quarantine_split(spark):
     assert all(row["source_file"] for row in rejects.collect())
 
 
+def test_a_quote_opens_a_field_only_at_its_start(spark):
+    text = ("id,name,amount,day\n"
+            '1,5" pipe,1.00,2024-01-01\n'           # inside a field: a character
+            '2,a "b" c" d,1.00,2024-01-01\n'
+            '3,"5"" pipe, long",1.00,2024-01-01\n'  # doubled inside an enclosed field
+            '4,"never closed,1.00,2024-01-01\n'
+            '5,"doubled at the end"",1.00,2024-01-01\n'
+            '6,x,1.00,"2024-01-01\n'                 # the last field is opened
+            '7,"",1.00,"2024-01-02"\n')
+    good, rejects = delimited.ingest(spark, _write(text), SCHEMA)
+    assert sorted((r.id, r.name) for r in good.collect()) == [(1, '5" pipe'), (2, 'a "b" c" d'), (3, '5" pipe, long'), (7, None)]
+    bad = {r._record: r.reject_reason for r in rejects.collect()}
+    assert sorted(k[0] for k in bad) == ["4", "5", "6"] and all("unclosed_quote" in v for v in bad.values())
+    assert '4,"never closed,1.00,2024-01-01' in bad
+    long = "8," + '"' * 4001 + "z" * 50_000  # a long line neither overflows the matcher nor takes long
+    assert delimited.ingest(spark, _write("id,name,amount,day\n" + long + "\n"), SCHEMA)[1].count() == 1
+
+
 def test_case_insensitive_glob():
     assert delimited.case_insensitive_glob("px_cat_g1v2.csv") == "[pP][xX]_[cC][aA][tT]_[gG]1[vV]2.[cC][sS][vV]"

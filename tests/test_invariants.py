@@ -34,17 +34,24 @@ def test_layer_invariants_and_idempotency(spark):
                 .filter("prd_end_dt >= next_start").count())
     assert overlaps == 0                                               # intervals do not overlap
 
-    mon = {r.table_name: r for r in P.layer_monitor(spark, base + "/wh").collect()}
-    assert mon["crm_cust_info"].duplicate_keys == 0 and mon["crm_cust_info"].null_keys == 0
-    assert all(r.row_count > 0 and r.loaded_at is not None for r in mon.values())
-
-    from strata.plans.publish import register_layer
-    register_layer(spark, base + "/wh", "gold", P.GOLD_TABLES)
-    by_sql = spark.sql("SELECT count(*) AS n FROM gold.fact_sales f JOIN gold.dim_customer c"
-                       " ON f.customer_key = c.customer_key").first().n
-    assert by_sql == g["fact_sales"].join(g["dim_customer"], "customer_key").count()
+    mon = {(r.table_name, r.metric): r for r in P.layer_monitor(spark, base + "/wh").collect()}
+    assert len(mon) == 5 * len(FEEDS)
+    assert all(mon["crm_cust_info", m].status == "OK" for m in ("row_count", "duplicate_keys", "null_keys", "load_seconds"))
+    assert all(r.value > 0 for (_, m), r in mon.items() if m in ("row_count", "load_seconds"))
+    late = P.layer_monitor(spark, base + "/wh", today="2999-01-01", max_seconds=0.0)
+    assert {r.status for r in late.where("metric in ('load_seconds', 'load_age_days')").collect()} == {"ALERT"}
+    assert P.layer_monitor(spark, base + "/wh", "bronze").where("table_name = 'crm_cust_info' and status = 'ALERT'").count() == 2
+
+    sql = "SELECT count(*) AS n FROM gold.fact_sales f JOIN gold.dim_customer c ON f.customer_key = c.customer_key"
+    joined = g["fact_sales"].join(g["dim_customer"], "customer_key").count()
+    assert spark.sql(sql).first().n == joined                          # the pipeline's own views
+    dated = P.read_fact(spark, base + "/wh", "2024-01-01", "2025-01-01")
+    assert dated.columns == [*g["fact_sales"].columns, "dwh_create_date"] and dated.count() == g["fact_sales"].where("year(order_date) = 2024").count()
 
     P.run(spark, base + "/landing", base + "/wh", as_of="2025-06-30")  # second refresh
+    assert spark.sql(sql).first().n == joined
+    for db in ("silver", "gold"):
+        spark.sql(f"DROP DATABASE {db} CASCADE")
     again = _gold(spark, base + "/wh")
     for n in P.GOLD_TABLES:
         assert again[n].exceptAll(g[n]).count() == 0 and g[n].exceptAll(again[n]).count() == 0, n
