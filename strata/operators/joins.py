@@ -93,23 +93,27 @@ def measured(df: DataFrame, columns: list[str]) -> dict[str, int]:
     return seen
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only behind a measured bound: rows × fixed width plus the summed
-    bytes of the text columns must fit the broadcast threshold.  Meant
-    for lookup sides that are cheap to read (stored dimensions, narrow maps of
-    a scan); a larger side is returned unchanged for the sort-merge join, where
-    AQE splits skewed keys.  ``rows_of`` names the table the rows come from when
-    ``df`` is a projection of it, so one aggregate serves every projection."""
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | None = None) -> bool:
+    """Do rows × fixed width plus the summed bytes of the text columns fit the broadcast threshold?
+
+    ``rows_of`` names the table the rows come from when ``df`` is a projection or a filtered part of
+    it, so one aggregate, remembered with that table, serves them all."""
     limit = broadcast_threshold(df) if max_bytes is None else max_bytes
     width = fixed_bytes(df)
     if limit <= 0 or width is None:
-        return df
+        return False
     texts = [f.name for f in df.schema.fields if f.dataType.typeName() in _MEASURED]
     source = rows_of if rows_of is not None and set(texts) <= set(rows_of.columns) else df
     size = measured(source, texts)
-    if size[_ROWS] * width + sum(size[c] for c in texts) <= limit:
-        return F.broadcast(df)
-    return df
+    return size[_ROWS] * width + sum(size[c] for c in texts) <= limit
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
+    """Broadcast hint only behind a measured bound (:func:`fits_broadcast`).  Meant
+    for lookup sides that are cheap to read (stored dimensions, narrow maps of
+    a scan); a larger side is returned unchanged for the sort-merge join, where
+    AQE splits skewed keys."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes, rows_of) else df
 
 
 HOT_KEY_ROWS = 1_000_000  # right-side rows of one key that one task should join

@@ -62,13 +62,34 @@ def out_of_order(first: str, *later: str) -> Column:
     return C.any_of([F.col(first) > F.col(x) for x in later])
 
 
-def invalid_int_date(col: str, ceiling: int, floor: int = 0) -> Column:
+def invalid_int_date(col: str, ceiling: int) -> Column:
     """yyyymmdd integers that cannot be a date: ≤ 0, not 8 digits, or out of bounds."""
     c = F.col(col)
-    bad = (c <= 0) | (F.length(c.cast("string")) != 8) | (c > ceiling)
-    if floor:
-        bad = bad | (c < floor)
-    return bad
+    return (c <= 0) | (F.length(c.cast("string")) != 8) | (c > ceiling)
+
+
+def run_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """``(check_name, violations)`` of many row conditions in one pass over ``df`` (NULL is no violation)."""
+    names = list(checks)
+    counts = df.agg(*[F.coalesce(M.count_if(checks[n]), F.lit(0).cast("bigint")).alias(f"c{i}") for i, n in enumerate(names)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("violations")) for i, n in enumerate(names)])))
+
+
+def orphan_summary(relations: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``(relation, orphan_rows, orphan_keys)``: keys ``k`` of the left side without one on the right.
+
+    The keys of all relations and sides are tagged and grouped once, counts combined on the map side:
+    a key that holds a third of the rows is one row per task in the shuffle.  A NULL left key is an
+    orphan row (its relation cannot be resolved) and no key.
+    """
+    sides = []
+    for name, (left, right) in relations.items():
+        sides.append(left.select(F.lit(name).alias("relation"), "k", F.lit(1).alias("l"), F.lit(0).alias("r")))
+        sides.append(right.where("k is not null").select(F.lit(name).alias("relation"), "k", F.lit(0).alias("l"), F.lit(1).alias("r")))
+    per_key = _stack(sides).groupBy("relation", "k").agg(F.sum("l").alias("n"), F.max("r").alias("known"))
+    orphan = F.col("known") == 0
+    return per_key.groupBy("relation").agg(F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+                                           F.count(F.when(orphan & (F.col("n") > 0), F.col("k"))).alias("orphan_keys"))
 
 
 def amount_inconsistent(sales: str, qty: str, price: str, full: bool = True) -> Column:

@@ -1,8 +1,10 @@
 """Business questions over the gold star schema.
 
-The fact is aggregated by surrogate key first (partial sums on the map side),
-so the join below a report sees one row per customer, product or pair of them
-and not every sales line; the groups of the report are formed after it.  Sums
+Reports on one dimension aggregate the fact by its surrogate key first (partial sums on
+the map side), so the join sees one row per customer or product and not every sales line.
+Reports on customers and products choose by measurement: dimensions that fit a broadcast are
+joined to the lines where they lie, as pairs of keys are nearly as many as lines; else the
+fact is aggregated by key pairs first if that at least halves it.  Sums
 stay exact decimals and only the finished figures become doubles.  The closing
 sort runs on aggregated rows, NULL totals first in descending order as in the
 source, with every group column as tie break.
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as K
 from ..functions import cleanse as C
 from ..functions import metrics as M
-from ..operators.joins import broadcast_if_small, broadcast_threshold
+from ..operators.joins import broadcast_if_small, broadcast_threshold, fits_broadcast
 
 Gold = dict[str, DataFrame]
 
@@ -27,17 +29,36 @@ def _dim(g: Gold, name: str, *cols: str) -> DataFrame:
     return broadcast_if_small(d, rows_of=g[name])
 
 
-def _lines(g: Gold, *keys: str) -> DataFrame:
-    """Sales lines summed by surrogate keys: order lines, lines, amount, priced lines, price, quantity.
+def _known(g: Gold, *keys: str) -> DataFrame:
+    """Sales lines with known keys (an inner join on them drops NULL keys anyway)."""
+    return g["fact_sales"].dropna(subset=list(keys))
 
-    The key columns must be known (an inner join on them drops NULL keys anyway).
-    """
-    known = g["fact_sales"].dropna(subset=list(keys))
-    return known.groupBy(*keys).agg(
+
+def _lines(g: Gold, *keys: str) -> DataFrame:
+    """Sales lines summed by surrogate keys: order lines, lines, amount, priced lines, price, quantity."""
+    return _known(g, *keys).groupBy(*keys).agg(
         F.count("order_number").alias("_orders"), F.sum("sales_amount").alias("_sales"), F.count("sales_amount").alias("_paid"),
         F.sum("price").alias("_price"), F.count("price").alias("_priced"), F.sum("quantity").alias("_units"))
 
 
+def _single_lines(g: Gold, *keys: str) -> DataFrame:
+    """The columns of :func:`_lines` with a row per line."""
+    one = lambda c: F.col(c).isNotNull().cast("bigint")
+    return _known(g, *keys).select(*keys, one("order_number").alias("_orders"), F.col("sales_amount").alias("_sales"), one("sales_amount").alias("_paid"),
+                                   F.col("price").alias("_price"), one("price").alias("_priced"), F.col("quantity").alias("_units"))
+
+
+PAIRS_WORTH_IT = 0.5  # key pairs per line up to which the fact is aggregated by pair before a shuffled join
+
+
+def pairs_first(g: Gold) -> bool:
+    """Are there so few (customer, product) pairs that aggregating by them first pays?  One pass over
+    the two key columns, a sketch per task."""
+    keys = _known(g, "customer_key", "product_key").select("customer_key", "product_key")
+    n = keys.agg(F.count(F.lit(1)).alias("lines"), F.approx_count_distinct(F.xxhash64("customer_key", "product_key")).alias("pairs")).first()
+    return n["pairs"] <= PAIRS_WORTH_IT * n["lines"]
+
+
 def _by_customer(g: Gold, *cols: str) -> DataFrame:
     return _lines(g, "customer_key").join(_dim(g, "dim_customer", "customer_key", *cols), "customer_key", "inner")
 
@@ -47,7 +68,10 @@ def _by_product(g: Gold, *cols: str) -> DataFrame:
 
 
 def _by_both(g: Gold, cust_cols=(), prod_cols=()) -> DataFrame:
-    return (_lines(g, "customer_key", "product_key")
+    small = all(fits_broadcast(g[d].select(k, *cols), rows_of=g[d])
+                for d, k, cols in (("dim_customer", "customer_key", cust_cols), ("dim_products", "product_key", prod_cols)))
+    lines = _lines if not small and pairs_first(g) else _single_lines
+    return (lines(g, "customer_key", "product_key")
             .join(_dim(g, "dim_customer", "customer_key", *cust_cols), "customer_key", "inner")
             .join(_dim(g, "dim_products", "product_key", *prod_cols), "product_key", "inner"))
 
@@ -175,8 +199,10 @@ def geo_product(g: Gold) -> DataFrame:
 def template_filtered(g: Gold, country: str, since: str, by_customer: str = "gender",
                       by_product: str = "category") -> DataFrame:
     """The analyst template: dimension filters applied before the join."""
-    c = broadcast_if_small(g["dim_customer"].filter(F.col("country") == country)
-                           .select("customer_key", by_customer))
+    whole = g["dim_customer"]
+    c = whole.filter(F.col("country") == country).select("customer_key", by_customer)
+    # the whole dimension's size, measured once, is a bound; only beyond it is the filtered part measured
+    c = F.broadcast(c) if fits_broadcast(c, rows_of=whole) else broadcast_if_small(c)
     f = g["fact_sales"].filter(F.col("order_date") >= F.lit(since).cast("date"))
     return (f.join(c, "customer_key", "inner").join(_dim(g, "dim_products", "product_key", by_product),
                                                     "product_key", "inner")
@@ -192,10 +218,12 @@ def star_filter(g: Gold, category: str, hint_broadcast: bool = False) -> DataFra
     pushes the category filter below the join either way; ``hint_broadcast``
     asks for the filtered dimension to be broadcast up to four times the session's
     threshold (the nested-loop hint of a row store has no better Spark analogue)."""
-    p = g["dim_products"].filter(F.col("category") == category).select("product_key", "category")
-    p = broadcast_if_small(p, 4 * broadcast_threshold(p) if hint_broadcast else None)
-    return (p.join(g["fact_sales"].select("product_key", "sales_amount"), "product_key", "inner")
-            .groupBy("category").agg(M.total("sales_amount").alias("total_sales")))
+    whole = g["dim_products"]
+    p = whole.filter(F.col("category") == category).select("product_key", "category")
+    limit = 4 * broadcast_threshold(p) if hint_broadcast else broadcast_threshold(p)
+    p = F.broadcast(p) if fits_broadcast(p, limit, rows_of=whole) else broadcast_if_small(p, limit)
+    return (p.join(_lines(g, "product_key"), "product_key", "inner")
+            .groupBy("category").agg(_sum_of("_sales").alias("total_sales")))
 
 
 def preaggregated_by_customer(g: Gold) -> DataFrame:
@@ -218,13 +246,10 @@ def order_metrics(g: Gold) -> DataFrame:
 
 def headline_shares(g: Gold) -> DataFrame:
     """Revenue and share of revenue per country and per category."""
-    f = g["fact_sales"].select("customer_key", "product_key", "sales_amount")
-    by_country = (f.join(_dim(g, "dim_customer", "customer_key", "country"), "customer_key")
-                  .groupBy(F.lit("country").alias("dimension"), F.col("country").alias("member"))
-                  .agg(F.sum("sales_amount").alias("_sales")))
-    by_category = (f.join(_dim(g, "dim_products", "product_key", "category"), "product_key")
-                   .groupBy(F.lit("category").alias("dimension"), F.col("category").alias("member"))
-                   .agg(F.sum("sales_amount").alias("_sales")))
+    by_country = (_by_customer(g, "country").groupBy(F.lit("country").alias("dimension"), F.col("country").alias("member"))
+                  .agg(F.sum("_sales").alias("_sales")))
+    by_category = (_by_product(g, "category").groupBy(F.lit("category").alias("dimension"), F.col("category").alias("member"))
+                   .agg(F.sum("_sales").alias("_sales")))
     # the window runs over aggregated rows: one per country or category
     whole = F.sum("_sales").over(Window.partitionBy("dimension"))
     both = by_country.unionByName(by_category)

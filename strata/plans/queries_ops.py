@@ -11,6 +11,7 @@ from ..functions import calendar as K
 from ..functions import cleanse as C
 from ..functions import metrics as M
 from ..operators import dedup, joins
+from ..operators import quality as D
 from . import gold as G
 from . import silver as S
 from .layers import AS_OF, bronze, silver_of, star
@@ -107,14 +108,10 @@ _DATE_COLS = ("sls_order_dt", "sls_ship_dt", "sls_due_dt")
     f"SELECT '{c}' AS column_name, {c} AS raw_value, {Q.int_date(c)} AS parsed, count(*) AS row_count "
     f"FROM b_sales GROUP BY {c}" for c in _DATE_COLS)))
 def int_to_date(spark, sf):
-    b = _feed(spark, sf, "crm_sales_details")
-    parts = [b.groupBy(F.lit(c).alias("column_name"), F.col(c).alias("raw_value"))
-              .agg(F.count(F.lit(1)).alias("row_count"))
-              .withColumn("parsed", C.int_to_date("raw_value")) for c in _DATE_COLS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """All three columns in one pass over the feed."""
+    long = _feed(spark, sf, "crm_sales_details").unpivot([], list(_DATE_COLS), "column_name", "raw_value")
+    return (long.groupBy("column_name", "raw_value").agg(F.count(F.lit(1)).alias("row_count"))
+            .withColumn("parsed", C.int_to_date("raw_value")))
 
 
 @register("future_to_null", Q.chain(f"SELECT cid, bdate AS raw_bdate, CASE WHEN bdate > DATE '{AS_OF}' THEN NULL"
@@ -273,23 +270,50 @@ def anti_product_sales(spark, sf):
 
 
 @register("anti_erp_customer", Q.chain("""
-SELECT cid, bdate FROM b_ecust WHERE CASE WHEN starts_with(cid, 'NAS') THEN substring(cid, 4) ELSE cid END
- NOT IN (SELECT cst_key FROM b_cust WHERE cst_id IS NOT NULL AND cst_id % 6 <> 0)"""))
+SELECT cid, bdate FROM b_ecust WHERE CASE WHEN starts_with(cid, 'NAS') THEN substring(cid, 4) ELSE cid END NOT IN (SELECT cst_key FROM b_cust)"""))
 def anti_erp_customer(spark, sf):
-    """ERP customers whose id, prefix taken off inside the predicate, is no key of the CRM
-    customers (those with an id that six does not divide, so that some are missing)."""
+    """ERP customers whose id, prefix taken off inside the predicate, is no key of a CRM customer."""
     erp = _feed(spark, sf, "erp_cust_a1z12").select("cid", "bdate", C.strip_prefix("cid").alias("_key"))
-    crm = _feed(spark, sf, "crm_cust_info").where("cst_id is not null and cst_id % 6 <> 0")
-    return joins.not_in(erp, "_key", crm, "cst_key").drop("_key")
+    return joins.not_in(erp, "_key", _feed(spark, sf, "crm_cust_info"), "cst_key").drop("_key")
 
 
 @register("anti_location_customer", Q.chain("""
-SELECT cid, cntry FROM b_loc WHERE replace(cid, '-', '')
- NOT IN (SELECT cst_key FROM s_cust WHERE cst_id % 10 <> 3)"""))
+SELECT cid, cntry FROM b_loc WHERE replace(cid, '-', '') NOT IN (SELECT cst_key FROM s_cust)"""))
 def anti_location_customer(spark, sf):
-    """Locations without a customer (of the customers whose id does not end on 3)."""
+    """Locations without a customer."""
     loc = _feed(spark, sf, "erp_loc_a101").select("cid", "cntry", C.remove_chars("cid").alias("_key"))
-    return joins.not_in(loc, "_key", _silver(spark, sf, "crm_cust_info").where("cst_id % 10 <> 3"), "cst_key").drop("_key")
+    return joins.not_in(loc, "_key", _silver(spark, sf, "crm_cust_info"), "cst_key").drop("_key")
+
+
+_RELATIONS_SQL = {
+    "sales_customer": ("SELECT sls_cust_id AS k FROM s_sales", "SELECT cst_id FROM s_cust"),
+    "sales_product": ("SELECT sls_prd_key FROM s_sales", "SELECT prd_key FROM s_prod"),
+    "product_category": ("SELECT cat_id FROM s_prod", "SELECT id FROM s_cat"),
+    "product_sales": ("SELECT prd_key FROM s_prod", "SELECT sls_prd_key FROM s_sales"),
+    "erp_customer": ("SELECT cid FROM s_ecust", "SELECT cst_key FROM s_cust"),
+    "location_customer": ("SELECT cid FROM s_loc", "SELECT cst_key FROM s_cust"),
+    "customer_location": ("SELECT cst_key FROM s_cust", "SELECT cid FROM s_loc"),
+}
+
+
+@register("orphan_summary", Q.chain(" UNION ALL ".join(
+    f"SELECT '{name}' AS relation, (SELECT count(*) FROM ({left}) l(k) WHERE NOT EXISTS (SELECT 1 FROM ({right}) r(k) WHERE r.k = l.k)) AS orphan_rows,"
+    f" (SELECT count(DISTINCT k) FROM ({left}) l(k) WHERE NOT EXISTS (SELECT 1 FROM ({right}) r(k) WHERE r.k = l.k)) AS orphan_keys"
+    for name, (left, right) in _RELATIONS_SQL.items())))
+def orphan_summary(spark, sf):
+    """Orphans of every relation of the silver layer, whole tables on both sides, by one grouping of all keys."""
+    s = silver_of(star(spark, sf))
+    key = lambda t, c: s[t].select(F.col(c).cast("string").alias("k"))
+    sales, prod, cust = "crm_sales_details", "crm_prod_info", "crm_cust_info"
+    return D.orphan_summary({
+        "sales_customer": (key(sales, "sls_cust_id"), key(cust, "cst_id")),
+        "sales_product": (key(sales, "sls_prd_key"), key(prod, "prd_key")),
+        "product_category": (key(prod, "cat_id"), key("erp_px_cat_g1v2", "id")),
+        "product_sales": (key(prod, "prd_key"), key(sales, "sls_prd_key")),
+        "erp_customer": (key("erp_cust_a1z12", "cid"), key(cust, "cst_key")),
+        "location_customer": (key("erp_loc_a101", "cid"), key(cust, "cst_key")),
+        "customer_location": (key(cust, "cst_key"), key("erp_loc_a101", "cid")),
+    })
 
 
 @register("anti_left_null", Q.chain("""

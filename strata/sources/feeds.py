@@ -83,7 +83,9 @@ def crm_prod_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     family = F.when(k % 2 == 0, F.lit("A1")).otherwise(F.lit("B2"))
     return versions.select(
         (k * 10 + v).alias("prd_id"),
-        F.concat(F.substring("p_type", 1, 2), F.lit("-"), family, F.lit("-P"), _padded(k, 7)).alias("prd_key"),
+        # the first of three versions of every 25th part is a product of its own, which nobody orders
+        F.concat(F.substring("p_type", 1, 2), F.lit("-"), family, F.when((k % 25 == 0) & (k % 3 == 2) & (v == 0), F.lit("-X")).otherwise(F.lit("-P")),
+                 _padded(k, 7)).alias("prd_key"),
         F.col("p_name").alias("prd_nm"),
         F.when(k % 40 == 0, F.lit(None).cast(AMOUNT))
          .otherwise((F.col("p_size") * 10 + v).cast(AMOUNT)).alias("prd_cost"),
@@ -128,8 +130,10 @@ def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 def erp_cust_a1z12(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer", "c_custkey").filter(F.col("c_custkey") % 9 != 8)
     k = F.col("c_custkey")
+    # every 45th customer has a second record under an id that the CRM does not know
+    c = c.withColumn("twin", F.explode(F.when(k % 45 == 0, F.array(F.lit("AW"), F.lit("AX"))).otherwise(F.array(F.lit("AW")))))
     return c.select(
-        F.concat(F.when(k % 2 == 0, F.lit("NAS")).otherwise(F.lit("")), F.lit("AW"), _padded(k, 8)).alias("cid"),
+        F.concat(F.when(k % 2 == 0, F.lit("NAS")).otherwise(F.lit("")), F.col("twin"), _padded(k, 8)).alias("cid"),
         F.when(k % 60 == 0, F.lit("2099-01-01").cast("date"))
          .otherwise(F.date_add(F.lit("1920-01-01").cast("date"), ((k * 37) % 30000).cast("int"))).alias("bdate"),
         _case(k % 8, {0: "F", 1: "Female", 2: "M ", 3: "male", 4: "", 5: None, 6: " "}, "M").alias("gen"),
@@ -139,9 +143,11 @@ def erp_cust_a1z12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def erp_loc_a101(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    # every 40th customer has a second location under an unknown id
+    c = c.withColumn("twin", F.explode(F.when(F.col("c_custkey") % 40 == 0, F.array(F.lit("AW-"), F.lit("AX-"))).otherwise(F.array(F.lit("AW-")))))
     j = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
     return j.select(
-        F.concat(F.lit("AW-"), _padded(F.col("c_custkey"), 8)).alias("cid"),
+        F.concat(F.col("twin"), _padded(F.col("c_custkey"), 8)).alias("cid"),
         _case(F.col("n_nationkey") % 6, {0: "DE", 1: "US", 2: " USA ", 3: "  ", 4: None},
               F.col("n_name")).alias("cntry"),
     )

@@ -15,8 +15,8 @@ BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowE
 
 
 def findings(df) -> list[str]:
-    df.write.format("noop").mode("overwrite").save()  # final adaptive plan
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    df.collect()  # runs this DataFrame's own plan, so that what is read below is the final one
+    plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
     out = [b for b in BAD if b in plan]
     lines = plan.splitlines()
     for i, line in enumerate(lines):

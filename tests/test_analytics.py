@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from strata.plans import analytics as A
 
 FACT = "order_number string, product_key bigint, customer_key bigint, order_date date, shipping_date date, " \
@@ -56,3 +58,36 @@ def test_demographics_counts_customers_without_sales(spark):
     assert single_f.customer_count == 2
     # customer 1 has 4 sales lines (age 45), customer 4 none (age 25, counted once)
     assert single_f.avg_age == round((45 * 4 + 25) / 5, 1)
+
+
+def _unsold(spark):
+    """The star with a NULL amount for customer 3, product 3, a weekday and a country of their own."""
+    g = _star(spark)
+    extra = spark.createDataFrame([("SO99", 3, 4, dt.date(2023, 3, 5), None, None, None, None, None)], FACT)
+    cust = spark.createDataFrame([(4, 14, "AW4", "Ed", "Fu", "Peru", "Single", "Male", dt.date(2000, 1, 1), None)], CUST)
+    prod = spark.createDataFrame([(3, 103, "P3", "Gamma", "CD_EF", "Caps", "Soft", "No", Decimal("1.00"), "Other", dt.date(2020, 1, 1))], PROD)
+    return {"fact_sales": g["fact_sales"].union(extra), "dim_customer": g["dim_customer"].union(cust), "dim_products": g["dim_products"].union(prod)}
+
+
+# report, its total, largest first within
+ORDERED = [(A.sales_by_customer, "total_sales", ()), (A.sales_by_country, "total_sales", ()), (lambda g: A.demographics(g, "2025-06-30"), "total_sales", ()),
+           (A.top_products, "total_revenue", ()), (A.sales_by_category, "total_sales", ()), (A.by_product_line, "total_sales", ()),
+           (A.customer_category, "total_spent", ()), (A.geo_product, "total_sales", ("country",)), (A.headline_shares, "total_sales", ("dimension",))]
+
+
+@pytest.mark.parametrize("report,total,within", ORDERED, ids=[t[0].__name__ for t in ORDERED])
+def test_a_null_total_comes_first_and_totals_fall(spark, report, total, within):
+    rows = report(_unsold(spark)).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(tuple(r[c] for c in within), []).append(r[total])
+    assert list(groups) == sorted(groups, key=lambda k: tuple((v is None, v) for v in k))
+    assert any(v[0] is None for v in groups.values())
+    for v in groups.values():
+        assert v == sorted(v, key=lambda x: (x is not None, -(x or 0))), v
+
+
+@pytest.mark.parametrize("report,column", [(A.monthly_trend, "year_month"), (A.yearly, "year")])
+def test_periods_rise_and_the_undated_come_last(spark, report, column):
+    got = [r[column] for r in report(_unsold(spark)).collect()]
+    assert got[-1] is None and got[:-1] == sorted(got[:-1])
