@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as K
 from ..functions import cleanse as C
 from ..functions import metrics as M
+from ..operators.distinct import distinct_counts
 from ..operators.joins import broadcast_if_small, broadcast_threshold, fits_broadcast
 
 Gold = dict[str, DataFrame]
@@ -158,14 +159,11 @@ def monthly_trend(g: Gold) -> DataFrame:
 
 
 def yearly(g: Gold) -> DataFrame:
-    """Distinct buyers and orders are counted over (year, customer, order) groups, not over
-    a copy of every sales line for each count."""
-    grain = (g["fact_sales"].groupBy(K.year_of("order_date").alias("year"), "customer_key", "order_number")
-             .agg(F.sum("sales_amount").alias("_sales")))
-    revenue, buyers = F.sum("_sales"), F.countDistinct("customer_key")
-    return (grain.groupBy("year")
-            .agg(revenue.cast("double").alias("total_sales"), buyers.alias("unique_customers"),
-                 F.countDistinct("order_number").alias("total_orders"), M.ratio(revenue, buyers).alias("sales_per_customer"))
+    """Buyers and orders are counted over distinct (year, key) pairs, each from its own two columns."""
+    counted = distinct_counts(g["fact_sales"], {"year": K.year_of("order_date")}, {"unique_customers": "customer_key", "total_orders": "order_number"},
+                              [F.sum("sales_amount").alias("_sales")])
+    return (counted.select("year", F.col("_sales").cast("double").alias("total_sales"), "unique_customers", "total_orders",
+                           M.ratio(F.col("_sales"), F.col("unique_customers")).alias("sales_per_customer"))
             .orderBy(F.col("year").asc_nulls_last()))
 
 

@@ -3,6 +3,8 @@ joins, predicates, scalar functions and aggregates, each run over whole feeds.""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import sqlcheck as Q
@@ -12,6 +14,8 @@ from ..functions import cleanse as C
 from ..functions import metrics as M
 from ..operators import dedup, joins
 from ..operators import quality as D
+from ..operators.distinct import distinct_counts
+from ..session import shared_dir
 from . import gold as G
 from . import silver as S
 from .layers import AS_OF, bronze, silver_of, star
@@ -471,8 +475,8 @@ SELECT CAST(EXTRACT(YEAR FROM order_date) AS BIGINT) AS order_year, count(DISTIN
  count(DISTINCT product_key) AS products, count(DISTINCT order_number) AS orders
 FROM fact_sales GROUP BY EXTRACT(YEAR FROM order_date)"""))
 def agg_distinct(spark, sf):
-    f = star(spark, sf)["fact_sales"]
-    return (f.groupBy(K.year_of("order_date").alias("order_year"))
-             .agg(F.countDistinct("customer_key").alias("customers"),
-                  F.countDistinct("product_key").alias("products"),
-                  F.countDistinct("order_number").alias("orders")))
+    """Over the materialised fact, like every report on a published layer."""
+    path = shared_dir(spark, f"strata-distinct-{uuid.uuid4().hex[:10]}") + "/fact_sales"
+    star(spark, sf)["fact_sales"].select("order_date", "customer_key", "product_key", "order_number").write.parquet(path)
+    return distinct_counts(spark.read.parquet(path), {"order_year": K.year_of("order_date")},
+                           {"customers": "customer_key", "products": "product_key", "orders": "order_number"})

@@ -4,7 +4,9 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from strata.operators.distinct import distinct_counts
 from strata.plans import analytics as A
 
 FACT = "order_number string, product_key bigint, customer_key bigint, order_date date, shipping_date date, " \
@@ -91,3 +93,12 @@ def test_a_null_total_comes_first_and_totals_fall(spark, report, total, within):
 def test_periods_rise_and_the_undated_come_last(spark, report, column):
     got = [r[column] for r in report(_unsold(spark)).collect()]
     assert got[-1] is None and got[:-1] == sorted(got[:-1])
+
+
+def test_distinct_counts_against_sets(spark):
+    rows = [(1, "a", 5, 2), (1, "a", None, 3), (1, None, 5, None), (2, None, None, 1), (None, "b", 7, 1), (None, "c", 7, 1)]
+    df = spark.createDataFrame(rows, "g int, x string, y int, v int")
+    got = {r.g: (r.xs, r.ys, r.total) for r in distinct_counts(df, {"g": F.col("g")}, {"xs": "x", "ys": "y"}, [F.sum("v").alias("total")]).collect()}
+    assert got == {1: (1, 1, 5), 2: (0, 0, 1), None: (2, 1, 2)}
+    assert distinct_counts(df, {"g": F.col("g")}, {"xs": "x"}).columns == ["g", "xs"]
+    assert distinct_counts(df.limit(0), {"g": F.col("g")}, {"xs": "x"}).count() == 0

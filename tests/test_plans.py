@@ -118,3 +118,8 @@ def test_a_bound_of_the_whole_dimension_is_measured_once(spark, monkeypatch):
         A.template_filtered(g, country, "1998-01-01")
     A.star_filter(g, "PROMO")
     assert calls and not any(calls)
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    for plan in (_plan(load_all()["agg_distinct"].build(spark, SF)), _plan(A.yearly(star(spark, SF)))):
+        assert "Expand" not in plan
