@@ -2,8 +2,8 @@
 
 Every language has a probability for each piece of one fixed public vocabulary
 (plus the 256 single bytes, so that any text can be cut).  A word's likelihood is
-the sum over all its segmentations into pieces, found by the forward algorithm; a
-text's is the product over its words.  The language with the largest posterior wins.
+the sum over all its segmentations into pieces, found by the forward algorithm, however
+long the word is; a text's is the product over its words.  The language with the largest posterior wins.
 
 Piece probabilities are fitted by expectation maximisation over the words of a
 bounded sample of training texts: about ``sample_bytes`` of text per language,
@@ -27,7 +27,7 @@ from .toxicity import held_out
 
 UNDETERMINED = "und"
 SAMPLE_BYTES = 2 << 20
-PART = 32        # longer words are cut into parts of this many bytes
+STEP = 32        # bytes of a word after which its sums are brought back to size, the longest piece's at least
 _MARK = 1        # the byte that stands before a word
 
 
@@ -76,57 +76,97 @@ class Trie:
 
 
 class Lattice:
-    """All segmentations of a list of words, cut into parts of at most ``PART`` bytes."""
+    """All segmentations of a list of words of any length, each with the mark before it.
+
+    The sums are taken offset by offset for all words at once.  Every ``STEP`` bytes the open
+    sums of a word are divided by their largest, whose logarithm is kept, so a long word (any
+    run of letters without a blank) neither underflows nor is cut.
+    """
 
     def __init__(self, data: np.ndarray, off: np.ndarray, trie: Trie):
         lens = np.diff(off)
-        size = lens + 1                                    # with the mark
-        parts = (size + PART - 1) // PART
-        self.word = np.repeat(np.arange(len(lens)), parts)  # word of each part
-        inside = np.arange(len(self.word)) - np.repeat(np.cumsum(parts) - parts, parts)
-        self.length = np.minimum(size[self.word] - inside * PART, PART)
-        buf = np.full(len(data) + len(lens), _MARK, dtype=np.uint8)
-        buf[ranges(off[:-1] + np.arange(len(lens)) + 1, lens)] = data
-        begin = np.cumsum(self.length) - self.length
-        offset = np.arange(len(buf)) - np.repeat(begin, self.length)
-        part = np.repeat(np.arange(len(self.length)), self.length)
-        start, length, self.piece = trie.edges(buf, self.length[part] - offset)
-        order = np.argsort(offset[start].astype(np.int8), kind="stable")
-        start, length, self.piece = start[order], length[order], self.piece[order]
-        self.start = start + part[start]                   # one node more than bytes in each part
-        self.end = self.start + length
-        self.cut = np.searchsorted(offset[start], np.arange(PART + 1))
-        self.first = begin + np.arange(len(begin))
-        self.last = self.first + self.length
-        self.nodes = len(buf) + len(begin)
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """Sum over segmentations up to each node; ``p`` is (pieces, languages)."""
-        alpha = np.zeros((self.nodes, p.shape[1]))
+        n = len(lens)
+        self.size, self.depth, self.step = lens + 1, trie.depth, max(STEP, trie.depth)
+        buf = np.full(len(data) + n, _MARK, dtype=np.uint8)
+        buf[ranges(off[:-1] + np.arange(n) + 1, lens)] = data
+        begin = np.cumsum(self.size) - self.size
+        word = np.repeat(np.arange(n), self.size)
+        offset = np.arange(len(buf)) - begin[word]
+        start, length, piece = trie.edges(buf, self.size[word] - offset)
+        self.longest = int(self.size.max()) if n else 0
+        order = np.argsort(offset[start].astype(np.min_scalar_type(self.longest)), kind="stable")
+        start, self.length, self.piece = start[order], length[order], piece[order]
+        self.word, self.offset = word[start], offset[start]
+        self.start = start + self.word                     # one node more than bytes in each word
+        self.end = self.start + self.length
+        self.cut = np.searchsorted(self.offset, np.arange(self.longest + 1))
+        self.first = begin + np.arange(n)
+        self.last = self.first + self.size
+        self.nodes = len(buf) + n
+        # blocks of self.step bytes of the words that have several
+        blocks = np.where(self.size > self.step, -(-self.size // self.step) + 1, 0)
+        self.base = np.cumsum(blocks) - blocks
+        self.blocks = int(blocks.sum())
+        self.long = np.flatnonzero(blocks)
+
+    def _rescale(self, sums: np.ndarray, o: int, logs: np.ndarray) -> None:
+        """Divide the sums of the nodes from offset ``o`` on that edges across it reach by their largest."""
+        w = self.long[self.size[self.long] > o]
+        at = np.minimum(self.first[w][:, None] + o + np.arange(self.depth), self.last[w][:, None])
+        most = sums[at].max(axis=1)
+        most[most == 0] = 1.0
+        sums[at] = sums[at] / most[:, None]
+        logs[self.base[w] + o // self.step] = np.log(most)
+
+    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sum over segmentations up to each node, logarithms divided out by block); ``p`` is (pieces, languages)."""
+        alpha, logs = np.zeros((self.nodes, p.shape[1])), np.zeros((self.blocks, p.shape[1]))
         alpha[self.first] = 1.0
-        for a, b in zip(self.cut[:-1], self.cut[1:], strict=True):
+        for o, (a, b) in enumerate(zip(self.cut[:-1].tolist(), self.cut[1:].tolist(), strict=True)):
+            if o and o % self.step == 0:
+                self._rescale(alpha, o, logs)
             if a < b:  # edges from one offset: their ends are distinct nodes
                 alpha[self.end[a:b]] += alpha[self.start[a:b]] * p[self.piece[a:b]]
-        return alpha
+        return alpha, logs
 
-    def log_words(self, p: np.ndarray, n: int) -> np.ndarray:
+    def log_words(self, p: np.ndarray) -> np.ndarray:
         """(words, languages) log likelihood."""
-        z = np.log(self.forward(p)[self.last])
-        out = np.zeros((n, p.shape[1]))
-        np.add.at(out, self.word, z)
+        alpha, logs = self.forward(p)
+        out = np.log(alpha[self.last])
+        if len(self.long):
+            out[self.long] += np.add.reduceat(logs, self.base[self.long])
         return out
 
     def expected(self, p: np.ndarray, weight: np.ndarray, n_pieces: int) -> np.ndarray:
         """Expected uses of each piece (one language: ``p`` is (pieces, 1))."""
-        alpha = self.forward(p)
-        beta = np.zeros_like(alpha)
+        alpha, logs = self.forward(p)
+        beta, back = np.zeros_like(alpha), np.zeros_like(logs)
         beta[self.last] = 1.0
-        for a, b in zip(self.cut[:-1][::-1], self.cut[1:][::-1], strict=True):
+        for o in range(self.longest - 1, -1, -1):
+            a, b = self.cut[o], self.cut[o + 1]
             if a < b:
                 np.add.at(beta, self.start[a:b], beta[self.end[a:b]] * p[self.piece[a:b]])
-        part = np.searchsorted(self.first, self.start, "right") - 1
-        use = alpha[self.start, 0] * p[self.piece, 0] * beta[self.end, 0] / alpha[self.last, 0][part]
-        return np.bincount(self.piece, weights=use * weight[self.word[part]], minlength=n_pieces)
+            if o and o % self.step == 0:
+                self._rescale(beta, o, back)
+        with np.errstate(divide="ignore"):
+            use = np.log(alpha[self.start, 0]) + np.log(p[self.piece, 0]) + np.log(beta[self.end, 0]) - np.log(alpha[self.last, 0])[self.word]
+        if len(self.long):
+            # a node's sum was divided at all block bounds up to it; seen from the end, at all from it on,
+            # its own block's bound included if an edge could still cross that
+            before = np.cumsum(logs[:, 0])
+            after = np.cumsum(back[::-1, 0])[::-1]
+            total = np.add.reduceat(logs[:, 0], self.base[self.long])
+            stop = np.append(self.base[self.long][1:], self.blocks)
+            rank = np.zeros(len(self.size), dtype=np.int64)
+            rank[self.long] = np.arange(len(self.long))
+            e = np.flatnonzero(self.size[self.word] > self.step)
+            r, base = rank[self.word[e]], self.base[self.word[e]]
+            done = before[base + self.offset[e] // self.step] - (before[base] - logs[base, 0])
+            to = self.offset[e] + self.length[e]
+            block = to // self.step + (to % self.step >= self.depth)
+            left = np.append(after, 0.0)[base + block] - np.append(after, 0.0)[stop[r]]
+            use[e] += done + left - total[r]
+        return np.bincount(self.piece, weights=np.exp(use) * weight[self.word], minlength=n_pieces)
 
 
 @dataclass(frozen=True)
@@ -215,7 +255,7 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None
         if words.n:
             data = np.frombuffer(names.buffers()[2], np.uint8)
             ends = np.frombuffer(names.buffers()[1], np.int64)[: len(names) + 1]
-            logs = Lattice(data[ends[0]:ends[-1]], ends - ends[0], model.trie).log_words(model.p, len(names))
+            logs = Lattice(data[ends[0]:ends[-1]], ends - ends[0], model.trie).log_words(model.p)
             for k in range(len(model.languages)):
                 run = np.concatenate([[0.0], np.cumsum(logs[ids, k])])
                 total[:, k] += run[words.ptr[1:]] - run[words.ptr[:-1]]
