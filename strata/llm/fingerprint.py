@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BYTE_MIX, add_text_columns, mix64, powers, ranges, text_chunks
+from .common import BYTE_MIX, add_text_columns, mix64, powers, ranges, text_chunks, written
 
 LEAST, NORMAL, MOST = 16, 32, 128   # chunk sizes in bytes; the gear hash looks back 16 bytes
 STRICT_BITS, LOOSE_BITS = 6, 4
@@ -178,10 +178,13 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The next document is the next row by doc_id (nulls first; rows of one id in a fixed
-    arbitrary order), after the last the first; a single row is its own next.  Null is the empty text.
+    arbitrary order), after the last the first; a single row is its own next.  Null is the empty
+    text; texts may be of any length; other columns of ``docs`` are not read.  The order among rows
+    of one id follows the order in which ``docs`` yields them, so pass a stored table: it is read
+    more than once.
 
     Texts are shuffled once, into ranges of (doc_id, tie).  The last row of a range meets the
-    first of the next one apart, from an aggregate with one row per range.
+    first of the next one apart, from a table with one row per range.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
@@ -192,10 +195,13 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     rows = _parts(rows, parts)
     inner = _next_rows(rows.repartition("part").sortWithinPartitions("part", "id", "tie").select("doc_id", "part", "text"))
     place = F.struct("id", "tie", "doc_id")
-    edges = rows.groupBy("part").agg(F.min_by("text", place).alias("first"), F.max_by("text", place).alias("last"), F.max(place).alias("place"))
-    edges = edges.select(F.col("place.doc_id").alias("doc_id"), "first", "last", F.row_number().over(Window.orderBy("part")).alias("rank"),
-                         F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
-    after = edges.select(F.when(F.col("rank") == 1, F.col("n")).otherwise(F.col("rank") - 1).alias("rank"), F.col("first").alias("next"))
+    # two texts for each range, written once; only the ranges' numbers go through one task
+    edges = written(rows.groupBy("part").agg(F.min_by("text", place).alias("first"), F.max_by("text", place).alias("last"),
+                                             F.max(place)["doc_id"].alias("doc_id")), "edges")
+    ranks = edges.select("part", F.row_number().over(Window.orderBy("part")).alias("rank"))
+    n = edges.count()
+    after = ranks.select(F.when(F.col("rank") == 1, F.lit(n)).otherwise(F.col("rank") - 1).alias("rank"), F.col("part").alias("next_part"))
+    pairs = ranks.join(after, "rank").select("part", "next_part")
 
     def close(batches):
         for batch in batches:
@@ -203,5 +209,6 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
                 a, b = a.encode(), b.encode()
                 yield _compare(pa.array([i, None], pa.int64()), np.frombuffer(a + b, np.uint8), np.array([0, len(a), len(a) + len(b)]))
 
-    last = edges.join(after, "rank").select("doc_id", "last", "next").mapInArrow(close, _FIELDS)
+    following = edges.select(F.col("part").alias("next_part"), F.col("first").alias("next"))
+    last = edges.join(pairs, "part").join(following, "next_part").select("doc_id", "last", "next").mapInArrow(close, _FIELDS)
     return inner.unionByName(last)

@@ -150,10 +150,63 @@ def test_forward_sums_all_segmentations():
     words = [b"ab", b"abab", b"bba"]
     off = np.concatenate([[0], np.cumsum([len(w) for w in words])])
     lattice = langid.Lattice(np.frombuffer(b"".join(words), np.uint8), off, trie)
-    got = np.exp(lattice.log_words(p, 3))[:, 0]
+    got = np.exp(lattice.log_words(p))[:, 0]
     assert np.allclose(got, [total(b"\x01" + w) for w in words])
 
 
+@pytest.fixture(scope="module")
+def public_pieces():
+    pieces = langid.vocabulary()
+    return pieces, langid.Trie(pieces), {x: i for i, x in enumerate(pieces)}
+
+
+LONG_WORDS = ["ab" * 100, "日本語の文章は空白なしに続いていく" * 12, "中", "x" * 63, "y" * 64, "z" * 65, "https" * 13 + "é" * 90, "ok", "q" * 5000]
+
+
+def by_position(word, index, p, depth):
+    """Log of the sum over all segmentations before and after each position, in plain logarithms."""
+    s = b"\x01" + word
+    f, b = [-np.inf] * (len(s) + 1), [-np.inf] * (len(s) + 1)
+    f[0] = b[len(s)] = 0.0
+    edges = [(i, j, index[s[i:j]]) for i in range(len(s)) for j in range(i + 1, min(len(s), i + depth) + 1) if s[i:j] in index]
+    for i, j, k in edges:
+        f[j] = np.logaddexp(f[j], f[i] + np.log(p[k]))
+    for i, j, k in reversed(edges):
+        b[i] = np.logaddexp(b[i], b[j] + np.log(p[k]))
+    return f, b, edges
+
+
+def test_long_words_sum_all_segmentations(public_pieces):
+    pieces, trie, index = public_pieces
+    words = [w.encode() for w in LONG_WORDS]
+    off = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    lattice = langid.Lattice(np.frombuffer(b"".join(words), np.uint8), off, trie)
+    p = np.random.default_rng(1).random((len(pieces), 2)) ** 4 + 1e-7
+    p /= p.sum(axis=0)
+    got = lattice.log_words(p)
+    use = lattice.expected(p[:, :1], np.arange(1.0, len(words) + 1), len(pieces))
+    want = np.zeros(len(pieces))
+    for i, w in enumerate(words):
+        for k in (0, 1):
+            f, b, edges = by_position(w, index, p[:, k], trie.depth)
+            assert got[i, k] == pytest.approx(f[-1], rel=1e-12)
+            if k == 0:
+                for s, e, piece in edges:
+                    want[piece] += (i + 1) * np.exp(f[s] + np.log(p[piece, 0]) + b[e] - f[-1])
+    assert np.allclose(use, want, rtol=1e-9, atol=1e-12)
+
+
+def test_a_long_word_by_uniform_pieces(public_pieces):
+    """The sum over 200 bytes is larger than the product of the sums over its 32-byte parts."""
+    pieces, trie, _ = public_pieces
+    keep = langid.Trie([b"\x01ab", b"ab", b"aba", *[bytes([b]) for b in range(256)]])
+    p = np.full((259, 1), 1 / 259)
+    word = np.frombuffer(b"ab" * 100, np.uint8)
+    whole = langid.Lattice(word, np.array([0, 200]), keep).log_words(p)[0, 0]
+    f, _, _ = by_position(b"ab" * 100, {x: i for i, x in enumerate([b"\x01ab", b"ab", b"aba", *[bytes([b]) for b in range(256)]])}, p[:, 0], 3)
+    assert whole == pytest.approx(f[-1], rel=1e-12)
+
+
 def test_language_edges(spark, docs, rows, empty):
     model = langid.train(docs)
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "12 34 !?"), (4, "🙂"), (5, "abc")], "doc_id long, text string")
@@ -213,6 +266,53 @@ def test_fingerprint_report(spark, docs, rows, empty):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def plain_chunks(data: bytes) -> dict[tuple[int, int], int]:
+    """(digest, length) of the chunks of a text, by walking it byte by byte."""
+    gear = [(int(x) >> 17) & 0xFFFFFFFF for x in fingerprint.BYTE_MIX]
+    out, at = {}, 0
+    while at < len(data):
+        end = at + 1
+        while end < len(data) and end - at < fingerprint.MOST:
+            size = end - at
+            if size >= fingerprint.LEAST:
+                h = sum(gear[data[end - 1 - k]] << k for k in range(16)) & 0xFFFFFFFF
+                if h < 1 << (32 - (fingerprint.STRICT_BITS if size <= fingerprint.NORMAL else fingerprint.LOOSE_BITS)):
+                    break
+            end += 1
+        base, total = 0x9E3779B97F4A7C15, end - at
+        for j, b in enumerate(data[at:end]):
+            total += int(fingerprint.BYTE_MIX[b]) * pow(base, j, 1 << 64)
+        digest = int(fingerprint.mix64(np.array([total % (1 << 64)], dtype=np.uint64))[0]) & ((1 << 40) - 1)
+        out[digest, end - at] = end - at
+        at = end
+    return out
+
+
+def plain_likeness(a: dict, b: dict) -> float:
+    low = min(sum(a.values()), sum(b.values()))
+    return sum(a[k] for k in a.keys() & b.keys()) / low if low else float(sum(a.values()) == sum(b.values()))
+
+
+@pytest.mark.parametrize("size", [64 << 20, 700])
+def test_fingerprints_against_a_plain_walk(spark, rows, monkeypatch, size):
+    """Chunks, both likenesses, the last row (its next is the first) and rows without an id."""
+    monkeypatch.setattr(fingerprint, "PARTITION_BYTES", size)
+    known = sorted((r[0], r[1] or "") for r in rows if r[0] is not None and (r[1] is None or len(r[1]) < 5000))
+    got = {r.doc_id: r for r in fingerprint.fingerprint_report(frame(spark, [(i, t, None, None, 0) for i, t in known])).collect()}
+    assert len(got) == len(known)
+    for (i, t), (_, nxt) in zip(known, known[1:] + known[:1], strict=True):
+        half = len(t) // 2
+        own, edited, other = (plain_chunks(x.encode()) for x in (t, t[:len(t) - half] + nxt[:half], nxt))
+        show = lambda c: "".join(sorted(f"{d:010x}{n:02x}" for d, n in c))
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (show(own), show(edited)), i
+        assert got[i].near_edited == pytest.approx(plain_likeness(own, edited)) and got[i].near_next == pytest.approx(plain_likeness(own, other))
+    none = [(None, "same words here " * 9, None, None, 0), (None, None, None, None, 0), (None, "other words there " * 9, None, None, 0)]
+    alone = fingerprint.fingerprint_report(frame(spark, none)).collect()
+    assert sorted(r.n_chars for r in alone) == [0, 144, 162] and all(r.doc_id is None for r in alone)
+    want = {plain_likeness(plain_chunks((a[1] or "").encode()), plain_chunks((b[1] or "").encode())) for a in none for b in none if a is not b}
+    assert {r.near_next for r in alone} <= want
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(1)
     text = rng.integers(97, 123, 20_000).astype(np.uint8)
