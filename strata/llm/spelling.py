@@ -32,6 +32,7 @@ LANES = 4                 # 64-bit lanes of a filter block; two bits are set in
 FILTER_BLOCKS = 1 << 16   # blocks of one filter at most: 2 MB
 WAVE_BYTES = 16 << 20     # filters broadcast at once
 PROBES = 1 << 18          # word letters whose edits are made at once
+TASK_LETTERS = 1 << 19    # word letters of a task that probes
 MOST_ROUNDS = 64          # forms grow five times in count with each step: chains are shorter
 
 _LETTERS = np.zeros(256, dtype=bool)
@@ -236,10 +237,12 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """(a, na, b, nb): each pair of words of ``vocabulary`` (word, n, length, h) that are one edit apart, once."""
     spark = vocabulary.sparkSession
     sizes = {r.length: r["count"] for r in vocabulary.groupBy("length").count().collect()}  # a row for each length
+    letters = sum(length * n for length, n in sizes.items())
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), letters // TASK_LETTERS + 1)
     found = None
     for wave in filter_plan(sizes) if sizes else []:
         filters = spark.sparkContext.broadcast(_filters(vocabulary, wave))  # WAVE_BYTES at most
-        part = written(_candidates(vocabulary, filters), "edits")
+        part = written(_candidates(vocabulary.select("word", "h").repartition(tasks, "h"), filters), "edits")
         found = part if found is None else found.unionByName(part)
         filters.destroy()
     if found is None:
