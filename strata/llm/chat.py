@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import lead_within
 from .common import written
 
 ROLES = ("system", "user", "assistant")
@@ -83,34 +84,38 @@ class Model:
 
 
 def train(lines: DataFrame) -> Model:
-    """Count the tables over labelled rows (conv_id, turn, role, text); other roles are left out."""
+    """Count the tables over labelled rows (conv_id, turn, role, text); other roles are left out.
+
+    Lines are counted where they lie.  Which role follows which is counted over narrow rows,
+    numbered without a task per conversation, so no conversation is a hot group.
+    """
     names = F.array(*[F.lit(r) for r in ROLES])
     rows = lines.where(F.col("role").isin(*ROLES)).select("conv_id", "turn", (F.array_position(names, F.col("role")) - 1).cast("int").alias("r"), "text")
-    before = Window.partitionBy("conv_id").orderBy("turn", F.xxhash64("text"))
-    rows = rows.withColumn("prev", F.lag("r").over(before))
 
     def count(batches):
+        total = np.zeros((STATES, STATES + 1 + _OBS))
         for batch in batches:
-            total = np.zeros((STATES, STATES + 1 + _OBS))
-            for r, prev, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for r, text in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
                 obs = observe((text or "").split("\n"))
                 total[2 * r, STATES + 1 + obs[0]] += 1
                 np.add.at(total[2 * r + 1], STATES + 1 + obs[1:], 1)
-                total[2 * r, STATES] += prev is None
-                last = lambda k, n: 2 * k + (n > 1)
                 if len(obs) > 1:
                     total[2 * r, 2 * r + 1] += 1
                     total[2 * r + 1, 2 * r + 1] += len(obs) - 2
-                if prev is not None:  # the turn before may have ended on either of its states
-                    total[last(prev, 1), 2 * r] += 1
-                    total[last(prev, 2), 2 * r] += 1
-            s, k = np.nonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(k), pa.array(total[s, k])], names=["s", "k", "n"])
+        s, k = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(k), pa.array(total[s, k])], names=["s", "k", "n"])
 
-    sums = rows.select("r", "prev", "text").mapInArrow(count, "s long, k long, n double").groupBy("s", "k").agg(F.sum("n").alias("n")).collect()
+    sums = rows.select("r", "text").mapInArrow(count, "s long, k long, n double").groupBy("s", "k").agg(F.sum("n").alias("n")).collect()
     table = np.zeros((STATES, STATES + 1 + _OBS))
     for x in sums:
         table[x["s"], x["k"]] = x["n"]
+    narrow = rows.select("conv_id", "turn", F.xxhash64("text").alias("tie"), "r")
+    follows = lead_within(narrow, ["conv_id"], [F.col("turn").asc_nulls_first(), F.col("tie").asc_nulls_first()], F.col("r"), "after")
+    for x in follows.groupBy("r", "after").count().collect():
+        table[2 * x["r"], STATES] += x["count"]          # turns of a role ...
+        if x["after"] is not None:
+            table[2 * x["after"], STATES] -= x["count"]  # ... less those that follow another open a conversation
+            table[2 * x["r"]:2 * x["r"] + 2, 2 * x["after"]] += x["count"]  # the turn before may have ended on either state
     obs = table[:, STATES + 1:].reshape(STATES, _MARKS, _SIZES)
     return Model.from_counts(table[:, STATES], table[:, :STATES], obs.sum(axis=2), obs.sum(axis=1))
 
@@ -221,6 +226,7 @@ def parse(transcripts: DataFrame, model: Model) -> DataFrame:
     pieces, whose ``rendered`` strings joined in order are the canonical turn (no limit on a
     turn's length gathers it in one row).  Rows of one conversation are read by turn, nulls
     first, ties by a hash of the text; a null text is one empty line, null conv_ids are one conversation.
+    Texts may be of any length (blocks cut them); other columns are not read.
     """
     rows = transcripts.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.xxhash64("text").alias("tie"), "text")
     blocks = _blocks(rows, model)

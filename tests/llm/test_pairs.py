@@ -1,8 +1,10 @@
 """Near duplicates, repeats, decontamination, chat and the pipeline against brute force."""
 
 import hashlib
+import itertools
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -240,6 +242,66 @@ def test_chat_recovers_marked_turns(spark):
     assert len(true) > 50 and exact > 0.97 * len(true), (exact, len(true))
 
 
+def test_chat_viterbi_against_all_paths():
+    rng = np.random.default_rng(3)
+    states = range(chat.STATES)
+    for trial in range(4):
+        model = chat.Model.from_counts(rng.random(chat.STATES) * 5, rng.random((chat.STATES, chat.STATES)) * 9,
+                                       rng.random((chat.STATES, chat._MARKS)) * 9, rng.random((chat.STATES, chat._SIZES)) * 9)
+        obs = rng.integers(0, chat._OBS, 5)
+        score = lambda path: model.start[path[0]] + model.emit[path[0], obs[0]] + sum(
+            model.step[a, b] + model.emit[b, o] for a, b, o in zip(path[:-1], path[1:], obs[1:], strict=True))
+        best = max(itertools.product(states, repeat=5), key=score)
+        assert chat.transfer(obs, model, True)[0].max() == pytest.approx(score(best))
+        # in two blocks: the first opens, the second is entered from the state that the first ended on
+        for cut in (1, 3):
+            head, tail = chat.transfer(obs[:cut], model, True), chat.transfer(obs[cut:], model, False)
+            through = head[0][:, None] + tail
+            mid, last = np.unravel_index(through.argmax(), through.shape)
+            path = [*chat.decode(obs[:cut], model, True, 0, mid), *chat.decode(obs[cut:], model, False, mid, last)]
+            assert through.max() == pytest.approx(score(best)) and score(path) == pytest.approx(score(best))
+
+
+def test_chat_counts_openings_and_transitions(spark):
+    said = [(1, 0, "system", "a"), (1, 1, "user", "b\nc\nd"), (1, 2, "assistant", "e"), (2, 0, "user", "f"), (2, 1, "assistant", "g"), (2, 2, "user", "h"),
+            (None, 0, "user", "i"), (3, 0, "other", "j")]
+    seen = {}
+    keep = chat.Model.from_counts
+    try:
+        chat.Model.from_counts = classmethod(lambda cls, *t: seen.update(zip(("start", "step", "mark", "size"), t, strict=True)) or keep(*t))
+        chat.train(spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(3))
+    finally:
+        chat.Model.from_counts = keep
+    assert seen["start"].tolist() == [1, 0, 2, 0, 0, 0]
+    step = np.zeros((6, 6))
+    for a, b in ((0, 1), (1, 2), (1, 2), (2, 1)):  # system-user, user-assistant twice, assistant-user
+        step[2 * a:2 * a + 2, 2 * b] += 1
+    step[2, 3] += 1   # the one turn of three lines
+    step[3, 3] += 1
+    assert seen["step"].tolist() == step.tolist() and seen["mark"].sum() == 9 == seen["size"].sum()
+
+
+def test_chat_without_markers_beats_the_most_frequent_role(spark):
+    """Where no marker is printed only lengths and the order of roles speak: figures in the README."""
+    d = spark.read.parquet("/root/testdata/sf0.1/conversations.parquet")
+    printed = chat.print_transcripts(d)
+    held = F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")) % 5 == 0
+    model = chat.train(printed.where(~held))
+    opening = {(r.conv_id, r.turn): (chat.marker(r.text.split("\n")[0])[0], r.role) for r in printed.where(held).collect()}
+    got = {}
+    for r in chat.parse(printed.where(held), model).orderBy("conv_id", "turn", "piece").collect():
+        got.setdefault(r.conv_id, []).extend([r.role] * r.n_lines)
+    right, lines = {True: [], False: []}, {}
+    for r in sorted(printed.where(held).collect(), key=lambda r: (r.conv_id, r.turn)):
+        at = lines.get(r.conv_id, 0)
+        right[chat.marker(r.text.split("\n")[0])[0] < len(chat.ROLES)].append(got[r.conv_id][at] == r.role)
+        lines[r.conv_id] = at + len(r.text.split("\n"))
+    marked, unmarked = (sum(v) / len(v) for v in (right[True], right[False]))
+    share = max(sum(role == x for _, role in opening.values()) for x in chat.ROLES) / len(opening)
+    print("first lines of turns: marked", marked, "unmarked", unmarked, "most frequent role", share)
+    assert marked > 0.99 and unmarked > share + 0.05
+
+
 def test_chat_blocks_and_edges(spark, monkeypatch):
     lines = [(1, t, None, f"User: hello {t}\nmore <|x|>" if t % 2 == 0 else f"Assistant: hi {t}\nand\nso on") for t in range(60)]
     lines += [(2, 0, None, None), (None, 0, None, "### system\nbe kind"), (3, None, None, "no marker"), (3, 1, None, "A: yes"), (3, 1, None, "A: yes")]
