@@ -95,15 +95,15 @@ def with_rejects(raw: DataFrame, schema: T.StructType, max_text: int | None = No
               for c in (F.coalesce(F.col(n), F.lit("")) for n in [*schema.names, OVERFLOW])]
     record = F.coalesce(F.col(RECORD), F.concat_ws(",", *quoted))
     reasons = [F.when(F.col(OVERFLOW).isNotNull(), F.lit("too_many_fields")),
-               F.when(F.col(RECORD).rlike(UNCLOSED), F.lit("unclosed_quote"))]
+               F.when(F.col(RECORD).contains('"') & F.col(RECORD).rlike(UNCLOSED), F.lit("unclosed_quote"))]
     typed = {}
     for f in schema.fields:
         text = F.col(f.name)
-        value = typed_value(f.name, text, f.dataType)
+        exact = text.try_cast(T.DecimalType(38, 18)) if isinstance(f.dataType, T.DecimalType) else None
+        value = typed_value(f.name, text, f.dataType) if exact is None else exact.try_cast(f.dataType)
         typed[f.name] = value
         reasons.append(F.when(text.isNotNull() & value.isNull(), F.lit(f"bad_{f.name}")))
-        if isinstance(f.dataType, T.DecimalType):
-            exact = text.try_cast(T.DecimalType(38, 18))
+        if exact is not None:
             reasons.append(F.when(exact != value, F.lit(f"rounded_{f.name}")))
         if max_text is not None and isinstance(f.dataType, T.StringType):
             reasons.append(F.when(F.length(text) > max_text, F.lit(f"long_{f.name}")))
