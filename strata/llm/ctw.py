@@ -6,22 +6,37 @@ context-tree weighting mixes the estimates of all depths, each node weighting it
 against what its children explain better.  The code length of a text is the sum over
 its bytes and a closing end mark (0xFF, never a byte of text), lower-cased.
 
-Counting covers the whole training corpus: every distinct (context, byte) is counted in
-the tasks, then summed in one shuffle.  KT block probabilities depend on counts alone, so the
-weights follow from the sums.  The scoring model is the best supported part of the tree:
-contexts with a support of at least the smallest power of two that leaves no more
-than ``MODEL_ENTRIES`` (context, byte) pairs.  What a node's missing contexts have
-counted is not lost: it is one more child, "any other context", with the counts they
-have in sum.  So the model is a proper context tree of bounded size, and its
-probabilities sum to one.
+The tree is whole: every (context, byte) of the training corpus is in it, and it is never
+held in one place.
+
+1. Every distinct (context, byte) is counted in the tasks, then summed in one shuffle.
+2. The subtrees below the contexts of ``ROOT`` bytes are dealt to shards of about
+   ``SHARD_ENTRIES`` pairs.  Each shard weighs its nodes from the leaves up and reports
+   sums by the parents of its roots.  KT block probabilities depend on counts alone, so
+   the order of the corpus does not matter.
+3. The contexts of fewer than ``ROOT`` bytes (256 * 255 nodes a byte of depth, however
+   large the corpus) are weighed on the driver and sent to all tasks.
+4. Texts are written in blocks of ``BLOCK_BYTES``.  A block asks each shard for the code
+   lengths of its distinct (context, byte) pairs; the shard answers in the order asked.
+5. Blocks meet their answers in a shuffle by block, and each text sums its bytes.
+
+Requests, answers and blocks pass the tasks one row at a time behind a sort, so a task
+holds one shard or one block (a block is one text where a text is longer).  A subtree is
+never split: the distinct pairs below one context of ``ROOT`` bytes are what a task must hold.
 
 Words are counted in the same pass for the base score, and looked up exactly: the most
 frequent ``HEAD_WORDS`` in the tasks, the others by a join.
+
+Null text: scored as the empty one, its end mark alone.  Null doc_id: counts as held out or
+not by the crc32 of the empty text.  Repeated rows: each is counted and each gets its own
+row.  Empty tables: no rows.  Nothing learned: 8 bits a byte.  Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 import pickle
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,11 +44,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK_WORD, LOWER, Words, release, text_chunks, written
+from .common import BLANK_WORD, CHUNK_BYTES, LOWER, Words, release, return_memory, text_chunks, written
 from .toxicity import held_out
 
 DEPTH = 5
-MODEL_ENTRIES = 1 << 19
+ROOT = 2                    # contexts of so many bytes are the roots of the subtrees dealt to shards
+SHARD_ENTRIES = 1 << 17     # (context, byte) pairs of a shard, on average
+BLOCK_BYTES = 4 << 20       # text bytes of a block (one text at least)
+BLOCK_ROWS = 1 << 16
 HEAD_WORDS = 1 << 17
 _START, _END = 0xFE, 0xFF   # bytes that no UTF-8 text holds
 _HALF = 1 << 20             # distinct keys that a task gathers before it sends them on
@@ -56,8 +74,8 @@ def byte_keys(raw: np.ndarray, off: np.ndarray, depth: int = DEPTH) -> tuple[np.
     for k in range(depth + 1):
         key = key << np.uint64(8) | buf[k:k + len(key)]
     keep = np.ones(len(key), dtype=bool)             # windows that end on a start mark code nothing
-    tail = np.repeat(off[1:-1] + np.arange(1, n) * gap, depth) + np.tile(np.arange(depth), max(0, n - 1)) if n > 1 else np.zeros(0, np.int64)
-    keep[tail] = False
+    if n > 1:
+        keep[np.repeat(off[1:-1] + np.arange(1, n) * gap, depth) - np.tile(np.arange(1, depth + 1), n - 1)] = False
     return key[keep], off + np.arange(n + 1)
 
 
@@ -119,35 +137,6 @@ def count_corpus(docs: DataFrame) -> DataFrame:
     return table
 
 
-def best_supported(counts: DataFrame, most: int = MODEL_ENTRIES, depth: int = DEPTH) -> pa.Table:
-    """(depth, ctx, byte, n) of the contexts whose support reaches the threshold: at most ``most`` rows."""
-    key = F.conv(F.hex("key"), 16, 10).cast("long")  # depth + 1 <= 6 bytes
-    level = counts.where("kind = 0").select(key.alias("key"), "n")
-    levels = []
-    for d in range(depth, -1, -1):
-        mask = (1 << (8 * (d + 1))) - 1
-        level = written(level.select(F.col("key").bitwiseAND(F.lit(mask)).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n")), f"level{d}") if d < depth else level
-        ctx = F.shiftrightunsigned("key", 8)
-        support = level.groupBy(ctx.alias("ctx")).agg(F.sum("n").alias("support"), F.count(F.lit(1)).alias("entries"))
-        levels.append((d, level, written(support, "support")))
-    # entries by support class, over all depths
-    sizes: dict[int, int] = {}
-    for _, _, support in levels:
-        power = F.floor(F.log2("support")).cast("int")
-        for r in support.groupBy(power.alias("p")).agg(F.sum("entries").alias("e")).collect():
-            sizes[r["p"]] = sizes.get(r["p"], 0) + r["e"]
-    threshold = _threshold(sizes, most)
-    parts = []
-    for d, level, support in levels:
-        enough = support.where(F.col("support") >= 1 << threshold) if threshold else support
-        rows = level.withColumn("ctx", F.shiftrightunsigned("key", 8)).join(enough.select("ctx"), "ctx")
-        parts.append(rows.select(F.lit(d).alias("depth"), "ctx", F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("byte"), "n"))
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return whole.toArrow()
-
-
 def _threshold(sizes: dict[int, int], most: int) -> int:
     """Smallest power p such that at most ``most`` entries lie in the classes from p on (class: floor of log2)."""
     power, total = 0, sum(sizes.values())
@@ -157,9 +146,27 @@ def _threshold(sizes: dict[int, int], most: int) -> int:
     return power
 
 
-def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """log of the KT block probability of a zeros and b ones."""
-    return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1.0) - np.log(np.pi)
+_TABLE = 1 << 16
+
+
+def _log_rising(start: float) -> np.ndarray:
+    """log of start * (start + 1) * ... with 0 .. _TABLE - 1 factors."""
+    return np.concatenate([[0.0], np.cumsum(np.log(start + np.arange(_TABLE - 1)))])
+
+
+_HALVES, _WHOLES = _log_rising(0.5), _log_rising(1.0)
+
+
+def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """log of the KT block probability of so many zeros and ones."""
+    both = zeros + ones
+    out = np.empty(len(both))
+    small = both < _TABLE
+    z, o = zeros[small].astype(np.int64), ones[small].astype(np.int64)
+    out[small] = _HALVES[z] + _HALVES[o] - _WHOLES[z + o]
+    z, o = zeros[~small].astype(float), ones[~small].astype(float)
+    out[~small] = _lgamma(z + 0.5) + _lgamma(o + 0.5) - _lgamma(z + o + 1.0) - np.log(np.pi)
+    return out
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -176,146 +183,315 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return out
 
 
-class ContextTree:
-    """The scoring model: weights and mixed predictions of the supported contexts."""
-
-    def __init__(self, depth: np.ndarray, ctx: np.ndarray, byte: np.ndarray, n: np.ndarray, most: int = DEPTH):
-        order = np.lexsort((byte, ctx, depth))
-        depth, ctx, byte, n = depth[order].astype(np.int64), ctx[order].astype(np.int64), byte[order].astype(np.int64), n[order].astype(float)
-        self.depth = most
-        name = depth << 48 | ctx
-        self.contexts, index = np.unique(name, return_inverse=True)
-        of_depth = self.contexts >> 48
-        self.levels = np.searchsorted(of_depth, np.arange(most + 2))
-        parent_name = np.where(of_depth > 0, (of_depth - 1) << 48 | (self.contexts & ((1 << 48) - 1) & ((1 << (8 * np.maximum(of_depth - 1, 0))) - 1)), 0)
-        self.parent = np.searchsorted(self.contexts, parent_name)
-        # the decisions of each bit position have trees of their own: nodes are (context, bits so far)
-        self.entries = index << 8 | byte
-        self.nodes, self.deepest, self.above = [], [], []
-        self.log2 = np.zeros(len(byte), dtype=np.float32)
-        for k in range(8):
-            bit = (byte >> (7 - k)) & 1
-            nodes, where = np.unique(index << 8 | (1 << k) | (byte >> (8 - k)), return_inverse=True)
-            deepest, above = self._weigh(nodes, np.bincount(where, weights=n * bit, minlength=len(nodes)),
-                                         np.bincount(where, weights=n, minlength=len(nodes)), of_depth)
-            self.nodes.append(nodes)
-            self.deepest.append(deepest)
-            self.above.append(above)
-            p = deepest[where].astype(float)
-            self.log2 += np.log2(np.where(bit == 1, p, 1 - p)).astype(np.float32)
-
-    def _weigh(self, nodes: np.ndarray, ones: np.ndarray, both: np.ndarray, of_depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mixed probability of a one at each node: where the context path ends there, and where
-        deeper contexts have not met these bits."""
-        most, zeros, own = self.depth, both - ones, nodes >> 8
-        up = np.searchsorted(nodes, self.parent[own] << 8 | (nodes & 255))
-        at = of_depth[own]
-        kt_block, kt = _log_kt(zeros, ones), (ones + 0.5) / (both + 1.0)
-        weighted, children, log_beta = np.zeros(len(nodes)), np.zeros(len(nodes)), np.zeros(len(nodes))
-        rest0, rest1 = zeros.copy(), ones.copy()
-        for d in range(most, -1, -1):
-            k = np.flatnonzero(at == d)
-            if d == most:
-                weighted[k] = kt_block[k]
-            else:
-                explained = children[k] + _log_kt(rest0[k], rest1[k])
-                weighted[k] = np.logaddexp(kt_block[k], explained) - np.log(2)
-                log_beta[k] = kt_block[k] - explained
-            if d:
-                np.add.at(children, up[k], weighted[k])
-                np.subtract.at(rest0, up[k], zeros[k])
-                np.subtract.at(rest1, up[k], ones[k])
-        # the root's prediction is offset + slope * (the prediction below a node)
-        own_share = 1.0 / (1.0 + np.exp(-np.clip(log_beta, -60, 60)))
-        offset, slope = np.zeros(len(nodes)), np.ones(len(nodes))
-        for d in range(1, most + 1):
-            k = np.flatnonzero(at == d)
-            u = up[k]
-            offset[k] = offset[u] + slope[u] * own_share[u] * kt[u]
-            slope[k] = slope[u] * (1 - own_share[u])
-        other = (rest1 + 0.5) / (rest0 + rest1 + 1.0)
-        last = np.where(at == most, kt, own_share * kt + (1 - own_share) * other)
-        blank = np.where(at == most, kt, own_share * kt + (1 - own_share) * 0.5)
-        return (offset + slope * last).astype(np.float32), (offset + slope * blank).astype(np.float32)
+def _mask(n_bytes: int, bits: int = 0) -> int:
+    return (1 << (8 * n_bytes + bits)) - 1
+
+
+class Level:
+    """The nodes of one depth for one bit position: name (context, then the bits so far) and counts.
+
+    ``offset`` and ``slope`` give the root's prediction from the prediction one level deeper.
+    """
+
+    def __init__(self, nodes: np.ndarray, ones: np.ndarray, both: np.ndarray):
+        self.nodes, self.ones, self.both = nodes, ones, both
+        self.kt = (ones + 0.5) / (both + 1.0)
+
+    def weigh(self, explained: np.ndarray | None) -> np.ndarray:
+        """log of the weighted probability of each node, given the sum of its children's (None: a leaf)."""
+        own = _log_kt(self.both - self.ones, self.ones)
+        if explained is None:
+            self.share = np.ones(len(own))
+            return own
+        self.share = 1.0 / (1.0 + np.exp(-np.clip(own - explained, -60, 60)))
+        return np.logaddexp(own, explained) - np.log(2)
+
+    def descend(self, offset: np.ndarray | float, slope: np.ndarray | float) -> None:
+        self.offset, self.slope = offset + slope * self.share * self.kt, slope * (1 - self.share)
+
+    def find(self, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is there) of the names."""
+        slot = np.searchsorted(self.nodes, want)
+        slot[slot == len(self.nodes)] = 0
+        return slot, self.nodes[slot] == want if len(self.nodes) else np.zeros(len(want), bool)
+
+
+def _grouped(names: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct names, in order, and the sums of the values (names in order already)."""
+    if not len(names):
+        return (names, *values)
+    first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+    return (names[first], *[np.add.reduceat(v, first) for v in values])
+
+
+class Subtrees:
+    """The subtrees of one shard, from depth ``root`` to ``depth``, weighed from the leaves up."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, root: int = ROOT, depth: int = DEPTH):
+        order = np.argsort(keys)
+        self.keys, counts = keys[order].astype(np.int64), counts[order].astype(np.int64)
+        self.root, self.depth = root, depth
+        pairs = {depth: (self.keys, counts)}
+        for d in range(depth - 1, root - 1, -1):
+            k, n = pairs[d + 1]
+            k = k & _mask(d + 1)
+            order = np.argsort(k, kind="stable")
+            pairs[d] = _grouped(k[order], n[order])
+        self.levels: list[dict[int, Level]] = []
+        self.sums: list[tuple[np.ndarray, ...]] = []  # by bit: parent of the roots, log weighted, ones, both
+        for b in range(8):
+            level = {d: Level(*_grouped(k >> (8 - b), n * (k >> (7 - b) & 1), n)) for d, (k, n) in pairs.items()}
+            explained = None
+            for d in range(depth, root, -1):
+                up = np.searchsorted(level[d - 1].nodes, level[d].nodes & _mask(d - 1, b))
+                explained = np.bincount(up, weights=level[d].weigh(explained), minlength=len(level[d - 1].nodes))
+            weighted = level[root].weigh(explained)
+            above = level[root].nodes & _mask(root - 1, b)
+            order = np.argsort(above, kind="stable")
+            self.sums.append(_grouped(above[order], weighted[order], level[root].ones[order], level[root].both[order]))
+            self.levels.append(level)
+
+    def descend(self, top: list[dict[int, Level]]) -> Subtrees:
+        """Predictions of all nodes, from the weighed contexts above the roots."""
+        self.bits = np.zeros(len(self.keys))
+        for b, level in enumerate(self.levels):
+            level.update(top[b])
+            for d in range(self.root, self.depth + 1):
+                up, _ = level[d - 1].find(level[d].nodes & _mask(d - 1, b))
+                level[d].descend(level[d - 1].offset[up], level[d - 1].slope[up])
+            if len(self.keys):
+                name = self.keys >> (8 - b)
+                where = np.cumsum(np.concatenate([[0], name[1:] != name[:-1]]))
+                p = level[self.depth].offset[where]
+                self.bits -= np.log2(np.where(self.keys >> (7 - b) & 1 == 1, p, 1 - p))
+        return self
 
     def code_lengths(self, keys: np.ndarray) -> np.ndarray:
-        """Bits of each (context, byte) key."""
+        """Bits of each (context, byte) key: every decision is predicted by the deepest node that has met it."""
         keys = keys.astype(np.int64)
-        byte, ctx = keys & 255, keys >> 8
-        at = np.zeros(len(keys), dtype=np.int64)
-        if not len(self.contexts):
-            return np.full(len(keys), 8.0)
-        live = np.arange(len(keys))
-        for d in range(1, self.depth + 1):  # supported contexts are closed under taking suffixes
-            want = d << 48 | (ctx[live] & ((1 << (8 * d)) - 1))
-            slot = np.minimum(np.searchsorted(self.contexts, want), len(self.contexts) - 1)
-            ok = self.contexts[slot] == want
-            live = live[ok]
-            at[live] = slot[ok]
-        want = at << 8 | byte
-        slot = np.minimum(np.searchsorted(self.entries, want), len(self.entries) - 1)
-        bits = -self.log2[slot].astype(float)
-        new = np.flatnonzero(self.entries[slot] != want)
-        if len(new):
-            bits[new] = 0.0
-            for k in range(8):
-                prefix, bit, nodes = (1 << k) | (byte[new] >> (8 - k)), (byte[new] >> (7 - k)) & 1, self.nodes[k]
-                p = np.full(len(new), 0.5)
-                todo, node, table = np.arange(len(new)), at[new], self.deepest[k]
-                while len(todo):
-                    want = node << 8 | prefix[todo]
-                    slot = np.minimum(np.searchsorted(nodes, want), len(nodes) - 1)
-                    ok = nodes[slot] == want
-                    p[todo[ok]] = table[slot[ok]]
-                    go = ~ok & (node > 0)
-                    todo, node, table = todo[go], self.parent[node[go]], self.above[k]
-                bits[new] -= np.log2(np.where(bit == 1, p, 1 - p))
+        bits = np.zeros(len(keys))
+        met = np.zeros(len(keys), dtype=bool)
+        if len(self.keys):
+            slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            met = self.keys[slot] == keys
+            bits[met] = self.bits[slot[met]]
+        new = np.flatnonzero(~met)
+        for b, level in enumerate(self.levels):
+            p = np.full(len(new), 0.5)
+            todo = np.arange(len(new))
+            for d in range(self.depth, -1, -1):
+                slot, ok = level[d].find((keys[new[todo]] & _mask(d + 1)) >> (8 - b))
+                at = slot[ok]
+                p[todo[ok]] = level[d].offset[at] + 0.5 * level[d].slope[at]
+                todo = todo[~ok]
+            bits[new] -= np.log2(np.where(keys[new] >> (7 - b) & 1 == 1, p, 1 - p))
         return bits
 
 
-def train(counts: DataFrame, most: int = MODEL_ENTRIES) -> ContextTree:
-    t = best_supported(counts, most)
-    col = lambda c: t.column(c).to_numpy()
-    return ContextTree(col("depth"), col("ctx"), col("byte"), col("n"))
+def weigh_top(sums: list[tuple[np.ndarray, ...]], root: int = ROOT) -> list[dict[int, Level]]:
+    """The contexts above the roots, by bit and depth, from the sums by the roots' parents (in order of the parents)."""
+    top = []
+    for b, (nodes, explained, ones, both) in enumerate(sums):
+        level = {}
+        for d in range(root - 1, -1, -1):
+            level[d] = Level(nodes, ones, both)
+            weighted = level[d].weigh(explained)
+            if d:
+                above = nodes & _mask(d - 1, b)
+                order = np.argsort(above, kind="stable")
+                nodes, explained, ones, both = _grouped(above[order], weighted[order], ones[order], both[order])
+        level[0].descend(0.0, 1.0)
+        for d in range(1, root):
+            up, _ = level[d - 1].find(level[d].nodes & _mask(d - 1, b))
+            level[d].descend(level[d - 1].offset[up], level[d - 1].slope[up])
+        top.append(level)
+    return top
+
+
+def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each key by the crc32 of the ``ROOT`` bytes before the coded one."""
+    ctx, back = np.unique(keys >> 8 & _mask(ROOT), return_inverse=True)
+    return np.array([zlib.crc32(int(c).to_bytes(ROOT, "big")) % shards for c in ctx], dtype=np.int64)[back]
+
+
+def _binary_keys(column: pa.ChunkedArray) -> np.ndarray:
+    """Keys of 8 big-endian bytes each as integers."""
+    col = column.combine_chunks().cast(pa.large_binary())
+    off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + len(col) + 1]
+    return np.frombuffer(col.buffers()[2], dtype=">i8", count=len(col), offset=int(off[0])).astype(np.int64)
+
+
+def weighed_shards(counts: DataFrame) -> tuple[DataFrame, int, list[dict[int, Level]]]:
+    """(one row a shard with its packed pairs, number of shards, the contexts above the roots)."""
+    pairs = counts.where("kind = 0").select("key", "n")
+    shards = max(1, -(-pairs.count() // SHARD_ENTRIES))
+    dealt = pairs.withColumn("shard", F.pmod(F.crc32(F.substring("key", 8 - ROOT, ROOT)), F.lit(shards)).cast("int"))
+
+    def run(table):
+        keys, n = _binary_keys(table["key"]), table["n"].to_numpy()
+        trees = Subtrees(keys, n)
+        cols = {c: [] for c in ("bit", "node", "explained", "ones", "both")}
+        for b, part in enumerate(trees.sums):
+            for c, v in zip(("node", "explained", "ones", "both"), part, strict=True):
+                cols[c].append(v)
+            cols["bit"].append(np.full(len(part[0]), b, dtype=np.int32))
+        out = {c: np.concatenate(v) for c, v in cols.items()}
+        size = len(out["bit"]) + 1
+        packed = [keys.astype("<i8").tobytes(), n.astype("<i8").tobytes()]
+        return pa.table({"shard": pa.array(np.full(size, table["shard"][0].as_py(), dtype=np.int32)),
+                         **{c: pa.array(np.append(v, -1).astype(v.dtype)) for c, v in out.items()},
+                         "keys": pa.array([None] * (size - 1) + packed[:1], pa.binary()),
+                         "counts": pa.array([None] * (size - 1) + packed[1:], pa.binary())})
+
+    rows = written(dealt.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(
+        run, "shard int, bit int, node long, explained double, ones long, both long, keys binary, counts binary"), "subtrees")
+    # one row for each bit position and context of ROOT - 1 bytes: bounded by the alphabet
+    sums = rows.where("bit >= 0").groupBy("bit", "node").agg(*[F.sum(c).alias(c) for c in ("explained", "ones", "both")]).orderBy("bit", "node").toArrow()
+    cols = [sums[c].to_numpy() for c in ("bit", "node", "explained", "ones", "both")]
+    top = weigh_top([tuple(c[cols[0] == b] for c in cols[1:]) for b in range(8)])
+    return rows.where("bit < 0").select("shard", "keys", "counts"), shards, top
+
+
+def _text_blocks(docs: DataFrame) -> DataFrame:
+    """(block, ids, ends, body), written: the rows in blocks of text."""
+    def run(batches):
+        part, serial = TaskContext.get().partitionId(), 0
+        ids, bodies, lens = [], [], []
 
+        def block():
+            return pa.RecordBatch.from_arrays([
+                pa.array([(part << 33) + serial]), pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64())),
+                pa.array([np.cumsum(np.concatenate(lens))], pa.list_(pa.int64())), pa.array([b"".join(bodies)], pa.binary())],
+                names=["block", "ids", "ends", "body"])
 
-def _score_rows(docs: DataFrame, tree: ContextTree, head: pa.Table) -> DataFrame:
+        for rows, raw, off in text_chunks(batches):
+            if bodies and (sum(map(len, bodies)) + len(raw) > BLOCK_BYTES or sum(map(len, ids)) + rows.num_rows > BLOCK_ROWS):
+                yield block()
+                serial += 1
+                ids, bodies, lens = [], [], []
+            ids.append(rows.column(rows.schema.get_field_index("doc_id")).cast(pa.int64()))
+            bodies.append(raw.tobytes())
+            lens.append(np.diff(off))
+        if bodies:
+            yield block()
+
+    return written(docs.select("doc_id", "text").mapInArrow(run, "block long, ids array<long>, ends array<long>, body binary"), "blocks")
+
+
+def _block_chunks(ends: pa.Scalar, body: pa.Scalar):
+    """(first row, bytes, offsets) of the chunks of a block."""
+    off = np.concatenate([[0], ends.values.to_numpy()])
+    raw = np.frombuffer(body.as_buffer(), dtype=np.uint8)
+    lo = 0
+    while lo < len(off) - 1:
+        hi = max(int(np.searchsorted(off, off[lo] + CHUNK_BYTES, "right")) - 1, lo + 1)
+        yield lo, raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+        lo = hi
+
+
+def _asked(ends: pa.Scalar, body: pa.Scalar, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys of a block, the order in which they are asked, the shard of each, in that order)."""
+    keys = np.unique(np.concatenate([np.unique(byte_keys(raw, off)[0]) for _, raw, off in _block_chunks(ends, body)])).astype(np.int64)
+    shard = _shard_of(keys, shards)
+    order = np.argsort(shard, kind="stable")
+    return keys, order, shard[order]
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Rising keys as differences, byte planes one after the other: nearly all high planes are zeros and compress."""
+    steps = np.diff(keys, prepend=0).astype("<i8")
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+
+
+def _answers(blocks: DataFrame, models: DataFrame, shards: int, top: list[dict[int, Level]]) -> DataFrame:
+    """(block, shard, bits): code lengths (float32) of the keys that a block asks of a shard."""
+    above = blocks.sparkSession.sparkContext.broadcast(pickle.dumps(top))  # bounded by the alphabet
+
+    def ask(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, ends, body = (batch.column(c)[i] for c in range(3))
+                keys, order, shard = _asked(ends, body, shards)
+                first = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(shard[first].astype(np.int32)), pa.array(np.full(len(first), block.as_py())),
+                    pa.array([_packed(k) for k in np.split(keys[order], first[1:])], pa.binary())], names=["shard", "block", "keys"])
+        return_memory()
+
+    def answer(batches):
+        contexts = pickle.loads(above.value)
+        at, trees = -1, None
+        for batch in batches:
+            for shard, block, keys, counts in zip(*[batch[c] for c in ("shard", "block", "keys", "counts")], strict=True):
+                if shard.as_py() != at:  # the shard's model comes first, where it has one
+                    at, none = shard.as_py(), np.zeros(0, np.int64)
+                    model = (none, none) if counts.as_py() is None else [np.frombuffer(c.as_buffer(), dtype="<i8") for c in (keys, counts)]
+                    trees = Subtrees(*model).descend(contexts)
+                if block.as_py() is not None:
+                    bits = trees.code_lengths(_unpacked(keys.as_py())).astype(np.float32)
+                    yield pa.RecordBatch.from_arrays([pa.array([block.as_py()]), pa.array([at], pa.int32()), pa.array([bits.tobytes()], pa.binary())],
+                                                     names=["block", "shard", "bits"])
+        return_memory()
+
+    asked = blocks.select("block", "ends", "body").mapInArrow(ask, "shard int, block long, keys binary")
+    rows = models.select("shard", F.lit(None).cast("long").alias("block"), "keys", "counts").unionByName(
+        asked.withColumn("counts", F.lit(None).cast("binary")))
+    return rows.repartition(2 * shards, "shard").sortWithinPartitions("shard", F.asc_nulls_first("block")).mapInArrow(answer, "block long, shard int, bits binary")
+
+
+def _score_rows(blocks: DataFrame, answers: DataFrame, shards: int, head: pa.Table) -> DataFrame:
     """Per row: code length, tokens, and its words: those in ``head`` summed, the others listed."""
-    spark = docs.sparkSession
-    kept = spark.sparkContext.broadcast(pickle.dumps({k: v for k, v in vars(tree).items()}))  # bounded by MODEL_ENTRIES
     names, values = head["key"].combine_chunks().cast(pa.large_binary()), head["log"].to_numpy()
-    schema = "rid long, doc_id long, bits double, n_bytes long, n_tokens long, head_known long, head_log double, tail array<binary>"
-
-    def run(batches):
-        model = ContextTree.__new__(ContextTree)
-        vars(model).update(pickle.loads(kept.value))
-        part, serial = TaskContext.get().partitionId(), 0
-        for rows, raw, off in text_chunks(batches):
-            n = rows.num_rows
-            keys, ptr = byte_keys(raw, off)
-            distinct, back = np.unique(keys, return_inverse=True)
-            run_bits = np.concatenate([[0.0], np.cumsum(model.code_lengths(distinct)[back])])
+    schema = "rid string, doc_id long, bits double, n_bytes long, n_tokens long, head_known long, head_log double, tail array<binary>"
+
+    def score(block, ids, ends, body, parts):
+        keys, order, _ = _asked(ends, body, shards)
+        cost = np.empty(len(keys))
+        cost[order] = np.concatenate([np.frombuffer(p, dtype=np.float32) for p in parts])
+        for lo, raw, off in _block_chunks(ends, body):
+            n = len(off) - 1
+            mine, ptr = byte_keys(raw, off)
+            mine, back = np.unique(mine, return_inverse=True)
+            run_bits = np.concatenate([[0.0], np.cumsum(cost[np.searchsorted(keys, mine.astype(np.int64))][back])])
             words = Words(raw, off, BLANK_WORD)
-            ids, found = words.distinct()
+            which, found = words.distinct()
             place = pc.index_in(found, value_set=names)
-            known = place.is_valid().to_numpy(zero_copy_only=False)[ids] if words.n else np.zeros(0, bool)
-            log = values[place.fill_null(0).to_numpy(zero_copy_only=False)][ids] if words.n and len(values) else np.zeros(words.n)
+            known = place.is_valid().to_numpy(zero_copy_only=False)[which] if words.n else np.zeros(0, bool)
+            log = values[place.fill_null(0).to_numpy(zero_copy_only=False)][which] if words.n and len(values) else np.zeros(words.n)
             run_log = np.concatenate([[0.0], np.cumsum(np.where(known, log, 0.0))])
             run_known = np.concatenate([[0], np.cumsum(known)])
             rare = np.flatnonzero(~known)
             tail = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, words.ptr).astype(np.int32)),
-                                            found.take(pa.array(ids[rare])).cast(pa.binary()) if len(rare) else pa.array([], pa.binary()))
+                                            found.take(pa.array(which[rare])).cast(pa.binary()) if len(rare) else pa.array([], pa.binary()))
             yield pa.RecordBatch.from_arrays([
-                pa.array((part << 40) + serial + np.arange(n)), rows.column(rows.schema.get_field_index("doc_id")),
+                pa.array([f"{block}.{i}" for i in range(lo, lo + n)]), ids.values.slice(lo, n),
                 pa.array(run_bits[ptr[1:]] - run_bits[ptr[:-1]]), pa.array(np.diff(ptr)), pa.array(np.diff(words.ptr).astype(np.int64) + 1),
                 pa.array(run_known[words.ptr[1:]] - run_known[words.ptr[:-1]]), pa.array(run_log[words.ptr[1:]] - run_log[words.ptr[:-1]]), tail],
                 names=["rid", "doc_id", "bits", "n_bytes", "n_tokens", "head_known", "head_log", "tail"])
-            serial += n
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
-
-
-def scoring_report(docs: DataFrame, most: int = MODEL_ENTRIES, head_words: int = HEAD_WORDS) -> DataFrame:
+    def run(batches):
+        parts = []
+        for batch in batches:
+            for block, shard, bits, ids, ends, body in zip(*[batch[c] for c in ("block", "shard", "bits", "ids", "ends", "body")], strict=True):
+                if shard.as_py() is not None:  # a block's answers come before its texts
+                    parts.append(bits.as_py())
+                else:
+                    yield from score(block.as_py(), ids, ends, body, parts)
+                    parts = []
+        return_memory()
+
+    spread = max(blocks.sparkSession.sparkContext.defaultParallelism, blocks.count() // 4)
+    empty = {"shard": "int", "bits": "binary", "ids": "array<long>", "ends": "array<long>", "body": "binary"}
+    rows = answers.unionByName(blocks, allowMissingColumns=True).select("block", *[F.col(c).cast(t) for c, t in empty.items()])
+    return rows.repartition(spread, "block").sortWithinPartitions("block", F.asc_nulls_last("shard")).mapInArrow(run, schema)
+
+
+def scoring_report(docs: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Learns from rows whose crc32 of the doc_id modulo 10 is not 0.  A null text is scored as
@@ -331,7 +507,12 @@ def scoring_report(docs: DataFrame, most: int = MODEL_ENTRIES, head_words: int =
     sizes = {r["p"]: r["c"] for r in words.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}
     head = words.where(F.col("n") >= 1 << _threshold(sizes, head_words)).toArrow()  # head_words at most
     head = head.append_column("log", pa.array(np.log10(head["n"].to_numpy().astype(float) + 0.1) - floor if head.num_rows else np.zeros(0)))
-    rows = written(_score_rows(docs, train(counts, most), head), "scored")
+    models, shards, top = weighed_shards(counts)
+    blocks = _text_blocks(docs)
+    answers = written(_answers(blocks, models, shards, top), "answers")
+    release(docs.sparkSession)  # the requests
+    rows = written(_score_rows(blocks, answers, shards, head), "scored")
+    release(docs.sparkSession)  # the texts
     tail = rows.select("rid", F.explode("tail").alias("key")).groupBy("rid", "key").agg(F.count(F.lit(1)).alias("uses"))
     seen = tail.join(words, "key", "left").groupBy("rid").agg(
         F.sum(F.when(F.col("n") > 0, F.col("uses")).otherwise(0)).alias("tail_known"),

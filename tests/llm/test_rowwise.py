@@ -1,6 +1,7 @@
 """Sharding, toxicity, language identification, encoding, fingerprints and scoring."""
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -341,12 +342,8 @@ def test_context_tree_weighting_is_exact():
     keys, ptr = ctw.byte_keys(text, np.array([0, len(text)]), 2)
     assert ptr.tolist() == [0, len(text) + 1]
     seen = [((int(k) >> 16) & 255, (int(k) >> 8) & 255, int(k) & 255) for k in keys]
-    table = {}
-    for older, newer, byte in seen:
-        for d, c in ((0, 0), (1, newer), (2, older << 8 | newer)):
-            table[(d, c, byte)] = table.get((d, c, byte), 0) + 1
-    cols = np.array([(*k, n) for k, n in table.items()])
-    tree = ctw.ContextTree(cols[:, 0], cols[:, 1], cols[:, 2], cols[:, 3], 2)
+    tree = ctw.Subtrees(*np.unique(keys, return_counts=True), root=1, depth=2)
+    tree.descend(ctw.weigh_top(tree.sums, root=1))
 
     def weighted(rows, prefix, k, depth, ctx):
         """P_w of the k-th bit decisions after ``prefix`` at the node (depth, ctx)."""
@@ -360,22 +357,88 @@ def test_context_tree_weighting_is_exact():
             below *= weighted(rows, prefix, k, depth + 1, (*ctx, c))
         return 0.5 * own + 0.5 * below
 
-    # a context that was met: all its windows are in the tree
     older, newer = seen[10][0], seen[10][1]
-    for byte in (97, 98, 99):
+    for row in [(older, newer, byte) for byte in (97, 98, 99, 100, 255)] + [(older, 65, 97), (65, newer, 97), (65, 66, 67)]:
         p = 1.0
         for k in range(8):
-            prefix, row = byte >> (8 - k), (older, newer, byte)
-            if not any(r[:2] == row[:2] and (r[2] >> (8 - k)) == prefix for r in seen):
-                break
+            prefix = row[2] >> (8 - k)
             p *= weighted([*seen, row], prefix, k, 0, ()) / weighted(seen, prefix, k, 0, ())
-        else:
-            got = 2.0 ** -tree.code_lengths(np.array([older << 16 | newer << 8 | byte]))[0]
-            assert abs(got - p) < 0.02 * p  # the leaf for contexts not met takes a half at each node
+        got = 2.0 ** -tree.code_lengths(np.array([row[0] << 16 | row[1] << 8 | row[2]]))[0]
+        assert abs(got - p) < 1e-9 * p
     for c in (older << 8 | newer, 0xFEFE, 0x4142):
         assert abs((2.0 ** -tree.code_lengths((np.int64(c) << 8) | np.arange(256))).sum() - 1) < 1e-5
 
 
+def _code_length(learned, text, depth=5):
+    """Bits of ``text`` after ``learned``: each bit costs log P_w(all with the bit) - log P_w(all) at the root."""
+    def decisions(t):
+        data = bytes([0xFE] * depth) + bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode()) + b"\xff"
+        for i in range(depth, len(data)):
+            for k in range(8):
+                yield [data[i - d:i] for d in range(depth + 1)], (k, data[i] >> (8 - k)), data[i] >> (7 - k) & 1
+
+    counts, below = {}, {}
+    for t in learned:
+        for contexts, bits, one in decisions(t):
+            for d, c in enumerate(contexts):
+                counts.setdefault((c, bits), [0, 0])[one] += 1
+                if d < depth:
+                    below.setdefault((c, bits), set()).add((contexts[d + 1], bits))
+
+    def kt(zeros, ones):
+        return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
+
+    known = {}
+
+    def weighted(node):
+        if node not in counts:
+            return 0.0
+        if node not in known:
+            own = kt(*counts[node])
+            known[node] = own if len(node[0]) == depth else np.logaddexp(own, sum(map(weighted, below[node]))) - math.log(2)
+        return known[node]
+
+    total = 0.0
+    for contexts, bits, one in decisions(text):
+        child_old = child_new = 0.0
+        for d in range(depth, -1, -1):
+            node = (contexts[d], bits)
+            now = list(counts.get(node, [0, 0]))
+            now[one] += 1
+            old = weighted(node)
+            if d == depth:
+                new = kt(*now)
+            else:
+                new = np.logaddexp(kt(*now), sum(map(weighted, below.get(node, ()))) - child_old + child_new) - math.log(2)
+            child_old, child_new = old, new
+        total -= (child_new - child_old) / math.log(2)
+    return total
+
+
+def test_scores_are_those_of_the_whole_tree(spark, monkeypatch):
+    """Many shards and blocks, every context of the corpus: the scores are the brute-force ones."""
+    monkeypatch.setattr(ctw, "SHARD_ENTRIES", 40)
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 120)
+    rng = np.random.default_rng(11)
+    vocabulary = ["tree", "Trees", "weight", "über", "a", "of", "mixing"]
+    rows = [(i, " ".join(rng.choice(vocabulary, int(rng.integers(1, 12))))) for i in range(40)]
+    rows += [(40, None), (41, ""), (42, rows[0][1]), (0, rows[0][1]), (43, "xyzzy 漢字 unseen"), (44, "mixing " * 60), (None, "Of a tree")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = ctw.scoring_report(docs).collect()
+    assert len(got) == len(rows) and any(r.held_out for r in got)
+    learned = [t for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
+    want = sorted((-1 if i is None else i, -_code_length(learned, t) * math.log10(2)) for i, t in rows)
+    have = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in got)
+    assert [h[0] for h in have] == [w[0] for w in want]
+    assert np.allclose([h[1] for h in have], [w[1] for w in want], rtol=1e-5, atol=1e-5)
+
+
+def test_nothing_learned_is_eight_bits_a_byte(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    row, = ctw.scoring_report(spark.createDataFrame([(held, "abc")], "doc_id long, text string")).collect()
+    assert row.held_out and row.train_tokens == 0 and abs(row.bits_per_byte - 8) < 1e-6
+
+
 def test_scoring_base_and_gain(spark, docs, rows, empty):
     import re
     lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
