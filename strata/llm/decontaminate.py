@@ -3,9 +3,9 @@
 1. ``build_index`` turns the documents into index segments, one per few megabytes
    of text, and writes them to the shared folder: a segment has its terms, their
    postings (word positions, ascending, documents kept apart by a gap) and its
-   documents.  Postings are kept for terms that some test item holds; no other
-   posting can take part in a match.  Segments are made and read without a shuffle.
-2. Corpus frequencies of the test terms are summed over all segments.
+   documents.  Every term is stored, so one index answers any test set.  Segments are
+   made and read without a shuffle.
+2. Corpus frequencies of a block's terms are summed over all segments.
 3. Test items are cut into windows.  Each window's terms are ordered from the
    rarest: the rarest term's postings, shifted by its offset in the window, are the
    candidates, and every further term's shifted list is intersected with them.
@@ -14,7 +14,8 @@
    occurrence of the window's rarest term.
 
 Test items are a stated query set; they are taken in blocks of a bounded number of
-words, each block a small broadcast to every segment.
+words (one item at least).  A block is sent to every segment, its matches are written,
+and it is freed before the next is fetched: the driver holds one block.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, Words, fresh, ranges, text_chunks, written
+from .common import ALNUM_WORD, Words, fresh, ranges, scratch, text_chunks, written
 
 WINDOW = 10
 WINDOW_GAP = 1 << 10  # positions between two documents; windows and slop are shorter
@@ -91,14 +92,21 @@ class Queries:
         return self
 
 
-def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
+def _packed(pos: np.ndarray) -> bytes:
+    """Postings as differences, byte planes one after the other: the high planes are nearly all equal and compress."""
+    return np.diff(pos.astype("<i4"), prepend=np.int32(0)).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i4").ravel(), dtype=np.int64)
+
+
+def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """Write the index segments of ``docs`` (doc_id, text) and return the written table.
 
-    ``vocabulary`` limits the stored postings to the terms that will be asked for;
-    without it every term is stored.  A null text has no words.
+    A null text has no words.  A text longer than ``segment_bytes`` is a segment of its own.
     """
-    values = None if vocabulary is None else pa.array(sorted(vocabulary), pa.large_binary())
-
     def run(batches):
         part = TaskContext.get().partitionId()
         serial = 0
@@ -107,10 +115,6 @@ def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, segment_b
             n_words = np.diff(words.ptr)
             ids, names = words.distinct()
             pos = np.arange(words.n) + np.repeat(np.arange(rows.num_rows) * WINDOW_GAP, n_words)
-            if values is not None and words.n:
-                wanted = pc.is_in(names, value_set=values).to_numpy(zero_copy_only=False)
-                hit = wanted[ids]
-                ids, pos = ids[hit], pos[hit]
             order = np.argsort(ids.astype(np.int32), kind="stable")
             ids, pos = ids[order], pos[order]
             have, counts = np.unique(ids, return_counts=True)
@@ -118,9 +122,9 @@ def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, segment_b
                 pa.array([part << 32 | serial], pa.int64()),
                 pa.array([rows.column(rows.schema.get_field_index("doc_id")).to_pylist()], pa.list_(pa.int64())),
                 pa.array([n_words], pa.list_(pa.int64())),
-                pa.array([names.take(pa.array(have)).to_pylist() if words.n else []], pa.list_(pa.binary())),
+                pa.ListArray.from_arrays(pa.array([0, len(have)], pa.int32()), names.take(pa.array(have)).cast(pa.binary()) if words.n else pa.array([], pa.binary())),
                 pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
-                pa.array([pos.astype(np.int32).tobytes()], pa.binary()),
+                pa.array([_packed(pos)], pa.binary()),
             ], names=["segment", "doc_id", "n_words", "terms", "counts", "postings"])
             serial += 1
 
@@ -130,21 +134,21 @@ def build_index(docs: DataFrame, vocabulary: set[bytes] | None = None, segment_b
 class Segment:
     """Postings of one segment for the terms of a query block."""
 
-    def __init__(self, row: dict, number: dict[bytes, int]):
-        self.n_words = np.asarray(row["n_words"], dtype=np.int64)
+    def __init__(self, row: dict, asked: pa.Array):
+        self.n_words = row["n_words"].values.to_numpy()
         self.doc_start = np.cumsum(self.n_words) - self.n_words + np.arange(len(self.n_words)) * WINDOW_GAP
-        counts = np.asarray(row["counts"], dtype=np.int64)
-        local = np.array([number.get(t, -1) for t in row["terms"]], dtype=np.int64)
-        pos = np.frombuffer(row["postings"], np.int32).astype(np.int64)
+        counts = row["counts"].values.to_numpy().astype(np.int64)
+        local = pc.index_in(row["terms"].values, value_set=asked).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        pos = _unpacked(row["postings"].as_py())
         begin = np.cumsum(counts) - counts
         keep = np.flatnonzero(local >= 0)
         keep = keep[np.argsort(local[keep])]
         take = ranges(begin[keep], counts[keep])
-        self.count = np.zeros(len(number), np.int64)
+        self.count = np.zeros(len(asked), np.int64)
         self.count[local[keep]] = counts[keep]
         self.begin = np.cumsum(self.count) - self.count
         self.pos = pos[take]
-        self.key = np.repeat(np.arange(len(number)), self.count) << 40 | self.pos  # ascending
+        self.key = np.repeat(np.arange(len(asked)), self.count) << 40 | self.pos  # ascending
 
     def candidates(self, q: Queries) -> tuple[np.ndarray, np.ndarray]:
         """(window, position) of each posting of each window's rarest term."""
@@ -209,13 +213,14 @@ def matches(index: DataFrame, queries: Queries, slop: int | None = None) -> Data
     ``kind`` is ``phrase`` (exact windows, adjacent ones joined) or, when ``slop`` is
     given, ``near``.
     """
-    number = {t: i for i, t in enumerate(queries.terms)}
+    asked = pa.array(queries.terms, pa.binary())
     item_ids = np.array(queries.item_ids, dtype=np.int64)
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                seg = Segment(row, number)
+            for i in range(batch.num_rows):
+                row = {c: batch[c][i] for c in batch.schema.names}
+                seg = Segment(row, asked)
                 out = []
                 if len(queries.item):
                     window, start = seg.phrases(queries)
@@ -227,10 +232,10 @@ def matches(index: DataFrame, queries: Queries, slop: int | None = None) -> Data
                     doc = seg.doc_of(lo if kind == "phrase" else (lo + hi - 1) // 2)
                     base = seg.doc_start[doc]
                     lo, hi = np.maximum(lo - base, 0), np.minimum(hi - base, seg.n_words[doc])
-                    ids = row["doc_id"]
+                    ids = row["doc_id"].values
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(item), row["segment"])), pa.array(doc.astype(np.int32)),
-                        pa.array([ids[d] for d in doc.tolist()], pa.int64()), pa.array(item_ids[item]),
+                        pa.array(np.full(len(item), row["segment"].as_py())), pa.array(doc.astype(np.int32)),
+                        ids.take(pa.array(doc)), pa.array(item_ids[item]),
                         pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array([kind] * len(item), pa.string()),
                     ], names=["segment", "doc", "doc_id", "item_id", "first", "end", "kind"])
 
@@ -253,14 +258,17 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
     """(index, match runs) of all test items over all documents."""
     if window >= WINDOW_GAP or (slop or 0) >= WINDOW_GAP // 2:
         raise ValueError("window and slop must be shorter than the gap between documents")
-    blocks = list(query_blocks(items, window))
-    vocabulary = {t for q in blocks for t in q.terms}
-    index = build_index(docs, vocabulary)
-    found = None
-    for q in blocks:
-        part = matches(index, q.rank(term_frequencies(index, q.terms)), slop)
-        found = part if found is None else found.unionByName(part)
-    return index, found
+    index = build_index(docs)
+    return index, search(index, items, window, slop)
+
+
+def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int | None = None) -> DataFrame:
+    """Match runs of all test items in a stored index: one block of items at a time, its matches written."""
+    path, found = scratch(index.sparkSession, "matches"), None
+    for q in query_blocks(items, window):
+        found = matches(index, q.rank(term_frequencies(index, q.terms)), slop)
+        found.write.mode("append").parquet(path)
+    return index.sparkSession.read.schema(found.schema).parquet(path)
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

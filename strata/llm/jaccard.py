@@ -359,6 +359,27 @@ def similar_links(table: DataFrame, t: Fraction = SIMILARITY) -> tuple[DataFrame
     return links, components(links)
 
 
+def similarity_join(docs: DataFrame, k: int = WORDS, t: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(members, links): the whole join, every link between different sets verified.
+
+    members has one row per row of ``docs``: doc_id, node (the name of its set; null for an empty
+    one), n_shingles, n_links (rows it is linked with: those of its own set and those of
+    linked sets).  links has one row per pair of linked sets: a, b.  Equal sets are one node, so copies
+    are not expanded; a group of n different texts that are all alike has n * (n - 1) / 2 links.
+    Where the groups alone are wanted, :func:`near_duplicates` verifies fewer pairs.
+    """
+    rows, table = join_table(docs, k, t)
+    prefixes = written(_prefix_rows(table), "prefixes")
+    alone = table.select("node", F.col("node").alias("comp")).where(F.lit(False))  # no pair is settled beforehand
+    links = written(_verify(_other_pairs(prefixes, alone, t), table, t), "links")
+    copies = rows.where("n_shingles > 0").groupBy("node").agg(F.count(F.lit(1)).alias("copies"))
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = ends.join(copies, F.col("b") == F.col("node")).groupBy("a").agg(F.sum("copies").alias("linked"))
+    total = copies.join(linked, F.col("node") == F.col("a"), "left").select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    members = rows.withColumn("node", F.when(F.col("n_shingles") > 0, F.col("node"))).join(total, "node", "left")
+    return members.select("doc_id", "node", "n_shingles", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), links
+
+
 def _groups(docs: DataFrame, k: int, t: Fraction) -> DataFrame:
     """(doc_id, tx, node, n_shingles, comp, component_id) of every row; comp is null for empty sets."""
     rows, table = join_table(docs, k, t)

@@ -70,6 +70,22 @@ def test_near_duplicates(docs, rows, block, monkeypatch):
     assert got == want and len(set(group)) < len(rows) - 20
 
 
+@pytest.mark.parametrize("block", [256, 4])
+def test_similarity_join_has_every_link(docs, rows, empty, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    sets, _ = brute_groups(rows)
+    alike = lambda x, y: bool(x and y) and 100 * len(x & y) >= 75 * len(x | y)
+    want = sorted(((r[0], len(s), sum(alike(s, o) for o in sets) - bool(s)) for r, s in zip(rows, sets, strict=True)), key=str)
+    members, links = jaccard.similarity_join(docs)
+    got = members.collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=str) == want
+    different = list({frozenset(s) for s in sets if s})
+    assert links.count() == links.distinct().count() == sum(alike(x, y) for i, x in enumerate(different) for y in different[:i])
+    assert {r.node for r in got if r.n_shingles == 0} <= {None}
+    members, links = jaccard.similarity_join(empty)
+    assert members.count() == links.count() == 0
+
+
 def test_keep_one(docs, rows, empty):
     sets, group = brute_groups(rows)
     got = jaccard.keep_one(docs.unionByName(docs.limit(0)))
@@ -222,6 +238,17 @@ def test_contamination(spark, docs, rows, empty, monkeypatch):
     assert decontaminate.contamination_report(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_one_index_answers_any_test_set(spark, docs, rows):
+    index = decontaminate.build_index(docs)
+    for take in (rows[40][1], rows[60][1]):
+        items = [(1, take), (2, "not there at all in any document of this small corpus")]
+        found = decontaminate.search(index, spark.createDataFrame(items, "item_id long, text string"))
+        want = {x[0] for x in brute_hits(rows, items) if x[-1]}
+        assert want and {r.doc_id for r in found.collect()} == want
+    pos = np.array([0, 3, 70000, 5, 6, 2**31 - 1, 1])
+    assert decontaminate._unpacked(decontaminate._packed(pos)).tolist() == pos.tolist()
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "one two x three four"), (2, "four three two one"), (3, "one two three"), (4, "one two three " + "x " * 9 + "four")], "doc_id long, text string")
     items = spark.createDataFrame([(9, "one two three four")], "item_id long, text string")
