@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import chat, ctw, decontaminate, encode, fingerprint, hamming, jaccard, langid, repeats, sharding, spelling, toxicity, whitening
+from . import chat, ctw, decontaminate, encode, fingerprint, hamming, jaccard, langid, oracles, repeats, sharding, spelling, toxicity, whitening
 
 SHARDS = 40
 
@@ -74,6 +74,10 @@ QUERIES = {f.__name__: f for f in (
     op6_chunk_fingerprints, op7_toxicity, op8_jaccard_multi_order, op9_suffix_radix_dedup, op10_segmentation_langid,
     op11_refined_whitening, op12_bk_tree_simhash, op13_bloom_spelling)}
 
-# None of them can be written as one SQL statement with equal results: their hashes, models
+# The others cannot be written as one SQL statement with equal results: their hashes, models
 # and iterations are not SQL.  tests/llm holds brute-force versions.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_positional_index": oracles.CONTAMINATION,
+    "op8_jaccard_multi_order": oracles.NEAR_DUPLICATES,
+    "op9_suffix_radix_dedup": oracles.REPEATS,
+}
