@@ -49,7 +49,7 @@ from .toxicity import held_out
 
 DEPTH = 5
 ROOT = 2                    # contexts of so many bytes are the roots of the subtrees dealt to shards
-SHARD_ENTRIES = 1 << 17     # (context, byte) pairs of a shard, on average
+SHARD_ENTRIES = 1 << 16     # (context, byte) pairs of a shard, on average
 BLOCK_BYTES = 4 << 20       # text bytes of a block (one text at least)
 BLOCK_ROWS = 1 << 16
 HEAD_WORDS = 1 << 17
@@ -57,6 +57,15 @@ _START, _END = 0xFE, 0xFF   # bytes that no UTF-8 text holds
 _HALF = 1 << 20             # distinct keys that a task gathers before it sends them on
 
 
+def _mask(n_bytes: int, bits: int = 0) -> int:
+    return (1 << (8 * n_bytes + bits)) - 1
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
 def byte_keys(raw: np.ndarray, off: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """(keys, pointers): for each byte and the end mark of each text its ``depth`` bytes before and itself.
 
@@ -64,15 +73,19 @@ def byte_keys(raw: np.ndarray, off: np.ndarray, depth: int = DEPTH) -> tuple[np.
     """
     n = len(off) - 1
     gap = depth + 1                                  # start marks before, one end mark after
-    buf = np.full(len(raw) + n * gap, _START, dtype=np.uint64)
+    buf = np.full(len(raw) + n * gap, _START, dtype=np.uint8)
     shift = np.arange(n) * gap
     lens = np.diff(off)
     at = np.arange(len(raw)) + np.repeat(shift + depth, lens)
     buf[at] = LOWER[raw]
     buf[off[1:] + shift + depth] = _END
-    key = np.zeros(len(buf) - depth if n else 0, dtype=np.uint64)
-    for k in range(depth + 1):
-        key = key << np.uint64(8) | buf[k:k + len(key)]
+    key, have = buf.astype(np.uint64), 1
+    while have < gap and n:                          # bytes side by side: 1, 2, 4, ...
+        step = min(have, gap - have)
+        low = key[step:] if step == have else key[step:] & np.uint64(_mask(step))
+        key = key[:-step] << np.uint64(8 * step)
+        key |= low
+        have += step
     keep = np.ones(len(key), dtype=bool)             # windows that end on a start mark code nothing
     if n > 1:
         keep[np.repeat(off[1:-1] + np.arange(1, n) * gap, depth) - np.tile(np.arange(1, depth + 1), n - 1)] = False
@@ -129,6 +142,8 @@ def count_corpus(docs: DataFrame) -> DataFrame:
             yield from send_keys()
         if words:
             yield from send_words()
+        keys, counts, words = [], [], []
+        return_memory()
         yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([b""], pa.binary()), pa.array([seen])], names=["kind", "key", "n"])
 
     rows = docs.select("text").mapInArrow(run, "kind int, key binary, n long")
@@ -183,10 +198,6 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _mask(n_bytes: int, bits: int = 0) -> int:
-    return (1 << (8 * n_bytes + bits)) - 1
-
-
 class Level:
     """The nodes of one depth for one bit position: name (context, then the bits so far) and counts.
 
@@ -208,6 +219,7 @@ class Level:
 
     def descend(self, offset: np.ndarray | float, slope: np.ndarray | float) -> None:
         self.offset, self.slope = offset + slope * self.share * self.kt, slope * (1 - self.share)
+        del self.ones, self.both, self.kt, self.share  # no longer needed
 
     def find(self, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, whether it is there) of the names."""
@@ -308,10 +320,10 @@ def weigh_top(sums: list[tuple[np.ndarray, ...]], root: int = ROOT) -> list[dict
     return top
 
 
-def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of each key by the crc32 of the ``ROOT`` bytes before the coded one."""
-    ctx, back = np.unique(keys >> 8 & _mask(ROOT), return_inverse=True)
-    return np.array([zlib.crc32(int(c).to_bytes(ROOT, "big")) % shards for c in ctx], dtype=np.int64)[back]
+def _shard_table(shards: int) -> np.ndarray:
+    """Shard of each context of ``ROOT`` bytes, by its crc32."""
+    table = np.array([zlib.crc32(c.to_bytes(ROOT, "big")) % shards for c in range(1 << (8 * ROOT))])
+    return table.astype(np.uint16 if shards <= 1 << 16 else np.int64)
 
 
 def _binary_keys(column: pa.ChunkedArray) -> np.ndarray:
@@ -353,7 +365,7 @@ def weighed_shards(counts: DataFrame) -> tuple[DataFrame, int, list[dict[int, Le
 
 
 def _text_blocks(docs: DataFrame) -> DataFrame:
-    """(block, ids, ends, body), written: the rows in blocks of text."""
+    """(block, ids, ends, body), written: the rows in blocks of text, compressed (they are shuffled once)."""
     def run(batches):
         part, serial = TaskContext.get().partitionId(), 0
         ids, bodies, lens = [], [], []
@@ -361,7 +373,7 @@ def _text_blocks(docs: DataFrame) -> DataFrame:
         def block():
             return pa.RecordBatch.from_arrays([
                 pa.array([(part << 33) + serial]), pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64())),
-                pa.array([np.cumsum(np.concatenate(lens))], pa.list_(pa.int64())), pa.array([b"".join(bodies)], pa.binary())],
+                pa.array([np.cumsum(np.concatenate(lens))], pa.list_(pa.int64())), pa.array([pa.compress(b"".join(bodies), "zstd", asbytes=True)], pa.binary())],
                 names=["block", "ids", "ends", "body"])
 
         for rows, raw, off in text_chunks(batches):
@@ -381,7 +393,7 @@ def _text_blocks(docs: DataFrame) -> DataFrame:
 def _block_chunks(ends: pa.Scalar, body: pa.Scalar):
     """(first row, bytes, offsets) of the chunks of a block."""
     off = np.concatenate([[0], ends.values.to_numpy()])
-    raw = np.frombuffer(body.as_buffer(), dtype=np.uint8)
+    raw = np.frombuffer(pa.decompress(body.as_buffer(), int(off[-1]), "zstd") if off[-1] else b"", dtype=np.uint8)
     lo = 0
     while lo < len(off) - 1:
         hi = max(int(np.searchsorted(off, off[lo] + CHUNK_BYTES, "right")) - 1, lo + 1)
@@ -389,10 +401,26 @@ def _block_chunks(ends: pa.Scalar, body: pa.Scalar):
         lo = hi
 
 
-def _asked(ends: pa.Scalar, body: pa.Scalar, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _slices(keys: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(distinct keys, place in the slice, which distinct key is there) of slices of 2^16 keys.
+
+    A key has 48 bits, so it is sorted together with its place as one number."""
+    out = []
+    for a in range(0, len(keys), 1 << 16):
+        both = keys[a:a + (1 << 16)] << np.uint64(16)
+        both |= np.arange(len(both), dtype=np.uint64)
+        both.sort()
+        key = both >> np.uint64(16)
+        new = np.ones(len(key), dtype=bool)
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        out.append((key[new].astype(np.int64), both.astype(np.uint16), (np.cumsum(new) - 1).astype(np.uint16)))
+    return out
+
+
+def _asked(found: list[np.ndarray], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys of a block, the order in which they are asked, the shard of each, in that order)."""
-    keys = np.unique(np.concatenate([np.unique(byte_keys(raw, off)[0]) for _, raw, off in _block_chunks(ends, body)])).astype(np.int64)
-    shard = _shard_of(keys, shards)
+    keys = _distinct(np.concatenate(found))
+    shard = table[keys >> 8 & _mask(ROOT)]
     order = np.argsort(shard, kind="stable")
     return keys, order, shard[order]
 
@@ -413,15 +441,16 @@ def _answers(blocks: DataFrame, models: DataFrame, shards: int, top: list[dict[i
     above = blocks.sparkSession.sparkContext.broadcast(pickle.dumps(top))  # bounded by the alphabet
 
     def ask(batches):
+        table = _shard_table(shards)
         for batch in batches:
             for i in range(batch.num_rows):
                 block, ends, body = (batch.column(c)[i] for c in range(3))
-                keys, order, shard = _asked(ends, body, shards)
+                keys, order, shard = _asked([_distinct(byte_keys(raw, off)[0]).astype(np.int64) for _, raw, off in _block_chunks(ends, body)], table)
                 first = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(shard[first].astype(np.int32)), pa.array(np.full(len(first), block.as_py())),
                     pa.array([_packed(k) for k in np.split(keys[order], first[1:])], pa.binary())], names=["shard", "block", "keys"])
-        return_memory()
+                return_memory()
 
     def answer(batches):
         contexts = pickle.loads(above.value)
@@ -429,6 +458,8 @@ def _answers(blocks: DataFrame, models: DataFrame, shards: int, top: list[dict[i
         for batch in batches:
             for shard, block, keys, counts in zip(*[batch[c] for c in ("shard", "block", "keys", "counts")], strict=True):
                 if shard.as_py() != at:  # the shard's model comes first, where it has one
+                    trees = None
+                    return_memory()
                     at, none = shard.as_py(), np.zeros(0, np.int64)
                     model = (none, none) if counts.as_py() is None else [np.frombuffer(c.as_buffer(), dtype="<i8") for c in (keys, counts)]
                     trees = Subtrees(*model).descend(contexts)
@@ -449,15 +480,22 @@ def _score_rows(blocks: DataFrame, answers: DataFrame, shards: int, head: pa.Tab
     names, values = head["key"].combine_chunks().cast(pa.large_binary()), head["log"].to_numpy()
     schema = "rid string, doc_id long, bits double, n_bytes long, n_tokens long, head_known long, head_log double, tail array<binary>"
 
-    def score(block, ids, ends, body, parts):
-        keys, order, _ = _asked(ends, body, shards)
+    def score(block, ids, ends, body, parts, table):
+        chunks = []
+        for lo, raw, off in _block_chunks(ends, body):
+            mine, ptr = byte_keys(raw, off)
+            chunks.append((lo, raw, off, ptr, _slices(mine)))
+        keys, order, _ = _asked([distinct for *_, slices in chunks for distinct, _, _ in slices], table)
         cost = np.empty(len(keys))
         cost[order] = np.concatenate([np.frombuffer(p, dtype=np.float32) for p in parts])
-        for lo, raw, off in _block_chunks(ends, body):
+        while chunks:
+            lo, raw, off, ptr, slices = chunks.pop(0)
             n = len(off) - 1
-            mine, ptr = byte_keys(raw, off)
-            mine, back = np.unique(mine, return_inverse=True)
-            run_bits = np.concatenate([[0.0], np.cumsum(cost[np.searchsorted(keys, mine.astype(np.int64))][back])])
+            bits = np.empty(ptr[-1])
+            for i, (distinct, place, which) in enumerate(slices):
+                bits[i << 16:][place] = cost[np.searchsorted(keys, distinct)][which]
+            run_bits = np.concatenate([[0.0], np.cumsum(bits)])
+            del bits, slices
             words = Words(raw, off, BLANK_WORD)
             which, found = words.distinct()
             place = pc.index_in(found, value_set=names)
@@ -475,15 +513,15 @@ def _score_rows(blocks: DataFrame, answers: DataFrame, shards: int, head: pa.Tab
                 names=["rid", "doc_id", "bits", "n_bytes", "n_tokens", "head_known", "head_log", "tail"])
 
     def run(batches):
-        parts = []
+        parts, table = [], _shard_table(shards)
         for batch in batches:
             for block, shard, bits, ids, ends, body in zip(*[batch[c] for c in ("block", "shard", "bits", "ids", "ends", "body")], strict=True):
                 if shard.as_py() is not None:  # a block's answers come before its texts
                     parts.append(bits.as_py())
                 else:
-                    yield from score(block.as_py(), ids, ends, body, parts)
+                    yield from score(block.as_py(), ids, ends, body, parts, table)
                     parts = []
-        return_memory()
+                    return_memory()
 
     spread = max(blocks.sparkSession.sparkContext.defaultParallelism, blocks.count() // 4)
     empty = {"shard": "int", "bits": "binary", "ids": "array<long>", "ends": "array<long>", "body": "binary"}
