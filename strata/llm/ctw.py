@@ -126,7 +126,7 @@ def count_corpus(docs: DataFrame) -> DataFrame:
             keys.append(k)
             counts.append(c)
             size += len(k)
-            if size > _HALF:
+            if size > 2 * _HALF:  # not with every chunk: sorting is what costs
                 k, c = _summed(keys, counts)
                 keys, counts, size = [k], [c], len(k)
                 if size > _HALF:  # they no longer shrink: send them

@@ -264,11 +264,18 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
 
 def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int | None = None) -> DataFrame:
     """Match runs of all test items in a stored index: one block of items at a time, its matches written."""
-    path, found = scratch(index.sparkSession, "matches"), None
-    for q in query_blocks(items, window):
-        found = matches(index, q.rank(term_frequencies(index, q.terms)), slop)
-        found.write.mode("append").parquet(path)
-    return index.sparkSession.read.schema(found.schema).parquet(path)
+    spark = index.sparkSession
+    path, found = scratch(spark, "matches"), None
+    batched = "spark.sql.parquet.enableNestedColumnVectorizedReader"
+    before = spark.conf.get(batched)
+    spark.conf.set(batched, "false")  # a segment is a row of a megabyte: one at a time, not thousands as one batch
+    try:
+        for q in query_blocks(items, window):
+            found = matches(index, q.rank(term_frequencies(index, q.terms)), slop)
+            found.write.mode("append").parquet(path)
+    finally:
+        spark.conf.set(batched, before)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
