@@ -22,7 +22,7 @@ from pyspark.sql.types import DataType
 from ..session import shared_dir
 
 CHUNK_BYTES = 1 << 20  # text bytes handled at once inside a task
-ARROW_BYTES = 8 << 20  # bytes of rows handed to a task at once (one row at least)
+ARROW_BYTES = 2 << 20  # bytes of rows handed to a task at once (one row at least)
 
 # Upper-case ASCII to lower case, every other byte unchanged.
 LOWER = np.arange(256, dtype=np.uint8)

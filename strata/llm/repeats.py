@@ -38,7 +38,7 @@ from .common import BYTE_MIX, fresh, mix64, powers, ranges, release, text_chunks
 
 THRESHOLD = 100
 GRAM = 48
-SEGMENT_BYTES = 1 << 20  # windows of a longer text are taken in pieces of this size
+SEGMENT_BYTES = 1 << 18  # text bytes hashed at once, a hundred times as many in memory; longer texts go in pieces
 _INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 _inverse_powers = np.ones(1, dtype=np.uint64)
