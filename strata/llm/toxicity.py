@@ -12,6 +12,7 @@ weights.  Scoring is one pass over the texts without a shuffle; the model is a
 
 The classifier is fitted on a bounded sample of labelled rows: at most about
 ``max_per_class`` documents of either label, chosen by a hash of the doc_id.
+Spark counts the sample's features; the driver gets those that speak for a label.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, BYTE_MIX, Words, add_text_columns, fresh, mix64, powers, text_chunks
+from .common import ALNUM_WORD, BYTE_MIX, Words, add_text_columns, fresh, mix64, powers, return_memory, text_chunks, written
 
 FEATURE_BITS = 20
 PREFIXES = (4, 5, 6)
+EVIDENCE = 10.0  # likelihood ratio statistic above which a feature gets a weight
 _END = np.zeros(256, dtype=bool)
 _END[[ord("."), ord("!"), ord("?"), ord("\n")]] = True
 
@@ -96,29 +98,33 @@ def _log_ratio(pos: np.ndarray, neg: np.ndarray, n_pos: float, n_neg: float) ->
 
 
 def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 800, rate: float = 0.1,
-        decay: float = 1e-5, evidence: float = 10.0, bias: float = -9.0,
-        neg_weight: float = 1.0) -> ToxicityModel:
+        decay: float = 1e-5, evidence: float | None = EVIDENCE, bias: float = -9.0,
+        neg_weight: float = 1.0, counts: np.ndarray | None = None) -> ToxicityModel:
     """Full-batch Adam on the noisy-or likelihood.
 
     ``bags``: (label, feature ids, sentence index of each feature inside the document).
     Only features over-represented in toxic documents, by a likelihood ratio
-    statistic above ``evidence``, get a weight; the rest keep 0.  ``neg_weight``:
-    how many clean documents one sampled clean document stands for.
+    statistic above ``evidence``, get a weight; the rest keep 0.  With ``evidence``
+    None the bags hold such features only, and ``counts`` has the sentences of each
+    bag (else: up to its last feature).  ``neg_weight``: how many clean documents one
+    sampled clean document stands for.
     """
     size = 1 << FEATURE_BITS
-    weights = np.zeros(size)
+    weights = np.zeros(size, dtype=np.float32)
     if not bags:
-        return ToxicityModel(weights.astype(np.float32), bias)
+        return ToxicityModel(weights, bias)
     y = np.array([b[0] for b in bags], dtype=float)
-    seen = np.zeros((2, size))
-    for label, ids, _ in bags:
-        seen[int(label == 1)][np.unique(ids)] += 1
-    use_feature = _log_ratio(seen[1], seen[0], y.sum(), (1 - y).sum()) > evidence
-    counts = np.array([int(b[2].max()) + 1 if len(b[2]) else 0 for b in bags])
+    if counts is None:
+        counts = np.array([int(b[2].max()) + 1 if len(b[2]) else 0 for b in bags])
     ptr = np.concatenate([[0], np.cumsum(counts)])
     ids = np.concatenate([b[1] for b in bags]).astype(np.int64)
     sent = np.concatenate([b[2] + p for b, p in zip(bags, ptr, strict=False)]).astype(np.int64)
-    ids, sent = ids[use_feature[ids]], sent[use_feature[ids]]
+    if evidence is not None:
+        seen = np.zeros((2, size))
+        for label, own, _ in bags:
+            seen[int(label == 1)][np.unique(own)] += 1
+        use_feature = _log_ratio(seen[1], seen[0], y.sum(), (1 - y).sum()) > evidence
+        ids, sent = ids[use_feature[ids]], sent[use_feature[ids]]
     both = np.unique(sent << FEATURE_BITS | ids)  # a feature counts once in a sentence
     ids, sent = both & (size - 1), both >> FEATURE_BITS
     known, ids = np.unique(ids, return_inverse=True)
@@ -139,7 +145,23 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 800, rate:
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-7)
     weights[known] = w[:-1]
-    return ToxicityModel(weights.astype(np.float32), float(w[-1]))
+    return ToxicityModel(weights, float(w[-1]))
+
+
+def _evident(sample: DataFrame, evidence: float) -> np.ndarray:
+    """Features with a statistic above ``evidence``, counted over the sample's documents, ascending."""
+    sums = sample.agg(F.sum("toxic"), F.count(F.lit(1))).first()
+    n_pos = float(sums[0] or 0)
+    n_neg = float(sums[1]) - n_pos
+    counts = (sample.select((F.col("toxic") == 1).cast("long").alias("hit"), F.explode("features").alias("feature"))
+              .groupBy("feature").agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg")))
+
+    def choose(batches):
+        for rows in batches:
+            pos, neg = (rows.column(rows.schema.get_field_index(c)).to_numpy().astype(float) for c in ("pos", "neg"))
+            yield rows.select(["feature"]).filter(pa.array(_log_ratio(pos, neg, n_pos, n_neg) > evidence))
+
+    return np.sort(counts.mapInArrow(choose, "feature int").toArrow().column("feature").to_numpy())
 
 
 def train(docs: DataFrame, labels: DataFrame, max_per_class: int = 2500) -> ToxicityModel:
@@ -147,7 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = 2500) -> Toxi
 
     ``labels`` has (doc_id, toxic); rows with a null in either are left out, repeated
     labels of one doc_id count as their maximum.  Texts are turned into hashed
-    features on the executors; the driver gets those of the sample only.
+    features on the executors and counted there; of the sample's sentences the driver
+    gets the features with a weight only, once each.
     """
     lab = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in lab.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -166,16 +189,42 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = 2500) -> Toxi
             order = np.argsort(sent, kind="stable")
             sent, ids = sent[order], ids[order]
             cut = np.searchsorted(sent, bags.ptr)
+            own = [np.unique(ids[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in own])])
             yield pa.RecordBatch.from_arrays([
                 rows.column(rows.schema.get_field_index("toxic")),
+                pa.array(np.diff(bags.ptr).astype(np.int32)),
                 pa.array([ids[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
                 pa.array([(sent[a:b] - s).astype(np.int32).tobytes() for a, b, s in zip(cut[:-1], cut[1:], bags.ptr, strict=False)], pa.binary()),
-            ], names=["toxic", "ids", "sent"])
-
-    rows = sample.mapInArrow(featurise, "toxic int, ids binary, sent binary").collect()
-    rows.sort(key=lambda r: (r["toxic"], bytes(r["ids"])))  # the same model whatever order the tasks end in
-    return fit([(r["toxic"], np.frombuffer(r["ids"], np.int32), np.frombuffer(r["sent"], np.int32)) for r in rows],
-               neg_weight=max(1.0, sizes.get(0, 0) / max_per_class))
+                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(own).astype(np.int32))),
+            ], names=["toxic", "sentences", "ids", "sent", "features"])
+
+    sample = written(sample.mapInArrow(featurise, "toxic int, sentences int, ids binary, sent binary, features array<int>"), "toxicity-sample")
+    weighted = _evident(sample, EVIDENCE)
+
+    def thin(batches):
+        use = np.zeros(1 << FEATURE_BITS, dtype=bool)
+        use[weighted] = True
+        for rows in batches:
+            kept = []
+            for ids, sent in zip(*(rows.column(rows.schema.get_field_index(c)).to_pylist() for c in ("ids", "sent")), strict=True):
+                ids, sent = np.frombuffer(ids, np.int32), np.frombuffer(sent, np.int32)
+                hit = use[ids]
+                both = np.unique(sent[hit].astype(np.int64) << FEATURE_BITS | ids[hit])
+                kept.append(((both & ((1 << FEATURE_BITS) - 1)).astype(np.int32).tobytes(), (both >> FEATURE_BITS).astype(np.int32).tobytes()))
+            yield pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in ("toxic", "sentences")),
+                                              *(pa.array(list(x), pa.binary()) for x in zip(*kept, strict=True))],
+                                             names=["toxic", "sentences", "ids", "sent"])
+
+    # sorted: the same model whatever order the tasks end in
+    rows = (sample.select("toxic", "sentences", "ids", "sent").orderBy("toxic", "ids", "sent")
+            .mapInArrow(thin, "toxic int, sentences int, ids binary, sent binary").toArrow())
+    bags = [(toxic.as_py(), *(np.frombuffer(x.as_buffer(), np.int32) for x in both))
+            for toxic, *both in zip(*(rows.column(c) for c in ("toxic", "ids", "sent")), strict=True)]
+    model = fit(bags, evidence=None, counts=rows.column("sentences").to_numpy(), neg_weight=max(1.0, sizes.get(0, 0) / max_per_class))
+    del rows, bags
+    return_memory()
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None, spans: bool = False) -> DataFrame:
