@@ -216,8 +216,9 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = 2500) -> Toxi
                                               *(pa.array(list(x), pa.binary()) for x in zip(*kept, strict=True))],
                                              names=["toxic", "sentences", "ids", "sent"])
 
-    # sorted: the same model whatever order the tasks end in
-    rows = (sample.select("toxic", "sentences", "ids", "sent").orderBy("toxic", "ids", "sent")
+    # sorted: the same model whatever order the tasks end in; ranges of a short prefix, as the driver samples their keys
+    rows = (sample.select("toxic", "sentences", "ids", "sent")
+            .repartitionByRange("toxic", F.substring("ids", 1, 32)).sortWithinPartitions("toxic", "ids", "sent")
             .mapInArrow(thin, "toxic int, sentences int, ids binary, sent binary").toArrow())
     bags = [(toxic.as_py(), *(np.frombuffer(x.as_buffer(), np.int32) for x in both))
             for toxic, *both in zip(*(rows.column(c) for c in ("toxic", "ids", "sent")), strict=True)]
