@@ -92,23 +92,41 @@ def byte_keys(raw: np.ndarray, off: np.ndarray, depth: int = DEPTH) -> tuple[np.
     return key[keep], off + np.arange(n + 1)
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k)
-    k, c = k[order], c[order]
-    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
-    return k[first], np.add.reduceat(c, first) if len(first) else c
+def _paired(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Keys of 48 bits and their counts, one number each that sorts by key; a count of more than 16 bits takes several."""
+    most = _mask(2)
+    times = -(-counts // most)
+    if len(times) and times.max() > 1:
+        ends = np.cumsum(times) - 1
+        split = np.full(ends[-1] + 1, most, dtype=np.int64)
+        split[ends] = counts - (times - 1) * most
+        keys, counts = np.repeat(keys, times), split
+    both = keys << np.uint64(16)
+    both |= counts.astype(np.uint64)
+    return both
+
+
+def _summed(pairs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, in order, and their counts; takes the pairs out of the list."""
+    both = np.concatenate(pairs)
+    pairs.clear()
+    both.sort()
+    counts = both.astype(np.uint16)
+    both >>= np.uint64(16)
+    new = np.ones(len(both), dtype=bool)
+    np.not_equal(both[1:], both[:-1], out=new[1:])
+    both = both[new]
+    return both, np.add.reduceat(counts, np.flatnonzero(new), dtype=np.int64)
 
 
 def count_corpus(docs: DataFrame) -> DataFrame:
     """(kind, key, n), written: kind 0 has byte keys (8 bytes), kind 1 words, kind 2 the number of texts."""
     def run(batches):
-        keys, counts, size = [], [], 0
+        pairs: list[np.ndarray] = []
         words: list[pa.Table] = []
         seen = 0
 
-        def send_keys():
-            k, c = _summed(keys, counts)
+        def send_keys(k, c):
             for a in range(0, len(k), 1 << 16):
                 part = k[a:a + (1 << 16)].astype(">u8")
                 packed = pa.Array.from_buffers(pa.binary(8), len(part), [None, pa.py_buffer(part.tobytes())]).cast(pa.binary())
@@ -121,32 +139,31 @@ def count_corpus(docs: DataFrame) -> DataFrame:
                                                   b.column(b.schema.get_field_index("n_sum"))], names=["kind", "key", "n"])
 
         for rows, raw, off in text_chunks(batches):
-            k, _ = byte_keys(raw, off)
-            k, c = np.unique(k, return_counts=True)
-            keys.append(k)
-            counts.append(c)
-            size += len(k)
-            if size > 2 * _HALF:  # not with every chunk: sorting is what costs
-                k, c = _summed(keys, counts)
-                keys, counts, size = [k], [c], len(k)
-                if size > _HALF:  # they no longer shrink: send them
-                    yield from send_keys()
-                    keys, counts, size = [], [], 0
+            pairs.append(_paired(*np.unique(byte_keys(raw, off)[0], return_counts=True)))
+            if sum(map(len, pairs)) > 2 * _HALF:  # not with every chunk: sorting is what costs
+                k, c = _summed(pairs)
+                if len(k) > _HALF:  # they no longer shrink: send them
+                    yield from send_keys(k, c)
+                    return_memory()
+                else:
+                    pairs.append(_paired(k, c))
+                del k, c
             v = Words(raw, off, BLANK_WORD).array().value_counts()
             words.append(pa.table({"key": v.field(0), "n": v.field(1)}))
             if sum(t.num_rows for t in words) > _HALF // 2:
                 yield from send_words()
                 words = []
             seen += rows.num_rows
-        if keys:
-            yield from send_keys()
+        if pairs:
+            yield from send_keys(*_summed(pairs))
         if words:
             yield from send_words()
-        keys, counts, words = [], [], []
+        words = []
         return_memory()
         yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([b""], pa.binary()), pa.array([seen])], names=["kind", "key", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "kind int, key binary, n long")
+    # the tasks have summed theirs: dealt first, so that Spark doesn't hold a task's keys once more to sum them again
+    rows = docs.select("text").mapInArrow(run, "kind int, key binary, n long").repartition("kind", "key")
     table = written(rows.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     release(docs.sparkSession)
     return table

@@ -2,9 +2,12 @@
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -433,6 +436,46 @@ def test_scores_are_those_of_the_whole_tree(spark, monkeypatch):
     assert np.allclose([h[1] for h in have], [w[1] for w in want], rtol=1e-5, atol=1e-5)
 
 
+def test_counting_holds_few_bytes_for_each_key():
+    """A task's gathered keys, at most 2^21, cost it no more than 56 bytes each at any time, chunks included."""
+    caught = []
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            caught.append(run)
+            raise StopIteration
+
+    with pytest.raises(StopIteration):
+        ctw.count_corpus(Docs())
+    rng = np.random.default_rng(4)
+    texts = [bytes(rng.integers(97, 123, 1 << 18, dtype=np.uint8)).decode() for _ in range(14)] + ["z" * 300_000]
+    tracemalloc.start()
+    try:
+        sent = {}
+        for batch in caught[0](iter([pa.record_batch({"text": [t]}) for t in texts])):
+            kind, key, n = (batch.column(c) for c in ("kind", "key", "n"))
+            if kind[0].as_py() == 0:
+                sent.update({"rows": sent.get("rows", 0) + len(n), "n": sent.get("n", 0) + pc.sum(n).as_py(), "z": max(sent.get("z", 0), pc.max(n).as_py())})
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sent["n"] == sum(map(len, texts)) + len(texts) and sent["z"] > 299_000  # whole, also beyond 16 bits
+    assert most < 56 * 2 * ctw._HALF, most
+
+
+def test_counted_keys_are_dealt_before_spark_sums_them(spark, docs, monkeypatch):
+    """The tasks have summed theirs; a second sum before the shuffle would hold all keys of a task in a hash table."""
+    caught = []
+    monkeypatch.setattr(ctw, "written", lambda df, name: caught.append(df) or df)
+    got = ctw.count_corpus(docs)
+    plan = caught[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan and "Aggregate" not in plan[plan.rindex("Exchange hashpartitioning"):plan.index("MapInArrow")], plan
+    assert got.count() == got.select("kind", "key").distinct().count()
+
+
 def test_nothing_learned_is_eight_bits_a_byte(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     row, = ctw.scoring_report(spark.createDataFrame([(held, "abc")], "doc_id long, text string")).collect()
